@@ -1,5 +1,4 @@
 """Bindings of every operator to the given tables, grouped by family."""
 
+from corpusgauge.bindings import audits, preparation, shredding, statistics  # noqa: F401
 from corpusgauge.bindings.registry import QUERIES, SQL  # noqa: F401
-
-from corpusgauge.bindings import audits  # noqa: E402,F401

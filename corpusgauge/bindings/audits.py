@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusgauge.bindings.registry import query
 from corpusgauge.functions.ids import hash_split, sha_id
 from corpusgauge.operators import audit
+from corpusgauge.operators.prepare import literal_rows
 from corpusgauge.sources.catalog import catalog
 
 # -- planted defects, in both dialects ---------------------------------------------------------
@@ -142,7 +143,7 @@ def set_ops(t):
  where l_linestatus in (select axis from v) and (l_linestatus, l_returnflag) not in (select axis, value from v)
  group by all""")
 def vocab_audit(t):
-    known = t.spark.createDataFrame([("O", "N"), ("F", "A"), ("F", "R")], "axis string, value string")
+    known = literal_rows(t.spark, [("O", "N"), ("F", "A"), ("F", "R")], "axis value")
     return audit.vocabulary(bad_lines(t), "l_returnflag", known, axis="l_linestatus")
 
 
@@ -181,7 +182,7 @@ def split_share(t):
 
 
 @query("""select k.c_custkey, h % 10000 as bucket, case when h % 10000 < 200 then 'val' when h % 10000 < 300 then 'test' else 'train' end split
- from (select c_custkey, ('0x' || substr(sha256(c_custkey::varchar), 1, 15))::bigint h from customer) k""")
+ from (select c_custkey, ('0x' || substr(sha256(c_custkey::varchar), 1, 15))::bigint h from customer) k""", name="hash_split")
 def hash_split_rows(t):
     key = sha_id(F.col("c_custkey"))
     return t.customer.select(

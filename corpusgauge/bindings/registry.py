@@ -22,13 +22,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def query(sql: str | None = None) -> Callable:
-    """Register ``fn(t: Tables) -> DataFrame`` under its own name, with its SQL twin."""
+def query(sql: str | None = None, name: str | None = None) -> Callable:
+    """Register ``fn(t: Tables) -> DataFrame`` under ``name`` or its own name, with its SQL twin."""
 
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-        QUERIES[fn.__name__] = lambda spark, folder: fn(Tables(spark, folder))
+        key = name or fn.__name__
+        QUERIES[key] = lambda spark, folder: fn(Tables(spark, folder))
         if sql is not None:
-            SQL[fn.__name__] = sql
+            SQL[key] = sql
         return fn
 
     return register

@@ -174,12 +174,10 @@ def exact_percentiles(
     wanted = wanted.withColumn("_p", ladder)
     near = summed.join(wanted, keys)
     holds = lambda k: (k >= F.col("_upto") - F.col("_n")) & (k < F.col("_upto"))
-    hits = near.select(
-        *keys, "n", "_v",
-        F.explode(F.arrays_zip("_p", "_rank")).alias("t"), "_upto", "_n",
-    )
+    touches = lambda t: holds(F.floor(t["_rank"])) | holds(F.ceil(t["_rank"]))
+    asked = F.filter(F.arrays_zip("_p", "_rank"), touches)
+    hits = near.select(*keys, "n", "_v", "_upto", "_n", F.explode(asked).alias("t"))
     low, high = F.floor("t._rank"), F.ceil("t._rank")
-    hits = hits.where(holds(low) | holds(high))
     q_low = F.max(F.when(holds(low), F.col("_v")))
     q_high = F.max(F.when(holds(high), F.col("_v")))
     share = F.max(F.col("t._rank") - F.floor("t._rank"))
