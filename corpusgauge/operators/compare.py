@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgauge.functions.angles import unwrap_step
-from corpusgauge.operators.ordering import neighbour, running_total
+from corpusgauge.operators.ordering import in_order, neighbour, running_total
 
 
 def lineage_counts(
@@ -48,10 +48,11 @@ def compare_runs(
 def unwrapped(df: DataFrame, order: Sequence[str], angle: str, into: str, group: Sequence[str] = ()) -> DataFrame:
     """``angle`` in degrees without jumps of more than half a turn along ``order``."""
     cols = [F.col(c) for c in order]
-    seen = neighbour(df, cols, F.col(angle), "_before", group, ahead=False)
+    tagged = in_order(df, cols, group)
+    seen = neighbour(df, cols, F.col(angle), "_before", group, ahead=False, tagged=tagged, keep_tags=True)
     step = F.when(F.col("_before").isNotNull(), unwrap_step(F.col(angle) - F.col("_before")))
     fixed = seen.withColumn("_fix", F.coalesce(step, F.lit(0.0)))
-    summed = running_total(fixed, cols, F.col("_fix"), "_sum", group)
+    summed = running_total(df, cols, F.col("_fix"), "_sum", group, tagged=fixed)
     return summed.withColumn(into, F.col(angle) + F.col("_sum")).drop("_before", "_fix", "_sum")
 
 

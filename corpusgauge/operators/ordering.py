@@ -31,18 +31,16 @@ def in_order(df: DataFrame, order: Order, group: Sequence[str] = ()) -> DataFram
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     # monotonically_increasing_id is (partition << 33) + position, which is exactly the order
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    tagged = placed.withColumn("_at", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_chunk", F.shiftright("_at", 33))
-    tagged = tagged.withColumn("_g", F.struct(*group) if group else F.struct(F.lit(0).alias("all")))
-    return cut(tagged, "ordered")
+    kept = cut(placed.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    whole = F.struct(*group) if group else F.struct(F.lit(0).alias("all"))
+    return kept.withColumn("_chunk", F.shiftright("_at", 33)).withColumn("_g", whole)
 
 
 def _edges(tagged: DataFrame) -> DataFrame:
     """The groups that start or end a chunk: at most two rows per chunk."""
-    ends = tagged.groupBy("_chunk").agg(
-        F.min_by("_g", "_at").alias("a"), F.max_by("_g", "_at").alias("b")
-    )
-    return ends.select(F.explode(F.array("a", "b")).alias("_g")).distinct()
+    ends = tagged.groupBy("_chunk").agg(F.min("_at").alias("a"), F.max("_at").alias("b"))
+    at = ends.select(F.explode(F.array("a", "b")).alias("_at"))
+    return tagged.join(F.broadcast(at), "_at", "left_semi").select("_g").distinct()
 
 
 def _chunk_summary(tagged: DataFrame, summary: Column) -> DataFrame:
@@ -56,10 +54,14 @@ def _attach(tagged: DataFrame, carry: DataFrame) -> DataFrame:
 
 
 def running_total(
-    df: DataFrame, order: Order, value: Column, into: str, group: Sequence[str] = ()
+    df: DataFrame, order: Order, value: Column, into: str, group: Sequence[str] = (),
+    tagged: DataFrame | None = None, keep_tags: bool = False,
 ) -> DataFrame:
-    """Inclusive running sum of ``value`` within ``group`` in ``order``."""
-    tagged = in_order(df, order, group)
+    """Inclusive running sum of ``value`` within ``group`` in ``order``.
+
+    ``tagged`` is an earlier ``in_order`` result (with columns added) to be reused.
+    """
+    tagged = in_order(df, order, group) if tagged is None else tagged
     earlier = Window.partitionBy("_g").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = _chunk_summary(tagged, F.sum(value)).select(
         "_chunk", "_g", F.sum("_summary").over(earlier).alias("_carry")
@@ -68,19 +70,22 @@ def running_total(
         Window.unboundedPreceding, Window.currentRow
     )
     local = tagged.withColumn(into, F.sum(value).over(here))
-    return (
-        _attach(local, carry)
-        .withColumn(into, F.col(into) + F.coalesce("_carry", F.lit(0)))
-        .drop(*_HELPERS, "_carry")
-    )
+    done = _attach(local, carry).withColumn(into, F.col(into) + F.coalesce("_carry", F.lit(0)))
+    return done.drop("_carry") if keep_tags else done.drop(*_HELPERS, "_carry")
 
 
-def row_numbers(df: DataFrame, order: Order, into: str, group: Sequence[str] = ()) -> DataFrame:
-    """0-based row number within ``group``."""
+def row_numbers(
+    df: DataFrame, order: Order, into: str, group: Sequence[str] = (), size: str | None = None
+) -> DataFrame:
+    """0-based row number within ``group``, and the group's ``size`` if a name for it is given."""
+    tagged = in_order(df, order, group)
     if group:
-        numbered = running_total(df, order, F.lit(1).cast("long"), into, group)
-        return numbered.withColumn(into, F.col(into) - 1)
-    tagged = in_order(df, order)
+        one = F.lit(1).cast("long")
+        numbered = running_total(df, order, one, into, group, tagged, keep_tags=True)
+        numbered = numbered.withColumn(into, F.col(into) - 1)
+        if size is not None:
+            numbered = numbered.join(tagged.groupBy("_g").agg(F.count(F.lit(1)).alias(size)), "_g")
+        return numbered.drop(*_HELPERS)
     # one row per chunk, so this window is as small as the number of partitions
     sizes = tagged.groupBy("_chunk").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -167,8 +172,9 @@ def exact_percentiles(
     v = F.col(value).cast("double")
     base = df.select(*group, *one, F.nanvl(v, F.lit(None).cast("double")).alias("_v"))
     counted = base.where("_v is not null").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    summed = running_total(counted, ["_v"], F.col("_n"), "_upto", keys)
-    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("n"))
+    tagged = in_order(counted, ["_v"], keys)
+    summed = running_total(counted, ["_v"], F.col("_n"), "_upto", keys, tagged)
+    totals = tagged.groupBy(*keys).agg(F.sum("_n").alias("n"))
     ladder = F.array(*[F.lit(float(p)) for p in probs])
     wanted = totals.withColumn("_rank", F.transform(ladder, lambda p: p * (F.col("n") - 1)))
     wanted = wanted.withColumn("_p", ladder)

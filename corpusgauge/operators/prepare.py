@@ -66,17 +66,14 @@ def holdout_gate(df: DataFrame, key: str, holdout: DataFrame, holdout_key: str)
     size allows, and sorts and merges otherwise.
     """
     held = holdout.select(F.col(holdout_key).alias(key)).distinct()
-    leaked = df.join(held, key, "left_semi")
-    kept = df.join(held, key, "left_anti")
-    still = kept.select(key).join(held, key, "left_semi")
-    n = lambda d, name: d.agg(F.count(F.lit(1)).alias(name))
-    report = n(df, "n_in").select(
-        "n_in",
-        n(leaked, "x").scalar().alias("leaked_before"),
-        n(kept, "x").scalar().alias("n_kept"),
-        n(still, "x").scalar().alias("leaked_after"),
+    marked = df.join(held.withColumn("_held", F.lit(True)), key, "left")
+    kept = marked.where("_held is null").drop("_held")
+    still = kept.select(key).join(held, key, "left_semi").agg(F.count(F.lit(1))).scalar()
+    report = marked.agg(
+        F.count(F.lit(1)).alias("n_in"), F.count("_held").alias("leaked_before"),
+        F.count_if(F.col("_held").isNull()).alias("n_kept"),
     )
-    return Gate(kept, leaked, report)
+    return Gate(kept, marked.where("_held").drop("_held"), report.withColumn("leaked_after", still))
 
 
 def stride_split(df: DataFrame, order: Sequence[str], val_fraction: float) -> DataFrame:

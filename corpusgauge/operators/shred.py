@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusgauge.operators.ordering import row_numbers
 from corpusgauge.operators.prepare import intern
+from corpusgauge.session import cut
 
 RUN_RECORD = (
     "repo string, revision string, prompt string, negative_prompt string, precision string, "
@@ -22,7 +23,7 @@ def run_relations(runs: DataFrame, run_key: str, record: str) -> dict[str, DataF
     A record without a resolved revision is a problem row and yields nothing else.
     """
     read = runs.select(F.col(run_key).alias("run_key"), F.from_json(record, RUN_RECORD).alias("r"))
-    flat = read.select("run_key", "r.*")
+    flat = cut(read.select("run_key", "r.*"), "runs")  # six relations read it: parse the text once
     resolved = F.col("revision").isNotNull() & ~F.lower("revision").isin("", "main", "unresolved")
     good = flat.where(F.coalesce(resolved, F.lit(False)))
     models = row_numbers(good.select("repo", "revision").distinct(), ["repo", "revision"], "edit_model_id")
@@ -97,11 +98,16 @@ def nest(
     """(root, part, candidates): candidates of a root, each with its ordered scores.
 
     Any array holds at most ``at_most`` scores: a root with more is continued in further parts
-    (numbered in order), so no group is gathered whole and no score is lost.
+    (numbered in order), so no group is gathered whole and no score is lost. Only the scores of such
+    roots are numbered; the others go straight to their aggregate.
     """
-    numbered = row_numbers(scores, [*candidate, *order], "_n", [root])
-    numbered = numbered.withColumn("part", F.floor(F.col("_n") / at_most))
-    score = F.struct("_n", *fields)
+    wanted = scores.select(*dict.fromkeys([root, *candidate, *order, *fields]))
+    large = wanted.groupBy(root).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > at_most).select(root)
+    whole = wanted.join(large, root, "left_anti").withColumn("part", F.lit(0).cast("long"))
+    split = row_numbers(wanted.join(large, root, "left_semi"), [*candidate, *order], "_n", [root])
+    split = split.withColumn("part", F.floor(F.col("_n") / at_most)).drop("_n")
+    numbered = whole.unionByName(split)
+    score = F.struct(*dict.fromkeys([*order, *fields]))
     per = numbered.groupBy(root, "part", *candidate).agg(F.array_sort(F.collect_list(score)).alias("scores"))
     bare = F.transform("scores", lambda s: F.struct(*[s[f].alias(f) for f in fields]))
     entry = F.struct(*candidate, bare.alias("scores"))

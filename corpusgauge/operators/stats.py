@@ -66,11 +66,9 @@ def unit_cube(df: DataFrame, mesh: str, xyz: Sequence[str]) -> DataFrame:
 
 def tail_means(df: DataFrame, group: str, value: str, order: Sequence[str]) -> DataFrame:
     """(group, n, top, bottom): mean of the highest and lowest tenth; NULL under 20 rows."""
-    numbered = row_numbers(df, [value, *order], "_i", [group])
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    each = row_numbers(df.select(group, value, *order), [value, *order], "_i", [group], size="n")
     k = F.greatest(F.lit(1), F.floor(F.col("n") / 10))
     enough, v = F.col("n") >= 20, F.col(value)
-    each = numbered.join(sizes, group)
     top = F.avg(F.when(enough & (F.col("_i") >= F.col("n") - k), v))
     bottom = F.avg(F.when(enough & (F.col("_i") < k), v))
     return each.groupBy(group, "n").agg(top.alias("top"), bottom.alias("bottom"))
@@ -133,7 +131,8 @@ def apportion(
     floor that cannot be met raises when the plan runs.
     """
     sized = shares.select(name, F.greatest(F.coalesce(F.col(share).cast("double"), F.lit(0.0)), F.lit(0.0)).alias("_s"))
-    n, mass = sized.agg(F.count(F.lit(1))).scalar(), sized.agg(F.sum("_s")).scalar()
+    whole = sized.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum("_s").alias("mass"))).scalar()
+    n, mass = whole.getField("n"), whole.getField("mass")
     spare = F.lit(total) - F.lit(floor) * n
     even = F.floor(spare / n)
     exact = F.when(mass > 0, spare * F.col("_s") / mass).otherwise(even)

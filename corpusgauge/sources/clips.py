@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusgauge.session import cut
+
 # Channel names, and the angle each rotation channel sets.
 CHANNELS = ("Xposition", "Yposition", "Zposition", "Xrotation", "Yrotation", "Zrotation")
 ROTATIONS = {"rx": "Xrotation", "ry": "Yrotation", "rz": "Zrotation"}
@@ -43,6 +45,7 @@ def parsed(clips: DataFrame, clip: str, text: str) -> DataFrame:
         F.split(F.trim(line), r"\s+"), lambda c: F.struct(j.alias("j"), c.alias("channel"))))
     values = F.filter(F.split("numbers", r"\s+"), lambda v: v != "")
     df = df.withColumn("channels", F.flatten(named)).withColumn("values", F.transform(values, lambda v: v.try_cast("double")))
+    df = cut(df.drop("numbers"), "clips")  # the text is taken apart once; checks and frames read the result
     width = F.size("channels")
     got = F.floor(F.size("values") / F.nullif(width, F.lit(0)))
     known = F.forall("channels", lambda c: c["channel"].isin(*CHANNELS))
