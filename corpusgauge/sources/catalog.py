@@ -47,12 +47,14 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
 
 
 def catalog(
-    spark: SparkSession, root: str, wanted: Mapping[str, T.StructType | str], strict: bool = True
+    spark: SparkSession, root: str, wanted: Mapping[str, T.StructType | str], strict: bool = True,
+    rename: Mapping[str, Mapping[str, str]] | None = None,
 ) -> Catalog:
     """Load ``<root>/<name>.parquet`` or the shard directory ``<root>/<name>``.
 
     Sharded relations are audited like the others. ``strict`` also reports unexpected and
-    mistyped columns; otherwise only missing ones are reported.
+    mistyped columns; otherwise only missing ones are reported. ``rename`` maps, per relation, a
+    column's stored name to its declared one.
     """
     out = Catalog(spark, {n: as_schema(s) for n, s in wanted.items()})
     for name, schema in out.wanted.items():
@@ -61,7 +63,7 @@ def catalog(
         if found is None:
             out.problems.append(f"missing relation: {name}")
             continue
-        df = spark.read.parquet(found)
+        df = spark.read.parquet(found).withColumnsRenamed(dict((rename or {}).get(name, {})))
         out.tables[name] = df
         found_problems = schema_problems(name, df.schema, schema)
         out.problems += [p for p in found_problems if strict or "missing column" in p]
