@@ -73,8 +73,8 @@ def nested(
 ) -> tuple[DataFrame, DataFrame]:
     """(wide, problems): root rows with candidates, each with its scores, and the key check rows.
 
-    Candidates and scores per root are small by design; ``problems`` must be empty before ``wide``
-    is published, and it reports any candidate key that occurs twice.
+    ``problems`` must be empty before ``wide`` is published. A root with very many scores continues
+    in further rows, numbered by ``part``.
     """
     n = F.count(F.lit(1)).alias("n")
     keys = audit.key_set_difference(root, ["key"], candidates, ["row_key"])
@@ -86,13 +86,14 @@ def nested(
         audit.check(lost, "scores join a candidate", F.col("n") == 0, F.col("n")),
         audit.check(twice, "candidate keys are unique", F.col("duplicates") == 0, F.col("duplicates")),
     ])
-    named = scores.select(*[F.col(s).alias(c) for s, c in zip(score_key, candidate_key)],
-                          F.struct(*[c for c in scores.columns if c not in score_key]).alias("_s"))
-    listed = named.groupBy(*candidate_key).agg(F.array_sort(F.collect_list("_s")).alias("scores"))
-    empty = F.from_json(F.lit("[]"), listed.schema["scores"].dataType)
-    each = candidates.join(listed, list(candidate_key), "left").withColumn("scores", F.coalesce("scores", empty))
-    inner = [c for c in candidates.columns if c != "row_key"] + ["scores"]
+    fields = [c for c in scores.columns if c not in score_key]
+    named = scores.select(*[F.col(s).alias(c) for s, c in zip(score_key, candidate_key)], *fields)
     order = [c for c in candidate_key if c != "row_key"]
-    inner = order + [c for c in inner if c not in order]
-    gathered = each.groupBy(F.col("row_key").alias("key")).agg(F.array_sort(F.collect_list(F.struct(*inner))).alias("candidates"))
-    return shred.with_empty_roots(root, gathered, "key"), rows.where("state <> 'PASS'")
+    inner = order + [c for c in candidates.columns if c not in candidate_key]
+    every = candidates.join(named, list(candidate_key), "left").withColumnRenamed("row_key", "key")
+    packed = shred.nest(every, "key", inner, fields, fields)
+    # a candidate without scores keeps an empty array
+    scored = lambda s: s.getField(fields[0]).isNotNull()
+    filled = F.transform("candidates", lambda c: c.withField("scores", F.filter(c["scores"], scored)))
+    wide = shred.with_empty_roots(root, packed.withColumn("candidates", filled), "key")
+    return wide.fillna({"part": 0}), rows.where("state <> 'PASS'")

@@ -19,7 +19,7 @@ POSITIONS = {"tx": "Xposition", "ty": "Yposition", "tz": "Zposition"}
 
 def read_clips(spark: SparkSession, path: str) -> DataFrame:
     """(clip, text), one row per file."""
-    return spark.read.option("wholetext", "true").text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("clip"), F.col("value").alias("text")
     )
 
