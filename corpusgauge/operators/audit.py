@@ -106,15 +106,29 @@ def orphans(
 def foreign_keys(
     tables: Mapping[str, DataFrame], edges: Iterable[tuple[str, str, str, str]]
 ) -> DataFrame:
-    """(edge, missing): distinct child values absent from the parent, for every edge."""
-    out = None
-    for child, ckey, parent, pkey in edges:
-        lost = orphans(tables[child], [ckey], tables[parent], [pkey])
-        row = lost.agg(F.count(F.lit(1)).alias("missing")).select(
-            F.lit(f"{child}.{ckey} -> {parent}.{pkey}").alias("edge"), "missing"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    """(edge, missing): distinct child values absent from the parent, for every edge.
+
+    All edges share one shuffle: the keys of both sides are stacked under their edge, reduced to
+    distinct (edge, key) before they travel, and counted where only the child has them.
+    """
+    edges = list(edges)
+    whole = all(
+        isinstance(tables[t].schema[k].dataType, T.IntegralType)
+        for c, ck, p, pk in edges for t, k in ((c, ck), (p, pk))
+    )
+    kind = "bigint" if whole else "string"
+    sides = []
+    for i, (child, ckey, parent, pkey) in enumerate(edges):
+        for table, key, mine in ((child, ckey, True), (parent, pkey, False)):
+            sides.append(tables[table].select(
+                F.lit(i).alias("i"), F.col(key).cast(kind).alias("k"), F.lit(mine).alias("c"), F.lit(not mine).alias("p")
+            ))
+    keys = union_all(sides).groupBy("i", "k").agg(F.bool_or("c").alias("c"), F.bool_or("p").alias("p"))
+    per = keys.groupBy("i").agg(F.count_if(F.col("c") & ~F.col("p")).alias("missing"))
+    names = F.array(*[F.lit(f"{c}.{ck} -> {p}.{pk}") for c, ck, p, pk in edges])
+    # an edge whose two tables are both empty still gets its row
+    every = tables[edges[0][0]].sparkSession.range(1).select(F.posexplode(names).alias("i", "edge"))
+    return every.join(per, "i", "left").select("edge", F.coalesce("missing", F.lit(0)).alias("missing"))
 
 
 def key_set_difference(
@@ -205,6 +219,19 @@ def check(source: DataFrame, name: str, ok: Column, detail: Column, fatal: bool
     )
 
 
+def check_each(source: DataFrame, checks: Sequence[tuple[str, Column, Column]], fatal: bool = True) -> DataFrame:
+    """Several check rows (name, ok, detail) from one one-row aggregate, computed once."""
+    bad = "FAIL" if fatal else "WARN"
+    rows = [
+        F.struct(
+            F.lit(name).alias("name"), F.when(F.coalesce(ok, F.lit(False)), "PASS").otherwise(bad).alias("state"),
+            detail.cast("string").alias("detail"), F.lit(fatal).alias("fatal"),
+        )
+        for name, ok, detail in checks
+    ]
+    return source.select(F.inline(F.array(*rows)))
+
+
 def stated(spark: SparkSession, name: str, problems: Sequence[str], fatal: bool = True) -> DataFrame:
     """One check row from facts known without reading rows (a schema, a listing)."""
     state = "PASS" if not problems else ("FAIL" if fatal else "WARN")

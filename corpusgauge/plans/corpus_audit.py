@@ -31,11 +31,15 @@ def checks(found: Catalog, extended: bool = False) -> DataFrame:
         )
         rows.append(audit.check(worst, f"nulls violating the schema: {name}", F.col("n") == 0, F.col("detail")))
     edges = schemas.FOREIGN_KEYS + (schemas.EXTENDED_KEYS if extended else [])
-    for child, ckey, parent, pkey in edges:
-        if {child, parent} <= tables.keys() and ckey in tables[child].columns and pkey in tables[parent].columns:
-            lost = audit.orphans(tables[child], [ckey], tables[parent], [pkey]).agg(n)
-            label = f"{child}.{ckey} absent from {parent}.{pkey}"
-            rows.append(audit.check(lost, label, F.col("n") == 0, F.col("n")))
+    present = lambda t, k: t in tables and k in tables[t].columns
+    usable = [e for e in edges if present(e[0], e[1]) and present(e[2], e[3])]
+    if usable:
+        lost = audit.foreign_keys(tables, usable)
+        rows.append(lost.select(
+            F.replace("edge", F.lit(" -> "), F.lit(" absent from ")).alias("name"),
+            F.when(F.col("missing") == 0, "PASS").otherwise("FAIL").alias("state"),
+            F.col("missing").cast("string").alias("detail"), F.lit(True).alias("fatal"),
+        ))
     if {"scenes", "identities"} <= tables.keys():
         apart = audit.parent_agreement(
             tables["scenes"], "identity_id", "split", tables["identities"], "identity_id", "split"
@@ -54,8 +58,10 @@ def checks(found: Catalog, extended: bool = False) -> DataFrame:
             by = audit.eligibility(tables["edited_renders"], "edit_run_id", tables["edit_runs"], "edit_run_id", "precision")
             of = lambda s: F.coalesce(F.sum(F.when(F.col("status") == s, F.col("n"))), F.lit(0)).alias(s)
             split = by.agg(of("ineligible"), of("unknown"))
-            rows.append(audit.check(split, "NOT CORPUS DATA: rows of a quantised run", F.col("ineligible") == 0, F.col("ineligible")))
-            rows.append(audit.check(split, "edited rows whose run precision is unknown", F.col("unknown") == 0, F.col("unknown")))
+            rows.append(audit.check_each(split, [
+                ("NOT CORPUS DATA: rows of a quantised run", F.col("ineligible") == 0, F.col("ineligible")),
+                ("edited rows whose run precision is unknown", F.col("unknown") == 0, F.col("unknown")),
+            ]))
     return audit.union_all(rows)
 
 

@@ -37,9 +37,10 @@ def checks(
     spread = audit.value_range(wide, list(PHENOTYPES), 0.0, 1.0).agg(
         F.sum("not_finite").alias("bad"), F.sum(F.col("outside") - F.col("not_finite")).alias("out"),
         F.min("low").alias("low"), F.max("high").alias("high"))
-    rows.append(audit.check(spread, "no NaN/Inf in attribute values", F.col("bad") == 0, F.col("bad")))
-    rows.append(audit.check(spread, "attributes within [0,1]", F.col("out") == 0,
-                            F.format_string("min %.3f max %.3f", "low", "high")))
+    rows.append(audit.check_each(spread, [
+        ("no NaN/Inf in attribute values", F.col("bad") == 0, F.col("bad")),
+        ("attributes within [0,1]", F.col("out") == 0, F.format_string("min %.3f max %.3f", "low", "high")),
+    ]))
     dups = audit.duplicates(identities, ["identity_id"])
     rows.append(audit.check(dups, "identity_id unique", F.col("duplicates") == 0, F.col("duplicates")))
     long = values.join(phenotypes, "phenotype_id").select("name", "value")
@@ -55,8 +56,10 @@ def checks(
     axes = [f"extent_{c}" for c in "xyz"]
     mean = body.agg(*[F.avg(c).alias(c) for c in axes], F.avg(F.abs(F.col("lo_x") + F.col("hi_x"))).alias("off"))
     up = F.array_position(F.array(*axes), F.greatest(*axes)) - 1
-    rows.append(audit.check(mean, "up axis is Z (index 2)", up == 2, up))
-    rows.append(audit.check(mean, "rest pose is left/right symmetric", F.col("off") < 0.05, F.col("off")))
+    rows.append(audit.check_each(mean, [
+        ("up axis is Z (index 2)", up == 2, up),
+        ("rest pose is left/right symmetric", F.col("off") < 0.05, F.col("off")),
+    ]))
 
     adult, child = F.col("age") > ADULT_AGE, F.col("age") < CHILD_AGE
     kinds = F.array_compact(F.array(
@@ -76,16 +79,16 @@ def checks(
     c = F.col
     gap = c("male_p50") - c("female_p50")
     both = (c("n_male") > 20) & (c("n_female") > 20)
-    rows += [
-        audit.check(one, "stature is in metres", (c("all_p50") > 0.4) & (c("all_p50") < 2.5), c("all_p50")),
-        audit.check(one, "sex subgroups present", both, F.concat_ws("/", "n_male", "n_female")),
-        audit.check(one, "male median stature > female", both & (gap > 0), gap),
-        audit.check(one, "dimorphism magnitude plausible", both & (gap > 0.05) & (gap < 0.20), gap),
-        audit.check(one, "adult stature band", (c("n_adult") > 20) & (c("adult_p05") > 1.35) & (c("adult_p95") < 2.05),
-                    F.concat_ws("..", "adult_p05", "adult_p95")),
-        audit.check(one, "child subgroup present", c("n_child") > 10, c("n_child")),
-        audit.check(one, "children shorter than adults", (c("n_child") > 10) & (c("child_p50") < c("adult_p50")), c("child_p50")),
-    ]
+    rows.append(audit.check_each(one, [
+        ("stature is in metres", (c("all_p50") > 0.4) & (c("all_p50") < 2.5), c("all_p50")),
+        ("sex subgroups present", both, F.concat_ws("/", "n_male", "n_female")),
+        ("male median stature > female", both & (gap > 0), gap),
+        ("dimorphism magnitude plausible", both & (gap > 0.05) & (gap < 0.20), gap),
+        ("adult stature band", (c("n_adult") > 20) & (c("adult_p05") > 1.35) & (c("adult_p95") < 2.05),
+         F.concat_ws("..", "adult_p05", "adult_p95")),
+        ("child subgroup present", c("n_child") > 10, c("n_child")),
+        ("children shorter than adults", (c("n_child") > 10) & (c("child_p50") < c("adult_p50")), c("child_p50")),
+    ]))
     spark = identities.sparkSession
     refs = literal_rows(spark, [(g, r, v) for r, m, f in STATURE_REFERENCES for g, v in (("male", m), ("female", f))], "grp name value")
     bands = q.groupBy("grp").agg(
