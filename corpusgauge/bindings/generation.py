@@ -90,7 +90,7 @@ CLIP_HEAD = """HIERARCHY
 ROOT hip
 {
   OFFSET 0 0 0
-  CHANNELS 6 Xposition Yposition Zposition Zrotation Yrotation Xrotation
+  CHANNELS 5 Xposition Yposition Zposition Zrotation Yrotation
   JOINT arm
   {
     OFFSET 0 1 0
@@ -105,16 +105,17 @@ MOTION
 """
 
 
-@query("""with f as (select vec_id, label, i, embedding[9 * i + 1 : 9 * i + 9]::double[] v from embeddings, unnest(range(0, 7)) u(i) where label <> 3)
- select vec_id clip, i::int frame, 'hip' joint, v[1] tx, v[2] ty, v[3] tz, v[6] rx, v[5] ry, v[4] rz, null problem from f
- union all select vec_id, i, 'arm', 0, 0, 0, v[8], v[7], v[9], null from f
- union all select vec_id, null, null, null, null, null, null, null, null, 'header says 9 frames, data holds 7' from embeddings where label = 3""")
+@query("""with f as (select vec_id, label, i, embedding[8 * i + 1 : 8 * i + 8]::double[] v from embeddings, unnest(range(0, 8)) u(i) where label <> 3)
+ select vec_id clip, i::int frame, 'hip' joint, v[1] tx, v[2] ty, v[3] tz, 0 rx, v[5] ry, v[4] rz, null problem from f
+ union all select vec_id, i, 'arm', 0, 0, 0, v[7], v[6], v[8], null from f
+ union all select vec_id, null, null, null, null, null, null, null, null, 'header says 9 frames, data holds 8' from embeddings where label = 3""")
 def clip_ingest(t):
+    """Every vector is written out as a clip of 8 frames; those of one label claim 9."""
     from corpusgauge.sources.clips import ingest
 
-    n = F.when(F.col("label") == 3, 9).otherwise(7)
-    rows = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.array_join(
-        F.transform(F.slice("embedding", i * 9 + 1, F.lit(9)), lambda v: v.cast("double").cast("string")), " "))
+    n = F.when(F.col("label") == 3, 9).otherwise(8)
+    rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.array_join(
+        F.transform(F.slice("embedding", i * 8 + 1, F.lit(8)), lambda v: v.cast("double").cast("string")), " "))
     text = F.concat(F.lit(CLIP_HEAD), F.lit("Frames: "), n, F.lit("\nFrame Time: 0.0333\n"), F.array_join(rows, "\n"), F.lit("\n"))
     good, bad = ingest(t.embeddings.select(F.col("vec_id").alias("clip"), text.alias("text")), "clip", "text")
     return good.unionByName(bad, allowMissingColumns=True)

@@ -264,12 +264,12 @@ def holdout_gate(t):
 
 @query("""select c_custkey, case when (row_number() over (order by c_mktsegment, c_custkey) - 1) % 8 = 0 then 'val' else 'train' end split from customer""")
 def stride_split(t):
-    return prepare.stride_split(t.customer, ["c_mktsegment", "c_custkey"], 0.12).select("c_custkey", "split")
+    return prepare.stride_split(t.customer.select("c_mktsegment", "c_custkey"), ["c_mktsegment", "c_custkey"], 0.12).select("c_custkey", "split")
 
 
 @query("""select event_id, user_id from (select *, row_number() over (partition by user_id order by ts, event_id) - 1 i from events) where i % 4 = 0""")
 def stride_sample(t):
-    return prepare.stride_sample(t.events, ["ts", "event_id"], 4, ["user_id"]).select("event_id", "user_id")
+    return prepare.stride_sample(t.events.select("event_id", "ts", "user_id"), ["ts", "event_id"], 4, ["user_id"]).select("event_id", "user_id")
 
 
 @query("select c_custkey from (select c_custkey from customer order by sha256('seed7' || c_custkey::varchar), c_custkey limit 100)")

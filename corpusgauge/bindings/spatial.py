@@ -16,18 +16,17 @@ def knn1(t):
     return with_label.select("t_id", "s_id", F.round("d2", 5).alias("d2"), "label")
 
 
-@query("""with e as (select vec_id, label, embedding[1:3]::double[] v from embeddings), t as (select vec_id id, 'matched' pair, list_transform(v, lambda x: x + 0.001) v from e
+@query("""with e as (select vec_id, embedding::double[] v from embeddings), t as (select vec_id id, 'matched' pair, list_transform(v, lambda x: x + 0.0001) v from e
   union all select vec_id + 1000000000, 'mispaired', list_transform(v, lambda x: x * 2 + 3) from e),
- d as (select id, pair, min(list_distance(t.v, e.v)) d from t, e group by 1, 2), x as (select greatest(max(v[1]) - min(v[1]), max(v[2]) - min(v[2]), max(v[3]) - min(v[3])) extent from e)
+ d as (select id, pair, min(list_distance(t.v, e.v)) d from t, e group by 1, 2), x as (select max(r) extent from (select max(v[i]) - min(v[i]) r from e, unnest(range(1, 65)) u(i) group by i))
  select pair, count(*) n, round(quantile_cont(d, 0.5) * 100 / (select extent from x), 4) percent, case when pair = 'matched' then quantile_cont(d, 0.5) * 100 / (select extent from x) <= 1 else quantile_cont(d, 0.5) * 100 / (select extent from x) > 3 end ok from d group by 1""")
 def proximity_audit(t):
-    v = F.slice("embedding", 1, 3).cast("array<double>")
-    e = t.embeddings.select("vec_id", v.alias("v"))
-    near = e.select(F.col("vec_id").alias("id"), F.lit("matched").alias("pair"), F.transform("v", lambda x: x + 0.001).alias("v"))
+    e = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    near = e.select(F.col("vec_id").alias("id"), F.lit("matched").alias("pair"), F.transform("v", lambda x: x + 0.0001).alias("v"))
     far = e.select((F.col("vec_id") + 1000000000).alias("id"), F.lit("mispaired").alias("pair"), F.transform("v", lambda x: x * 2 + 3).alias("v"))
     targets = near.unionByName(far)
-    side = lambda i: F.max(F.get("v", F.lit(i))) - F.min(F.get("v", F.lit(i)))
-    size = e.agg(F.greatest(side(0), side(1), side(2)).alias("extent"))
+    sides = e.select(F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.max("x") - F.min("x")).alias("side"))
+    size = sides.agg(F.max("side").alias("extent"))
     size = generate.with_rows(size, [("matched",), ("mispaired",)], "pair")
     p = nearest.proximity(nearest.nearest(targets, "id", "v", e, "vec_id", "v"), targets, "id", "pair", size)
     ok = F.when(F.col("pair") == "matched", F.col("percent") <= 1).otherwise(F.col("percent") > 3)

@@ -252,7 +252,7 @@ def multi_owner(t):
 
 # -- angles and runs ---------------------------------------------------------------------------------
 
-VIEWS = """v as (select l_suppkey, l_linestatus run, l_linenumber, 45.0::double * (l_linenumber - 1) asked, (sum(l_partkey) % 41 - 20)::double off, max(l_quantity) top from lineitem where true group by all),
+VIEWS = """v as (select l_suppkey, l_linestatus run, l_linenumber, 45.0::double * (l_linenumber - 1) asked, (sum(l_partkey) % 41 - 20)::double off, max(l_quantity) top from lineitem group by all),
  views as (select l_suppkey, run, l_linenumber, asked, (asked * 0.8 + off + 180) - 360 * floor((asked * 0.8 + off + 180) / 360) - 180 recovered, top from v),
  fitted as (select *, abs((recovered - asked + 180) - 360 * floor((recovered - asked + 180) / 360) - 180) err from views where top < 50)"""
 

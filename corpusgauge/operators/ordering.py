@@ -43,14 +43,17 @@ def _edges(tagged: DataFrame) -> DataFrame:
     return tagged.join(F.broadcast(at), "_at", "left_semi").select("_g").distinct()
 
 
-def _chunk_summary(tagged: DataFrame, summary: Column) -> DataFrame:
-    """``summary`` per (chunk, group), for groups that may reach across a chunk edge."""
-    reaching = tagged.join(F.broadcast(_edges(tagged)), "_g", "left_semi")
+def _chunk_summary(tagged: DataFrame, summary: Column, group: Sequence[str]) -> DataFrame:
+    """``summary`` per (chunk, group), for groups that may reach across a chunk edge. Without a
+    group every chunk reaches."""
+    reaching = tagged.join(F.broadcast(_edges(tagged)), "_g", "left_semi") if group else tagged
     return reaching.groupBy("_chunk", "_g").agg(summary.alias("_summary"))
 
 
-def _attach(tagged: DataFrame, carry: DataFrame) -> DataFrame:
-    return tagged.join(F.broadcast(carry), ["_chunk", "_g"], "left")
+def _attach(tagged: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
+    if group:
+        return tagged.join(F.broadcast(carry), ["_chunk", "_g"], "left")
+    return tagged.join(F.broadcast(carry.drop("_g")), "_chunk", "left")
 
 
 def running_total(
@@ -63,14 +66,14 @@ def running_total(
     """
     tagged = in_order(df, order, group) if tagged is None else tagged
     earlier = Window.partitionBy("_g").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = _chunk_summary(tagged, F.sum(value)).select(
+    carry = _chunk_summary(tagged, F.sum(value), group).select(
         "_chunk", "_g", F.sum("_summary").over(earlier).alias("_carry")
     )
     here = Window.partitionBy("_chunk", "_g").orderBy("_at").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     local = tagged.withColumn(into, F.sum(value).over(here))
-    done = _attach(local, carry).withColumn(into, F.col(into) + F.coalesce("_carry", F.lit(0)))
+    done = _attach(local, carry, group).withColumn(into, F.col(into) + F.coalesce("_carry", F.lit(0)))
     return done.drop("_carry") if keep_tags else done.drop(*_HELPERS, "_carry")
 
 
@@ -114,12 +117,12 @@ def neighbour(
     edge_value = (F.min_by if ahead else F.max_by)(boxed, F.col("_at"))
     across = Window.partitionBy("_g").orderBy("_chunk")
     step = F.lead if ahead else F.lag
-    carry = _chunk_summary(tagged, edge_value).select(
+    carry = _chunk_summary(tagged, edge_value, group).select(
         "_chunk", "_g", step("_summary").over(across).alias("_carry")
     )
     here = Window.partitionBy("_chunk", "_g").orderBy("_at")
     local = tagged.withColumn(into, step(boxed).over(here))
-    done = _attach(local, carry).withColumn(into, F.coalesce(into, "_carry").getField("v"))
+    done = _attach(local, carry, group).withColumn(into, F.coalesce(into, "_carry").getField("v"))
     return done.drop("_carry") if keep_tags else done.drop(*_HELPERS, "_carry")
 
 
@@ -140,7 +143,7 @@ def first_at_or_after(
     """First non-NULL ``value`` at this row or later in the group; past the end, the last one."""
     tagged = in_order(df, order, group)
     present = F.when(value.isNotNull(), F.col("_at"))
-    firsts = _chunk_summary(tagged, F.min_by(value, present))
+    firsts = _chunk_summary(tagged, F.min_by(value, present), group)
     later = Window.partitionBy("_g").orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
     carry = firsts.select(
         "_chunk", "_g", F.first("_summary", ignorenulls=True).over(later).alias("_carry")
@@ -149,7 +152,7 @@ def first_at_or_after(
         Window.currentRow, Window.unboundedFollowing
     )
     local = tagged.withColumn(into, F.first(value, ignorenulls=True).over(here))
-    ahead = _attach(local, carry).withColumn(into, F.coalesce(into, "_carry"))
+    ahead = _attach(local, carry, group).withColumn(into, F.coalesce(into, "_carry"))
     last = tagged.groupBy("_g").agg(F.max_by(value, present).alias("_last"))
     return (
         ahead.join(last, "_g", "left")
