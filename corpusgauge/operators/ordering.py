@@ -144,14 +144,15 @@ def first_at_or_after(
     tagged = in_order(df, order, group)
     present = F.when(value.isNotNull(), F.col("_at"))
     firsts = _chunk_summary(tagged, F.min_by(value, present), group)
-    later = Window.partitionBy("_g").orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing)
+    # read backwards: a frame that grows from its start is scanned once, one that shrinks is not
+    later = Window.partitionBy("_g").orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carry = firsts.select(
-        "_chunk", "_g", F.first("_summary", ignorenulls=True).over(later).alias("_carry")
+        "_chunk", "_g", F.last("_summary", ignorenulls=True).over(later).alias("_carry")
     )
-    here = Window.partitionBy("_chunk", "_g").orderBy("_at").rowsBetween(
-        Window.currentRow, Window.unboundedFollowing
+    here = Window.partitionBy("_chunk", "_g").orderBy(F.desc("_at")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    local = tagged.withColumn(into, F.first(value, ignorenulls=True).over(here))
+    local = tagged.withColumn(into, F.last(value, ignorenulls=True).over(here))
     ahead = _attach(local, carry, group).withColumn(into, F.coalesce(into, "_carry"))
     last = tagged.groupBy("_g").agg(F.max_by(value, present).alias("_last"))
     return (
