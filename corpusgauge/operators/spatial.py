@@ -190,8 +190,12 @@ def tree_paths(nodes: DataFrame, node: str, parent: str, name: str, root: int =
 
 
 def descendants(nodes: DataFrame, node: str, parent: str, root: int = -1) -> DataFrame:
-    """(ancestor, node) for every pair, one level of the tree per round."""
-    step = nodes.select(F.col(node).alias("node"), F.col(parent).alias("ancestor")).where(F.col("ancestor") != root)
+    """(ancestor, node) for every pair, one level of the tree per round. A parent must come before
+    its child, so the rounds end; one that does not raises."""
+    out_of_order = F.raise_error(F.lit("a parent must come before its child")).cast(nodes.schema[parent].dataType)
+    step = nodes.where(F.col(parent) != root).select(
+        F.col(node).alias("node"), F.when(F.col(parent) < F.col(node), F.col(parent)).otherwise(out_of_order).alias("ancestor")
+    )
     above = step.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_next"))
     level, out = cut(step), None
     while not level.isEmpty():

@@ -55,6 +55,21 @@ def test_claims(spark):
                    "away": ("CACHED", False), "lost": ("ERROR", False)}
 
 
+def test_claims_are_measured_by_name(spark, tmp_path):
+    from corpusgauge.plans.claims import check_document
+
+    doc = spark.createDataFrame([("<!--claim:rows=5--> <!--claim:gone=3--> <!--claim:broken=1--> <!--claim:free=2-->",)], "text string")
+    registry = {
+        "rows": lambda s: s.range(5).agg(F.count("*")),
+        "gone": lambda s: s.read.parquet(f"{tmp_path}/nowhere").agg(F.count("*")),
+        "broken": lambda s: s.range(1).select(F.raise_error(F.lit("no")).cast("double")),
+        "unclaimed": lambda s: 1 / 0,
+    }
+    cache = spark.createDataFrame([("gone", 3.0), ("broken", 1.0)], "name string, cached double")
+    got = {r.name: r.state for r in check_document(spark, doc, "text", registry, cache).collect()}
+    assert got == {"rows": "ok", "gone": "CACHED", "broken": "ERROR", "free": "UNVERIFIED"}
+
+
 def test_name_difference(spark):
     a = spark.createDataFrame([(f"brow_{i}",) for i in range(52)], "n string")
     b = spark.createDataFrame([(f"Brow{i}",) for i in range(51)] + [("extra",)], "n string")
@@ -112,6 +127,8 @@ def test_trees(spark):
     paths, bad = spatial.tree_paths(df, "id", "up", "name")
     assert {r.id: (r.path, r.depth) for r in paths.collect()} == {0: ("a", 1), 1: ("a/b", 2), 2: ("a/b/c", 3), 3: ("a/b/c/d", 4), 4: ("a/e", 2)}
     assert {r.id for r in bad.collect()} == {5, 7}
+    with pytest.raises(Exception, match="before its child"):
+        spatial.descendants(df, "id", "up")
     below = spatial.descendants(df.where("id < 5"), "id", "up")
     assert {(r.ancestor, r.node) for r in below.collect()} == {(0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3), (2, 3)}
 
@@ -131,6 +148,11 @@ def test_signed_volume_flips_when_mirrored(spark):
     assert vol(v) == pytest.approx(1 / 6) and vol(v.withColumn("x", -F.col("x"))) == pytest.approx(-1 / 6)
 
 
+def test_determinant_of_a_mirrored_basis(spark):
+    basis = [[F.lit(1.0), F.lit(0.0), F.lit(0.0)], [F.lit(0.0), F.lit(1.0), F.lit(0.0)], [F.lit(0.0), F.lit(0.0), F.lit(-1.0)]]
+    assert spark.range(1).select(spatial.determinant(basis)).collect()[0][0] == -1
+
+
 CLIP = """HIERARCHY
 ROOT hip
 {
