@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.llm import substrings
+from corpusgauge.llm import decontaminate, substrings
 from corpusgauge.llm.common import table
 
 QUERIES: dict = {}
@@ -17,7 +17,54 @@ def query(f):
     return f
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(names, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.remove_repeated(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+_PLAIN = r"translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RUNS = r"regexp_extract_all(" + _PLAIN + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+SQL["op5_benchmark_decontamination"] = f"""
+WITH d AS (SELECT doc_id, coalesce({_RUNS}, []) AS w FROM documents),
+b AS (SELECT item_id, {_RUNS} AS w FROM benchmark),
+own AS (SELECT item_id, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s, w FROM b WHERE len(w) > 0),
+known AS (SELECT DISTINCT m, array_to_string(w[s:s + m - 1], ' ') AS win, item_id FROM own),
+sizes AS (SELECT DISTINCT m FROM known),
+tried AS (SELECT doc_id, m, unnest(range(1, len(w) - m + 2)) AS s, w FROM d, sizes WHERE len(w) >= m),
+hit AS (SELECT t.doc_id, t.s, t.m, k.item_id FROM (SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS win FROM tried) t JOIN known k USING (m, win)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_WORDS = r"regexp_extract_all(text, '[^\x20\x09-\x0D]+')"
+
+SQL["op7_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS x
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS s FROM d WHERE len(w) >= 13)),
+late AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY x) AS owner FROM win) WHERE owner < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM late),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+         FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
