@@ -1 +1,10 @@
-"""Operators for large training-data pipelines. Nothing outside this package imports it."""
+"""Operators for large training-data pipelines. Nothing outside this package imports it.
+
+Its functions travel to the executors by value, so the package need not be installed there.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.llm import decontaminate, substrings
+from corpusgauge.llm import decontaminate, neardup, substrings
 from corpusgauge.llm.common import table
 
 QUERIES: dict = {}
@@ -17,6 +17,11 @@ def query(f):
     return f
 
 
+@query
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).drop("_id", "_tag")
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
