@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.llm import decontaminate, neardup, substrings
+from corpusgauge.llm import decontaminate, neardup, quality_rules, substrings
 from corpusgauge.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +22,13 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).drop("_id", "_tag")
 
 
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.measure(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -73,3 +80,41 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(n
        sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+_STOPS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
+
+
+def _rules_sql() -> str:
+    parts = [f"{name} >= {low}" for name, low, _ in quality_rules.RULES if low is not None]
+    return " AND ".join(parts + [f"{name} <= {high}" for name, _, high in quality_rules.RULES if high is not None])
+
+
+SQL["op4_quality_rules"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce({_WORDS}, []) AS w FROM documents),
+win AS (SELECT doc_id, s, w[s:s + 2] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS s FROM d WHERE len(w) >= 3)),
+twice AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, x) AS n FROM win) WHERE n >= 2),
+rep AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(s, s + 3)) FROM twice) GROUP BY doc_id),
+line AS (SELECT doc_id, count(*) AS n, count(DISTINCT x) AS own
+         FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
+         WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+             length(regexp_replace(t, '[^!]+', '', 'g')) AS shouts,
+             length(regexp_replace(t, '[^\\p{{Lu}}]+', '', 'g')) AS uppers,
+             CAST(coalesce(line.n - line.own, 0) AS BIGINT) AS n_dup_lines, coalesce(line.n, 0) AS n_lines,
+             CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+             len(list_filter(w, lambda x: x IN ({_STOPS}))) AS stops
+      FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN line USING (doc_id)),
+r AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars,
+             CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols_per_word,
+             CASE WHEN n_words > 0 THEN shouts / n_words ELSE 0 END AS shouts_per_word,
+             CASE WHEN word_chars > 0 THEN uppers / word_chars ELSE 0 END AS upper_share,
+             CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_share,
+             CASE WHEN n_words > 0 THEN stops / n_words ELSE 0 END AS stop_word_share,
+             CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_word_share,
+             n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {_rules_sql()} AS kept
+FROM r
+"""
