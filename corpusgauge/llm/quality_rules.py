@@ -24,7 +24,7 @@ RULES = (
     ("symbols_per_word", None, 0.1),
     ("shouts_per_word", None, 0.3),
     ("upper_share", None, 0.5),
-    ("dup_line_share", None, 0.3),
+    ("dup_line_share", None, 0.6),
     ("stop_word_share", 0.01, None),
     ("repeat_word_share", None, 0.5),
 )
