@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.llm import decontaminate, mixing, neardup, quality_rules, substrings
+from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_rules, substrings, token_counts
 from corpusgauge.llm.common import table
 
 QUERIES: dict = {}
@@ -22,6 +22,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).drop("_id", "_tag")
 
 
+@query
+def op2_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -50,6 +55,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.by_line(table(spark, sf_dir, "documents"))
+
+
 _PLAIN = r"translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RUNS = r"regexp_extract_all(" + _PLAIN + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
