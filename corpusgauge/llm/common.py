@@ -86,15 +86,15 @@ def _powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """The words of several texts: ``starts`` and ``ends`` in ``data``, ``first`` word of each text
-    (one more entry than texts), and per lane a 64-bit hash of each word."""
+    (one more entry than texts), per lane a 64-bit hash of each word, and hashes of its first bytes."""
 
-    def __init__(self, texts: list[bytes], lanes: int = 1):
+    def __init__(self, texts: list[bytes], lanes: int = 1, prefixes: tuple[int, ...] = ()):
         self.data = b" ".join(texts)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(lengths + 1, out=offsets[1:])
         whole = np.frombuffer(self.data, np.uint8)
-        starts, ends, hashes = [], [], [[] for _ in range(lanes)]
+        starts, ends, hashes, heads = [], [], [[] for _ in range(lanes)], [[] for _ in prefixes]
         at = 0
         while at < len(whole):
             to = min(at + PIECE, len(whole))
@@ -111,10 +111,15 @@ class Words:
                 np.cumsum(_BYTE[lane][part] * up[: len(part)], out=total[1:])
                 h = (total[e] - total[s]) * down[s]
                 hashes[lane].append(mix(h + (e - s).astype(np.uint64)))
+                for head, n in zip(heads, () if lane else prefixes, strict=False):
+                    h = (total[np.minimum(s + n, e)] - total[s]) * down[s]
+                    head.append(mix(h + np.uint64(n << 32)))
             at = to
         none = [np.zeros(0, np.int64)]
         self.starts, self.ends = np.concatenate(starts or none), np.concatenate(ends or none)
         self.hashes = [np.concatenate(h or [np.zeros(0, np.uint64)]) for h in hashes]
+        self.prefixes = [np.concatenate(h or [np.zeros(0, np.uint64)]) for h in heads]
+        self.offsets = offsets
         self.first = np.searchsorted(self.starts, offsets)
 
     def text_of(self) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_rules, substrings, token_counts
+from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_classifier, quality_rules, substrings, token_counts, toxicity
 from corpusgauge.llm.common import table
 
 QUERIES: dict = {}
@@ -49,12 +49,23 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return done.select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+
+
 @query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.remove_repeated(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.by_line(table(spark, sf_dir, "documents"))
