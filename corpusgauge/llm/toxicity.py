@@ -61,24 +61,37 @@ def _fit(most_features: int, least_df: int, steps: int, l2: float):
         rows = rows.sort_by([("order", "ascending"), ("text", "ascending")])
         label = rows.column("label").to_numpy().astype(float)
         texts = rows.column("text").to_pylist()
-        pairs, sentences, owners, n_sentences = [], [], [], 0
-        for at in range(0, len(texts), 256):
-            x = Sentences([t or b"" for t in texts[at : at + 256]])
-            sentence = np.tile(x.of_word, len(x.features)) + n_sentences
-            pairs.append(x.features.ravel())
-            sentences.append(sentence)
+        stretches = range(0, len(texts), 128)
+        read = lambda at: Sentences([t or b"" for t in texts[at : at + 128]])
+        rate, mask = label.mean(), np.uint64((1 << 22) - 1)
+
+        def association(df, toxic):
+            """Squared deviation from the mean share of toxic documents, in units of its variance."""
+            g = (toxic - df * rate) ** 2 / (df * rate * (1 - rate) + 1e-9)
+            g[(df < least_df) | (g < 12)] = 0
+            return g
+
+        # first by the features' low bits, in little memory; then by the features that these leave
+        df, toxic = np.zeros(1 << 22), np.zeros(1 << 22)
+        for at in stretches:
+            x = read(at)
+            pair = np.unique((x.features & mask).astype(np.int64).ravel() * 128 + np.tile(x.text, len(x.features)))
+            np.add.at(df, pair // 128, 1)
+            np.add.at(toxic, pair // 128, label[at + pair % 128])
+        some = association(df, toxic) > 0
+        features, sentences, owners, n_sentences = [], [], [], 0
+        for at in stretches:
+            x = read(at)
+            kind, word = np.nonzero(some[x.features & mask])
+            features.append(x.features[kind, word])
+            sentences.append(x.of_word[word] + n_sentences)
             owners.append(x.of + at)
             n_sentences += len(x.of)
-        feature, sentence, owner = map(np.concatenate, (pairs, sentences, owners))
+        feature, sentence, owner = map(np.concatenate, (features, sentences, owners))
         known, place = np.unique(feature, return_inverse=True)
-        del feature, pairs
-        # documents with each feature, toxic ones and all: distinct pairs of feature and document
         pair = np.unique(place.astype(np.int64) * len(texts) + owner[sentence])
         df = np.bincount(pair // len(texts), minlength=len(known))
-        toxic = np.bincount(pair // len(texts), label[pair % len(texts)], len(known))
-        rate = label.mean()
-        g = (toxic - df * rate) ** 2 / (df * rate * (1 - rate) + 1e-9)  # squared deviation in units of its variance
-        g[(df < least_df) | (g < 12)] = 0
+        g = association(df, np.bincount(pair // len(texts), label[pair % len(texts)], len(known)))
         chosen = np.sort(np.argsort(-g, kind="stable")[: min(most_features, int((g > 0).sum()))])
         column = np.full(len(known), -1)
         column[chosen] = np.arange(len(chosen))
