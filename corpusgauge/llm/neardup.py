@@ -10,8 +10,12 @@ links for that reason alone.
 
 Each text draws ``bands * rows`` consistent weighted samples (Ioffe's form); texts that agree on all
 samples of a band meet in a bucket. Equal word sequences are one class from the start. In a bucket the
-candidates are all pairs if it is small; else every member is compared with leaders, twice as
-many from round to round among the members that no leader is similar to, until none is left. Every
+candidates are all pairs if it is small; else every member is compared with leaders. The text
+that meets most others leads first. If some members are not similar to it, the bucket's texts meet again by their
+rarest shingles, which loses no link: a fifth of a text's weight, counted from its rarest shingles, meets any
+text that is similar to it. In what is still large there, more and more of the members that no leader is
+similar to lead from round to round, until none is left. (Texts of similarity 0.8 agree on a band with
+probability 0.99996.) Every
 candidate is verified by its weighted Jaccard similarity over the whole texts. Classes are the
 connected components of the verified links.
 """
@@ -31,6 +35,8 @@ from corpusgauge.session import cut
 
 SMALL = 6
 """Buckets of up to so many different texts are compared pair by pair."""
+GROWTH = 8
+"""So many times more leaders from round to round."""
 
 
 def _plain(texts: list[bytes]) -> list[bytes]:
@@ -99,6 +105,7 @@ class Shingles:
         at = np.flatnonzero(new)
         self.s, self.of = s[at], text[at]
         self.w = mean[at] * np.diff(np.append(at, len(s))).astype(np.float32)
+        self.log_w = np.log(self.w)
         self.first = np.searchsorted(self.of, np.arange(len(texts) + 1))
 
 
@@ -108,13 +115,14 @@ def samples(x: Shingles, k: int) -> np.ndarray:
     out = np.zeros(n, np.uint64)
     if not len(x.s):
         return out
-    z1 = mix(x.s + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & ((1 << 64) - 1)))
-    z2 = mix(z1 ^ np.uint64(0xA0761D6478BD642F))
-    part = lambda z, by: ((z >> np.uint64(by)) & np.uint64(0xFFFFFF)).astype(np.float32) * np.float32(2**-24) + np.float32(2**-25)
-    r = -np.log(part(z1, 40) * part(z1, 16))
-    log_c = np.log(-np.log(part(z2, 40) * part(z2, 16)))
-    beta = (((z1 & np.uint64(0xFFFF)) << np.uint64(8)) | (z2 & np.uint64(0xFF))).astype(np.float32) * np.float32(2**-24)
-    t = np.floor(np.log(x.w) / r + beta)
+    z = mix(x.s + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & ((1 << 64) - 1)))
+    half = np.float32(0.5)
+    u = z.view(np.uint16).reshape(-1, 4).T.astype(np.float32) + half  # four draws of 16 bits
+    unit = np.float32(2.0**-32)
+    r = -np.log(u[0] * u[1] * unit)  # Gamma(2, 1), as is c
+    log_c = np.log(-np.log(u[2] * u[3] * unit))
+    beta = ((z * np.uint64(0xA0761D6478BD642F)) >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+    t = np.floor(x.log_w / r + beta)
     log_a = log_c - r * (t - beta + np.float32(1))
     have = np.flatnonzero(np.diff(x.first))
     least = np.minimum.reduceat(log_a, x.first[have])
@@ -185,12 +193,65 @@ def _similarities(width: int, frequent):
     return task
 
 
+# --- texts that share much and are not alike ------------------------------------------------------
+
+
+def _seen(width: int, frequent):
+    """Task: in how many texts each shingle occurs."""
+
+    def task(batches):
+        for _, texts in groups_of(batches, "text"):
+            s, n = np.unique(Shingles(_plain(texts), width, frequent).s, return_counts=True)
+            yield pa.record_batch({"s": s.view(np.int64), "n": n.astype(np.int64)})
+
+    return task
+
+
+def _common(held: DataFrame, width: int, frequent, sample: int = 8, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the most common shingles of a sample of texts. They only set the order in
+    which shingles are looked at: any order gives the same links."""
+    some = held.where(F.pmod(F.xxhash64("node"), F.lit(sample)) == 0).select("text")
+    seen = some.mapInArrow(_seen(width, frequent), "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n > 2")
+    found = seen.orderBy(F.desc("n"), "s").limit(most).collect()
+    s, n = np.array([r["s"] for r in found], np.int64).view(np.uint64), np.array([r["n"] for r in found], np.int64)
+    by = np.argsort(s)
+    return s[by], n[by]
+
+
+def _prefixes(width: int, threshold: float, frequent, common):
+    """Task: the rarest shingles of each text, so many that the others weigh less than ``threshold`` of
+    it. Two texts of that similarity share more than these others, hence one of the first ones."""
+    known, counts = common
+
+    def task(batches):
+        for part, texts in groups_of(batches, "text"):
+            x = Shingles(_plain(texts), width, frequent)
+            n = np.zeros(len(x.s), np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, x.s), len(known) - 1)
+                n = np.where(known[at] == x.s, counts[at], 0)
+            by = np.lexsort((x.s, n, x.of))
+            w, of = x.w[by].astype(float), x.of[by]
+            before, total = np.cumsum(w) - w, np.bincount(of, w, len(texts))[of]
+            if len(w):
+                before -= before[np.minimum(x.first[:-1], len(w) - 1)][of]
+            keep = np.flatnonzero(before <= (1 - threshold + 1e-6) * total)
+            chosen = pa.array(of[keep])
+            yield pa.record_batch({
+                "key": x.s[by][keep].view(np.int64), "node": part.column("node").take(chosen),
+                "weight": total[keep], "rest": (total - before)[keep], "open": part.column("open").take(chosen),
+            })
+
+    return task
+
+
 # --- links and classes ----------------------------------------------------------------------------
 
 
 def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs with a < b whose weights allow the threshold."""
-    fits = F.least("wa", "wb") >= F.greatest("wa", "wb") * (threshold - 1e-6)
+    """Distinct pairs with a < b that the threshold allows: x and y have the weights wx and wy, of which
+    rx and ry are from the common key on, and no more can be common."""
+    fits = F.least("rx", "ry") >= (F.col("wx") + F.col("wy")) * (threshold / (1 + threshold) - 1e-6)
     return pairs.where(F.col("x") != F.col("y")).where(fits).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).distinct()
@@ -211,7 +272,7 @@ def _components(links: DataFrame) -> DataFrame:
 
 
 def classes(
-    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 9, rows: int = 2, rare: float = 0.01
+    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id`` (least id of the class), ``n_links`` (verified
     links of its word sequence to others), ``keep`` (true for one row of each class, the first by id and
@@ -233,55 +294,84 @@ def classes(
         F.min(F.struct("_id", "_tag")).alias("at"), F.first("weight").alias("weight"), F.first("keys").alias("keys"),
     ), "texts")  # one row for each different word sequence
 
-    member = texts.select("node", "weight", F.explode("keys").alias("key"))
-    sizes = member.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
-    member = cut(member.join(sizes.where("size > 1"), "key"), "buckets")
+    def buckets(member: DataFrame) -> DataFrame:
+        """``member`` (key, node, weight, rest, ...) with the size and the leader of each bucket of two texts
+        or more. ``rest`` is the weight from the key on. ``leads``: whether so little comes before the key
+        that a text of the same weight or more can be similar; of two similar texts, the lighter one leads."""
+        leads = F.col("rest") >= F.col("weight") * (2 * threshold / (1 + threshold) - 1e-6)
+        member = member.withColumn("leads", leads)
+        sizes = member.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.max("leads").alias("led")).where("size > 1 and led").drop("led")
+        member = cut(member.join(sizes, "key"), "members")
+        # texts that meet most others lead: the one that many copies were made from comes before its copies
+        met_by = member.groupBy("node").agg(F.sum("size").alias("met"))
+        member = member.join(met_by, "node").withColumn("first", F.struct(-F.col("met"), "node", "weight", "rest"))
+        leaders = member.where("leads").groupBy("key").agg(F.min("first").alias("leader"), F.min("weight").alias("lightest"))
+        return cut(member.join(leaders, "key"), "buckets")
+
+    def named(x: str, y: str) -> list:
+        return [F.col(f"{s}.{c}").alias(n) for s, names in ((x, ("x", "wx", "rx")), (y, ("y", "wy", "ry"))) for c, n in zip(("node", "weight", "rest"), names, strict=True)]
+
+    def candidates(member: DataFrame) -> DataFrame:
+        """All pairs of small buckets, and the pairs with the leader of large ones."""
+        few = member.where(F.col("size").between(3, SMALL)).groupBy("key").agg(
+            F.collect_list(F.struct("node", "weight", "rest")).alias("all")
+        )
+        few = few.select(F.explode("all").alias("p"), "all").select("p", F.explode("all").alias("q")).where("p.node < q.node")
+        led = member.where(f"size = 2 or size > {SMALL}").select(F.struct("node", "weight", "rest").alias("q"), F.col("leader").alias("p"))
+        return _ordered(few.select(*named("p", "q")).union(led.select(*named("p", "q"))), threshold)
+
+    def unsettled(open_: DataFrame, led_by: DataFrame, links: DataFrame) -> DataFrame:
+        """Members that neither lead their bucket nor are linked to one of its leaders."""
+        linked = links.select(F.col("a").alias("leader"), F.col("b").alias("node")).union(links.select(F.col("b").alias("leader"), F.col("a").alias("node")))
+        settled = open_.join(led_by, "key").join(linked, ["leader", "node"], "left_semi").select("key", "node")
+        settled = settled.union(led_by.select("key", F.col("leader").alias("node"))).distinct()
+        return cut(open_.join(settled, ["key", "node"], "left_anti"), "open")
+
+    def text_of(nodes: DataFrame) -> DataFrame:
+        """(node, text) of the distinct ``nodes``."""
+        place = texts.join(nodes, "node").select("node", "at._id", "at._tag")
+        full = rows_of.join(place, ["_id", "_tag"]).select("node", "text")
+        return full.dropDuplicates(["node"]) if again else full
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs similar by the whole texts."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        place = texts.join(wanted, "node").select("node", "at._id", "at._tag")
-        full = rows_of.join(place, ["_id", "_tag"]).select("node", "text").dropDuplicates(["node"]) if again else rows_of.join(place, ["_id", "_tag"]).select("node", "text")
+        full = text_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         second = pairs.join(full.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         both = second.join(full.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         task = _similarities(width, frequent)
         return both.select("a", "b", "ta", "tb").mapInArrow(task, "a binary, b binary, similarity double").where(F.col("similarity") >= threshold)
 
     again = repeated_ids(docs)
-    few = member.where(F.col("size").between(3, SMALL)).groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("node", "weight"))).alias("all")
-    )
-    few = few.select(F.explode("all").alias("p"), "all").select("p", F.explode("all").alias("q")).where("p.node < q.node")
-    weights = texts.select(F.col("node").alias("leader"), F.col("weight").alias("lw"))
-    led = member.where(f"size = 2 or size > {SMALL}").join(weights, "leader")
-    pairs = cut(_ordered(
-        few.select(F.col("p.node").alias("x"), F.col("p.weight").alias("wa"), F.col("q.node").alias("y"), F.col("q.weight").alias("wb"))
-        .union(led.select(F.col("leader").alias("x"), F.col("lw").alias("wa"), F.col("node").alias("y"), F.col("weight").alias("wb"))),
-        threshold,
-    ), "pairs")
+    member = buckets(texts.select("node", "weight", F.col("weight").alias("rest"), F.explode("keys").alias("key")))
+    pairs = cut(candidates(member), "pairs")
     links = cut(verified(pairs), "links")
-
-    open_ = member.where(F.col("size") > SMALL).where("node != leader").select("key", "node", "weight", "leader")
-    leaders = 1
-    while True:
-        joined = links.select(F.col("a").alias("leader"), F.col("b").alias("node")).union(links.select(F.col("b").alias("leader"), F.col("a").alias("node")))
-        open_ = cut(open_.join(joined, ["leader", "node"], "left_anti").select("key", "node", "weight"), "open")
-        if open_.isEmpty():
-            break
-        leaders *= 2
-        # the first members still open lead next; a bucket's open members are ranked by partial lists of that length
-        slots = open_.withColumn("slot", F.pmod(F.xxhash64("node"), F.lit(leaders)))
-        chosen = slots.groupBy("key", "slot").agg(F.min(F.struct("node", "weight")).alias("l")).select("key", F.col("l.node").alias("leader"), F.col("l.weight").alias("lw"))
-        met = member.where(F.col("size") > SMALL).select("key", "node", "weight").join(chosen, "key").where("node != leader")
-        new = _ordered(met.select(F.col("leader").alias("x"), F.col("lw").alias("wa"), F.col("node").alias("y"), F.col("weight").alias("wb")), threshold)
-        new = cut(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        pairs = cut(pairs.union(new), "pairs")
-        links = cut(links.union(verified(new)), "links")
-        # settled: the leaders themselves, and members linked to one of them
-        lead = chosen.select("key", F.col("leader").alias("node"))
-        both = links.select(F.col("a").alias("leader"), F.col("b").alias("node")).union(links.select(F.col("b").alias("leader"), F.col("a").alias("node")))
-        settled = open_.join(chosen.select("key", "leader"), "key").join(both, ["leader", "node"]).select("key", "node").union(lead).distinct()
-        open_ = open_.join(settled, ["key", "node"], "left_anti").withColumn("leader", F.lit(None).cast("binary"))
+    large = member.where(F.col("size") > SMALL)
+    open_ = unsettled(large.where("node != leader.node").select("key", "node"), large.select("key", F.col("leader.node").alias("leader")).distinct(), links)
+    if not open_.isEmpty():
+        # large buckets of texts that are not alike: similar texts share one of their rarest shingles
+        unlike = large.join(open_.select("key").distinct(), "key", "left_semi").groupBy("node").agg(F.first("weight").alias("weight"))
+        unlike = unlike.join(open_.select("node", F.lit(True).alias("open")).distinct(), "node", "left")
+        held = cut(text_of(unlike.select("node")).join(unlike, "node").select("node", "weight", F.coalesce("open", F.lit(False)).alias("open"), "text"), "unlike")
+        common = _common(held, width, frequent)
+        member = buckets(held.mapInArrow(_prefixes(width, threshold, frequent, common), "key long, node binary, weight double, rest double, open boolean"))
+        new = cut(candidates(member).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        pairs, links = pairs.union(new), links.union(cut(verified(new), "links"))
+        large = member.where(F.col("size") > SMALL)
+        led_by = large.select("key", F.col("leader.node").alias("leader")).distinct()
+        partner = F.col("rest") >= (F.col("weight") + F.col("lightest")) * (threshold / (1 + threshold) - 1e-6)
+        open_ = large.where("open and node != leader.node").where(partner).select("key", "node", "first")
+        slots = 1
+        while True:
+            open_ = unsettled(open_, led_by, links)
+            if open_.isEmpty():
+                break
+            slots *= GROWTH
+            chosen = open_.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(F.min("first").alias("p"))
+            led_by = chosen.select("key", F.col("p.node").alias("leader"))
+            met = large.select("key", F.struct("node", "weight", "rest").alias("q")).join(chosen.select("key", "p"), "key")
+            new = cut(_ordered(met.select(*named("p", "q")), threshold).join(pairs, ["a", "b"], "left_anti"), "pairs")
+            pairs, links = pairs.union(new), links.union(cut(verified(new), "links"))
+        links = cut(links, "links")
 
     labels = _components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
