@@ -97,7 +97,7 @@ def _round(cells):
 
 def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), most: float = 3.0) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``size``, ``source_size``, ``target``, ``rate``, ``copies``,
-    ``taken`` (size times copies), and the row key ``_id``, ``_tag``.
+    ``taken`` (size times copies), and the row key ``_id``, ``_tag``, ``_source``.
 
     Only ``doc_id``, ``text`` and ``source`` are read, so other columns cannot clash. NULL or empty text:
     size 0 and taken 0; it is taken as often as its source's rate has whole copies. NULL source: a source of its own, after all others. A source without words
@@ -138,5 +138,19 @@ def mix(docs: DataFrame, weights=(5.0, 2.0, 1.0), most: float = 3.0) -> DataFram
     copies = (F.floor("p.rate") + F.when(F.col("r.rank") <= F.col("r.share"), 1).otherwise(0)).cast("int")
     return done.select(
         "r.doc_id", "r.size", "p.source_size", "p.target", "p.rate", copies.alias("copies"),
-        (F.col("r.size") * copies).cast("long").alias("taken"), "r._id", "r._tag",
+        (F.col("r.size") * copies).cast("long").alias("taken"), "r._id", "r._tag", F.col("r.source").alias("_source"),
     )
+
+
+def taken(docs: DataFrame, weights=(5.0, 2.0, 1.0), most: float = 3.0) -> DataFrame:
+    """``docs`` with all its columns, each row as often as the mix takes it."""
+    key = ("_id", "_tag", "_none", "_name", "_nth")
+    # rows equal in id, text and source take each other's copies
+    nth = lambda order: F.row_number().over(Window.partitionBy(*key[:4]).orderBy(order))
+    named = lambda source: {"_none": source.isNull(), "_name": F.coalesce(source.cast("string"), F.lit(""))}
+    plan = mix(docs, weights, most).select("_id", "_tag", "copies", "_source").withColumns(named(F.col("_source")))
+    plan = plan.withColumn("_nth", nth("copies")).where("copies > 0").select(*key, "copies")
+    rows = docs.select(row_id().alias("_id"), F.xxhash64("text").alias("_tag"), F.struct("*").alias("_row"))
+    rows = rows.withColumns(named(F.col("_row.source"))).withColumn("_nth", nth(F.lit(0)))
+    joined = rows.join(plan, list(key))
+    return joined.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).select("_row.*")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_classifier, quality_rules, substrings, token_counts, toxicity
+import corpus_pipeline
+from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_classifier, quality_rules, substrings, token_counts, toxicity, warc
 from corpusgauge.llm.common import table
+from corpusgauge.session import cut
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -61,6 +63,20 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query
+def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records of an archive of the pages with their fixity. The replica it is compared with has lost a
+    byte's value in the records of some pages."""
+    pages = table(spark, sf_dir, "pages")
+    rotten = F.when(F.col("page_id") % 97 == 13, F.concat(F.lit("?"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    stored = cut(warc.archive(pages), "archive")
+    found = warc.audit(stored, cut(warc.archive(pages.withColumn("html", rotten)), "archive"))
+    status = F.coalesce("status", F.lit("intact")).alias("status")
+    return stored.join(found.select("file", "slot", "status", "other_digest"), ["file", "slot"], "left").select(
+        F.col("key").alias("page_id"), "file", "start", "length", "digest", status, "other_digest"
+    )
+
+
 @query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -71,6 +87,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.by_line(table(spark, sf_dir, "documents"))
 
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
+
 _PLAIN = r"translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RUNS = r"regexp_extract_all(" + _PLAIN + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -144,3 +163,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND {_rules_sql()} AS kept
 FROM r
 """
+
+
+def _record_sql(body: str) -> str:
+    line = "chr(13) || chr(10)"
+    return (
+        f"'WARC/1.1' || {line} || 'WARC-Type: response' || {line} || 'WARC-Target-URI: ' || coalesce(url, '') || {line}"
+        f" || 'Content-Length: ' || strlen(coalesce({body}, '')) || {line} || {line} || coalesce({body}, '') || {line} || {line}"
+    )
+
+
+SQL["op8_warc_fixity"] = f"""
+WITH p AS (SELECT *, CASE WHEN page_id % 97 = 13 THEN '?' || html[2:] ELSE html END AS other FROM pages),
+r AS (SELECT page_id, page_id // 1024 AS file, {_record_sql('html')} AS a, {_record_sql('other')} AS b FROM p),
+h AS (SELECT page_id, file, CAST(strlen(a) AS BIGINT) AS length, sha256(a) AS digest, sha256(b) AS o FROM r)
+SELECT page_id, file,
+       CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
+       length, digest, CASE WHEN digest <> o THEN 'altered' ELSE 'intact' END AS status,
+       CASE WHEN digest <> o THEN o END AS other_digest
+FROM h
+"""

@@ -11,6 +11,7 @@ threshold are located.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -197,8 +198,6 @@ def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFra
 
 def _flags(model):
     """Scores of a series of texts."""
-    import pandas as pd
-
     bias, known, weight = model
 
     def scores(texts: pd.Series) -> pd.Series:
