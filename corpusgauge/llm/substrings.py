@@ -238,7 +238,7 @@ def _kept(width: int):
     return task
 
 
-def remove_repeated(docs: DataFrame, width: int = 13, seed: int = 3) -> DataFrame:
+def remove_repeated(docs: DataFrame, width: int = 13, seed: int = 3, sample: int = 16) -> DataFrame:
     """One row per input row: ``doc_id``, ``n_words``, ``n_removed``, ``kept_text``.
 
     A word goes if a window of ``width`` words that covers it also starts in a document with a
@@ -254,7 +254,7 @@ def remove_repeated(docs: DataFrame, width: int = 13, seed: int = 3) -> DataFram
         F.col("doc_id").cast("long").alias("doc_id"), row_id().alias("_id"), row_tag(docs).alias("_tag"),
         F.col("text").cast("binary").alias("text"),
     )
-    late = repeated_windows(rows.select("_id", "_tag", "text"), width, seed)
+    late = repeated_windows(rows.select("_id", "_tag", "text"), width, seed, sample)
     ranges = late.groupBy("_id", "_tag").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
     joined = rows.join(ranges, ["_id", "_tag"], "left").select("doc_id", "text", "ranges")
     done = joined.mapInArrow(_kept(width), "doc_id long, n_words long, n_removed long, kept_text binary")

@@ -138,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 12_000, most_features: i
     feature = np.array([r["feature"] for r in found], np.int64).view(np.uint64)
     weight = np.array([r["weight"] for r in found], float)
     if not len(found):
-        return -700.0, feature, weight
+        return -np.inf, feature, weight
     by = np.argsort(feature[1:])
     return float(weight[0]), feature[1:][by], weight[1:][by]
 
