@@ -190,14 +190,12 @@ def hash_split_rows(t):
     )
 
 
-@query("""with a as (select doc_id k from documents where source = 'src0'),
- b as (select case when d.source = 'src0' then d.doc_id else -d.doc_id - 1 end k from documents d join labels l using (doc_id))
+@query("""with a as (select doc_id k from documents),
+ b as (select case when quality = 0 then doc_id else -doc_id - 1 end k from labels)
  select distinct k as key from a where k in (select k from b)""")
 def pool_disjoint(t):
-    made = t.documents.where("source = 'src0'")
-    moved = F.when(F.col("source") == "src0", F.col("doc_id")).otherwise(-F.col("doc_id") - 1)
-    generated = t.documents.join(t.labels, "doc_id").select(moved.alias("edit_id"))
-    return audit.shared_keys(made, "doc_id", generated, "edit_id")
+    moved = F.when(F.col("quality") == 0, F.col("doc_id")).otherwise(-F.col("doc_id") - 1)
+    return audit.shared_keys(t.documents, "doc_id", t.labels.select(moved.alias("edit_id")), "edit_id")
 
 
 @query("""with r as (select s_suppkey, list_extract(['bf16', 'nf4', 'int8', 'bf16'], (s_nationkey % 4 + 1)::int) p from supplier),

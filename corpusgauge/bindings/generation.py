@@ -3,16 +3,21 @@
 from pyspark.sql import functions as F
 
 from corpusgauge.bindings.registry import query
-from corpusgauge.functions.ids import sha_id
+from corpusgauge.functions.ids import sha_id, sha_id_63
 from corpusgauge.functions.text import word_error_rate
 from corpusgauge.operators import generate, ordering, prepare
 
 SHA = "('0x' || substr(sha256({}), 1, 15))::bigint"
 
 
-@query(f"select doc_id, {SHA.format('source || $$|$$ || lang || $$|$$ || doc_id')} row_id from documents")
+WIDE = "((('0x' || substr(sha256({}), 1, 16))::ubigint) >> 1)::bigint"
+PARTS = "source || $$|$$ || lang || $$|$$ || doc_id"
+
+
+@query(f"select doc_id, {SHA.format(PARTS)} row_id, {WIDE.format(PARTS)} wide_id from documents")
 def det_id(t):
-    return t.documents.select("doc_id", sha_id(F.col("source"), F.col("lang"), F.col("doc_id")).alias("row_id"))
+    parts = F.col("source"), F.col("lang"), F.col("doc_id")
+    return t.documents.select("doc_id", sha_id(*parts).alias("row_id"), sha_id_63(*parts).alias("wide_id"))
 
 
 IDENTITIES = f"""i as (select c_custkey, {SHA.format("'identity|' || c_custkey")} identity_id, {SHA.format("'seed|' || c_custkey")} seed, 'n' || c_nationkey source_subject,
@@ -41,31 +46,43 @@ def scene_views(t):
         "scene_id", "identity_id", "pose_id", "pose", "env_id", "split", "view_index")
 
 
-EDIT_ROWS = ", ".join(str(e) for e in generate.EDITS)
+# A specification of our own: edit, kind, parameter, amount, wrong part. No edit is called "missing".
+EDITS = (
+    ("lift", "limb", "angle", 30.0, "turn"), ("turn", "limb", "angle", -45.0, "lift"), ("grow", "shape", "size", 0.25, "shrink"),
+    ("shrink", "shape", "size", -0.2, "grow"), ("paint", "surface", "hue", 0.5, "missing"),
+)
+GRADES = ((1, 1.0, "none"), (2, 0.6, "none"), (3, 1.0, "part"), (4, 0.8, "subject"))
+EDIT_ROWS = ", ".join(str(e) for e in EDITS)
 
 
-@query(f"""with e(edit, kind, wrong) as (values {EDIT_ROWS}), g("rank", scale, err) as (values (1, 1.0, 'none'), (2, 0.5, 'none'), (3, 0.3, 'none'), (4, 1.0, 'part'), (5, 1.0, 'subject'))
- select s_suppkey, e.edit, "rank", case when err = 'part' then e.wrong else e.edit end target, case when err = 'part' then w.kind else e.kind end target_kind, scale::double scale, err = 'subject' wrong_subject, false problem
- from supplier, g, e join e w on w.edit = e.wrong""")
+@query(f"""with e(edit, kind, parameter, amount, wrong) as (values {EDIT_ROWS}), g("rank", scale, err) as (values {', '.join(str(g) for g in GRADES)}),
+ c as (select s_suppkey, e.edit, "rank", case when err = 'part' then e.wrong else e.edit end target, scale::double scale, err = 'subject' wrong_subject from supplier, g, e)
+ select s_suppkey, c.edit, "rank", target, w.kind target_kind, w.parameter, round(w.amount * scale, 6)::double amount, scale, wrong_subject, w.edit is null problem from c left join e w on w.edit = target""")
 def graded_candidates(t):
-    return generate.graded_candidates(t.supplier, "s_suppkey")
+    made = generate.graded_candidates(t.supplier, "s_suppkey", EDITS, GRADES)
+    return made.withColumn("amount", F.round("amount", 6))
 
 
-VOICES = ", ".join(str(v) for v in generate.VOICE_RANKS)
+# A specification of our own: rank, kind, severity, pitch, tempo, voice and text source.
+VOICE_RANKS = (
+    (1, "same", 1.0, 0.0, 1.0, "self", "self"), (2, "higher", 0.8, 3.0, 1.0, "self", "self"), (3, "lower", 0.8, -3.0, 1.0, "self", "self"),
+    (4, "hasty", 0.6, 0.0, 1.25, "self", "self"), (5, "other words", 0.4, 0.0, 1.0, "self", "next"),
+    (6, "set words", 0.4, 0.0, 1.0, "self", "fixed"), (7, "other voice", 0.2, 0.0, 1.0, "pool", "self"),
+)
+SET_WORDS = "One two three four five."
+VOICES = ", ".join(str(v) for v in VOICE_RANKS)
 
 
 @query(f"""with v("rank", kind, severity, pitch, tempo, voice_source, text_source) as (values {VOICES}),
- f as (select conv_id, min_by(text, turn) said from conversations group by 1), c as (select *, coalesce(lead(said) over (order by conv_id), first(said) over (order by conv_id)) nxt, row_number() over (order by conv_id) - 1 i from f),
+ c as (select conv_id, turn, text said, coalesce(lead(text) over (order by conv_id, turn), first(text) over (order by conv_id, turn)) nxt, row_number() over (order by conv_id, turn) - 1 i from conversations),
  p as (select s_name vo, row_number() over (order by s_name) - 1 slot, count(*) over () n from supplier)
- select conv_id, "rank", kind, severity::double severity, pitch::double pitch, tempo::double tempo, case when voice_source = 'pool' then vo else 'self' end voice,
- case text_source when 'next' then nxt when 'fixed' then 'The quick brown fox jumps over the lazy dog.' else said end target_text from v, c join p on slot = i % n""")
+ select conv_id, turn, "rank", kind, severity::double severity, pitch::double pitch, tempo::double tempo, case when voice_source = 'pool' then vo else 'self' end voice,
+ case text_source when 'next' then nxt when 'fixed' then '{SET_WORDS}' else said end target_text from v, c join p on slot = i % n""")
 def candidate_text(t):
-    first = t.conversations.groupBy("conv_id").agg(F.min_by("text", "turn").alias("said"))
-    return generate.voice_candidates(first, "conv_id", "said", t.supplier, "s_name")
+    return generate.voice_candidates(t.conversations, ["conv_id", "turn"], "text", VOICE_RANKS, SET_WORDS, t.supplier, "s_name")
 
 
-# Candidate kind of each rank.
-RANK_KINDS = tuple((r, kind) for r, kind, *_ in generate.VOICE_RANKS)
+RANK_KINDS = tuple((r, kind) for r, kind, *_ in VOICE_RANKS)
 
 
 @query(f"""with k("rank", kind) as (values {', '.join(str(k) for k in RANK_KINDS)}) select l_orderkey, l_partkey, l_linenumber, kind candidate_kind from lineitem join k on "rank" = l_linenumber""")

@@ -81,6 +81,5 @@ def stream_gate(t):
 def stream_log(t):
     root = scratch(t.spark, "log")
     stream = incremental.shards(t.spark, t.folder, t.events.schema, "events.parquet")
-    unique = incremental.deduplicated(stream, ["event_id"], "ts", "1 hour")
-    q = incremental.log_stream(unique.select("event_id", "ts", "event_type", "value"), root)
+    q = incremental.log_stream(stream.select("event_id", "ts", "event_type", "value"), ["event_id"], "ts", "1 hour", root)
     return incremental.finished(q, lambda: t.spark.read.parquet(f"{root}/log").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))

@@ -38,15 +38,14 @@ def pivot_long(t):
 
 @query("""with s as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity from lineitem),
  c as (select l_orderkey, l_linenumber, string_agg(l_partkey::varchar || ':' || l_quantity::int, ',' order by l_partkey, l_suppkey, l_extendedprice, l_quantity) scores from s group by 1, 2)
- select o_orderkey l_orderkey, count(l_linenumber) n_candidates, coalesce(string_agg(l_linenumber || '=' || scores, ';' order by l_linenumber), '') nested from orders left join c on o_orderkey = l_orderkey group by 1""")
+ select o_orderkey l_orderkey, l_linenumber, coalesce(scores, '') scores from orders left join c on o_orderkey = l_orderkey""")
 def nest_candidates(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     nested = shred.nest(lines, "l_orderkey", ["l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"], ["l_partkey", "l_quantity"])
     roots = t.orders.select(F.col("o_orderkey").alias("l_orderkey"))
     full = shred.with_empty_roots(roots, nested, "l_orderkey")
     score = lambda s: F.concat(s["l_partkey"], F.lit(":"), s["l_quantity"].cast("int"))
-    flat = F.transform("candidates", lambda c: F.concat(c["l_linenumber"], F.lit("="), F.array_join(F.transform(c["scores"], score), ",")))
-    return full.select("l_orderkey", F.size("candidates").cast("long").alias("n_candidates"), F.array_join(flat, ";").alias("nested"))
+    return full.select("l_orderkey", "l_linenumber", F.array_join(F.transform("scores", score), ",").alias("scores"))
 
 
 @query("""select stub, rank, count(*) n from (select 'first' stub, l_linenumber rank from lineitem where l_linestatus = 'O' union all

@@ -42,15 +42,15 @@ def cosine(t):
     return a.join(b, "vec_id").select("vec_id", F.round(vectors.cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"))
 
 
-@query("""with m as (select distinct l_suppkey s, l_quantity::int x, (round(l_discount * 100))::int y from lineitem where l_returnflag = 'A'),
- p as (select l_suppkey s, l_quantity + 0.5 x, l_tax * 250 y, count(*) n from lineitem where l_returnflag = 'R' group by 1, 2, 3)
- select p.s l_suppkey, p.x, round(p.y, 4) y, p.n, round(min(sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2)) filter (where sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2) <= 3), 5) distance
+@query("""with m as (select distinct l_suppkey s, l_quantity::int x, (round(l_discount * 100))::int y from lineitem where l_returnflag <> 'R'),
+ p as (select l_suppkey s, l_quantity * 1.5 + 0.5 x, l_tax * 2500 y, count(*) n from lineitem where l_returnflag <> 'A' group by 1, 2, 3)
+ select p.s l_suppkey, p.x, round(p.y, 4) y, p.n, round(min(sqrt((p.x - m.x) ** 2 + (p.y - m.y) ** 2)), 5) distance
  from p left join m on m.s = p.s group by p.s, p.x, p.y, p.n""")
 def mask_distance(t):
     y = F.round(F.col("l_discount") * 100)
-    cells = t.lineitem.where("l_returnflag = 'A'").select("l_suppkey", F.col("l_quantity").alias("x"), y.alias("y"))
-    points = t.lineitem.where("l_returnflag = 'R'").select("l_suppkey", (F.col("l_quantity") + 0.5).alias("x"), (F.col("l_tax") * 250).alias("y"))
-    d = nearest.lattice_distance(points, cells, "l_suppkey", "x", "y", reach=3)
+    cells = t.lineitem.where("l_returnflag <> 'R'").select("l_suppkey", F.col("l_quantity").alias("x"), y.alias("y"))
+    points = t.lineitem.where("l_returnflag <> 'A'").select("l_suppkey", (F.col("l_quantity") * 1.5 + 0.5).alias("x"), (F.col("l_tax") * 2500).alias("y"))
+    d = nearest.lattice_distance(points, cells, "l_suppkey", "x", "y")
     return d.withColumn("distance", F.round("distance", 5)).withColumn("y", F.round("y", 4))
 
 
@@ -66,14 +66,14 @@ def zbuffer_vis(t):
     return out.withColumn("visibility", F.col("visibility").cast("int"))
 
 
-@query("""with c as (select l_suppkey s, l_quantity x, l_discount y, bool_or(l_returnflag = 'A') a, bool_or(l_returnflag = 'R') r from lineitem where l_returnflag in ('A', 'R') group by 1, 2, 3),
+@query("""with c as (select l_suppkey s, l_quantity x, l_discount y, bool_or(l_returnflag <> 'R') a, bool_or(l_returnflag <> 'A') r from lineitem group by 1, 2, 3),
  g as (select s_suppkey from supplier union all select -1)
  select s_suppkey l_suppkey, count(*) filter (where a and r) shared, count(a) either, round(case when count(a) > 0 then count(*) filter (where a and r) / count(a) else 0 end, 6) iou from g left join c on s = s_suppkey group by 1""")
 def iou(t):
-    side = lambda f: t.lineitem.where(F.col("l_returnflag") == f)
+    side = lambda other: t.lineitem.where(F.col("l_returnflag") != other)
     unseen = t.spark.range(1).select(F.lit(-1).cast("long").alias("l_suppkey"))
     renders = t.supplier.select(F.col("s_suppkey").alias("l_suppkey")).union(unseen)
-    out = spatial.iou(side("A"), side("R"), "l_suppkey", ["l_quantity", "l_discount"], renders)
+    out = spatial.iou(side("R"), side("A"), "l_suppkey", ["l_quantity", "l_discount"], renders)
     return out.withColumn("iou", F.round("iou", 6))
 
 

@@ -107,16 +107,15 @@ def nondetect_stats(t):
     return compare.with_refusals(e, ["event_type"], "v").withColumn("mean", F.round("mean", 4))
 
 
-@query("""with p as (select vec_id, i - 1 idx, embedding[3*i-2]::double x, embedding[3*i-1]::double y, embedding[3*i]::double z, embedding[i]::double u, embedding[i+1]::double v, embedding[i+2]::double w
-  from embeddings, unnest(range(1, 22)) t(i))
- select vec_id, count(*) n, round(avg(sqrt((x-u)**2 + (y-v)**2 + (z-w)**2)), 5) mean_drift, round(max(sqrt((x-u)**2 + (y-v)**2 + (z-w)**2)), 5) max_drift from p group by 1""")
+@query("""with p as (select vec_id, i - 1 idx, embedding[4*i-3:4*i]::double[] a, list_reverse(embedding)[4*i-3:4*i]::double[] b from embeddings, unnest(range(1, 17)) t(i))
+ select vec_id, count(*) n, round(avg(list_distance(a, b)), 5) mean_drift, round(max(list_distance(a, b)), 5) max_drift from p group by 1""")
 def point_drift(t):
     at = lambda k: F.get("embedding", k).cast("double")
     i = F.col("idx")
-    e = t.embeddings.select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("idx"))
-    a = e.select("vec_id", "idx", at(3 * i).alias("x"), at(3 * i + 1).alias("y"), at(3 * i + 2).alias("z"))
-    b = e.select("vec_id", "idx", at(i).alias("x"), at(i + 1).alias("y"), at(i + 2).alias("z"))
-    d = compare.point_drift(a, b, ["vec_id"], "idx", ["x", "y", "z"])
+    e = t.embeddings.select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("idx"))
+    a = e.select("vec_id", "idx", *[at(4 * i + k).alias(n) for k, n in enumerate("wxyz")])
+    b = e.select("vec_id", "idx", *[at(63 - 4 * i - k).alias(n) for k, n in enumerate("wxyz")])
+    d = compare.point_drift(a, b, ["vec_id"], "idx", list("wxyz"))
     return d.select("vec_id", "n", F.round("mean_drift", 5).alias("mean_drift"), F.round("max_drift", 5).alias("max_drift"))
 
 
@@ -160,12 +159,13 @@ def tail_means(t):
     return m.select("l_suppkey", "n", F.round("top", 4).alias("top"), F.round("bottom", 4).alias("bottom"))
 
 
-@query("""with c as (select l_partkey, round(l_discount, 3) d, round(l_tax, 3) x, count(*) c from lineitem group by 1, 2, 3), s as (select *, sum(c) over (partition by l_partkey)::bigint n from c),
- f as (select *, n >= 20 and c >= greatest(3, n // 10) ok, d * 0.2126 + x * 0.7152 luma from s)
- select l_partkey, n, max_by(d || '/' || x, (luma, -d, -x)) filter (where ok) lightest, min_by(d || '/' || x, (luma, d, x)) filter (where ok) darkest from f group by 1, 2""")
+@query("""with c as (select l_partkey, round(l_discount, 3) d, round(l_tax, 3) x, round(l_quantity / 500, 3) q, count(*) c from lineitem group by 1, 2, 3, 4), s as (select *, sum(c) over (partition by l_partkey)::bigint n from c),
+ f as (select *, n >= 20 and c >= greatest(3, n // 10) ok, d * 0.2126 + x * 0.7152 + q * 0.0722 luma from s)
+ select l_partkey, n, max_by(d || '/' || x || '/' || q, (luma, -d, -x, -q)) filter (where ok) lightest, min_by(d || '/' || x || '/' || q, (luma, d, x, q)) filter (where ok) darkest from f group by 1, 2""")
 def frequent_extremes(t):
-    e = stats.frequent_extremes(t.lineitem, "l_partkey", ["l_discount", "l_tax"], stats.LUMA[:2])
-    text = lambda c: F.concat(F.col(f"{c}.l_discount"), F.lit("/"), F.col(f"{c}.l_tax")).alias(c)
+    lines = t.lineitem.withColumn("q", F.col("l_quantity") / 500)
+    e = stats.frequent_extremes(lines, "l_partkey", ["l_discount", "l_tax", "q"], stats.LUMA)
+    text = lambda c: F.concat(F.col(f"{c}.l_discount"), F.lit("/"), F.col(f"{c}.l_tax"), F.lit("/"), F.col(f"{c}.q")).alias(c)
     return e.select("l_partkey", "n", text("lightest"), text("darkest"))
 
 

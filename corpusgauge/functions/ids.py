@@ -19,6 +19,13 @@ def sha_id(*parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(joined(*parts), 256), 1, 15), 16, 10).cast("long")
 
 
+def sha_id_63(*parts: Column) -> Column:
+    """63-bit id from the first 16 hex digits of SHA-256, for relations of more than some 10^9 rows."""
+    digest = F.sha2(joined(*parts), 256)
+    whole = lambda at, n: F.conv(F.substring(digest, at, n), 16, 10).cast("long")
+    return F.shiftleft(whole(1, 8), 31).bitwiseOR(F.shiftright(whole(9, 8), 1))
+
+
 @F.pandas_udf(T.LongType())
 def _blake63(text: pd.Series) -> pd.Series:
     mask = (1 << 63) - 1

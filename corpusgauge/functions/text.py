@@ -11,8 +11,11 @@ from pyspark.sql import types as T
 
 # The characters that separate words.
 WORD_SPACE = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-# A local path anywhere inside a string; group 1 is its last component.
-LOCAL_PATH = r"(?i)(?:[A-Za-z]:[\\/]|/c/Users/|/Users/)(?:[^\s\"'/\\]*[/\\])*([^\s\"'/\\]*)"
+# How a local path begins, besides a drive letter.
+LOCAL_ROOTS = ("/c/Users/", "/Users/")
+_INSIDE = r"[^\s\"'/\\]*"
+# a local path anywhere inside a string; group 1 is its last component
+LOCAL_PATH = r"(?i)(?:[A-Z]:[\\/]|" + "|".join(LOCAL_ROOTS) + rf")(?:{_INSIDE}[/\\])*({_INSIDE})"
 # Markers that refuse a path.
 FORBIDDEN_MARKERS = ("val2017", "coco-ood", "rf-detr-keypoint-data", "nf4", "int4", "int8")
 # The marker before a judge's answer.

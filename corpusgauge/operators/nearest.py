@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusgauge.operators.ordering import exact_percentiles
+from corpusgauge.session import cut
 
 PIVOTS = 16
 BLOCK = 4096
@@ -133,17 +134,30 @@ def proximity(matches: DataFrame, targets: DataFrame, target_id: str, group: str
     return q.select(group, "n", (F.col("q") * 100 / size).alias("percent"))
 
 
-def lattice_distance(
-    points: DataFrame, cells: DataFrame, group: str, x: str, y: str, reach: int = 3
-) -> DataFrame:
-    """(group, x, y, n, distance): distance from each distinct point to the nearest mask cell, or
-    NULL when none lies within ``reach``. A point looks only at the cells its reach can touch."""
-    spots = points.groupBy(group, x, y).agg(F.count(F.lit(1)).alias("n"))
-    mask = cells.select(group, F.col(x).cast("long").alias("_cx"), F.col(y).cast("long").alias("_cy")).distinct()
-    span = lambda c: F.sequence(F.ceil(F.col(c) - reach), F.floor(F.col(c) + reach))
-    around = spots.select("*", F.explode(span(x)).alias("_cx"))
-    around = around.select("*", F.explode(span(y)).alias("_cy"))
-    gap = F.sqrt((F.col(x) - F.col("_cx")) ** 2 + (F.col(y) - F.col("_cy")) ** 2)
-    around = around.withColumn("_d", gap).where(F.col("_d") <= reach)
-    hit = around.join(mask, [group, "_cx", "_cy"]).groupBy(group, x, y).agg(F.min("_d").alias("distance"))
-    return spots.join(hit, [group, x, y], "left")
+def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y: str, reach: int = 4) -> DataFrame:
+    """(group, x, y, n, distance): distance from each distinct point to the nearest mask cell of its
+    group, NULL only for a group without mask cells.
+
+    Points meet the cells of their own and the eight neighbouring squares of side ``reach``, so a distance up
+    to the side is exact. Points that found none so near go on with squares four times as wide, until all
+    have one. Rounds grow with the logarithm of the largest distance.
+    """
+    keys = [group, x, y]
+    spots = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    mask = cut(cells.select(group, F.col(x).cast("long").alias("_cx"), F.col(y).cast("long").alias("_cy")).distinct(), "mask")
+    open_ = cut(spots.select(*keys).join(mask.select(group).distinct(), group, "left_semi"), "points")
+    found = None
+    while not open_.isEmpty():
+        square = lambda c, side=reach: F.floor(F.col(c) / side)
+        around = lambda c: F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: square(c) + d))
+        near = open_.select("*", around(x).alias("_bx")).select("*", around(y).alias("_by"))
+        placed = mask.select("*", square("_cx").alias("_bx"), square("_cy").alias("_by"))
+        gap = F.sqrt((F.col(x) - F.col("_cx")) ** 2 + (F.col(y) - F.col("_cy")) ** 2)
+        met = near.join(placed, [group, "_bx", "_by"]).groupBy(*keys).agg(F.min(gap).alias("distance"))
+        hit = cut(met.where(F.col("distance") <= reach), "distances")
+        found = hit if found is None else found.union(hit)
+        open_ = cut(open_.join(hit, keys, "left_anti"), "points")
+        reach *= 4
+    if found is None:
+        return spots.withColumn("distance", F.lit(None).cast("double"))
+    return spots.join(found, keys, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusgauge.functions.text import base_name, is_absolute, plain_name
+from corpusgauge.functions.text import base_name, plain_name
 
 # A tagged claim is <!--claim:name=value tol=t-->, with tol optional.
 CLAIM = r"<!--\s*claim:(\w+)=([-\d.]+)(?:\s+tol=([\d.]+))?\s*-->"
@@ -18,11 +18,12 @@ def references(records: DataFrame, inputs: str, output: str) -> DataFrame:
 
 
 def resolve_references(refs: DataFrame, served: DataFrame, name: str) -> DataFrame:
-    """(path, n, state): absolute, missing or served, per distinct path. Absolute wins."""
+    """(path, n, state): absolute, missing or served, per distinct path. Absolute wins: a leading
+    slash, or a colon anywhere."""
     distinct = refs.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
     have = served.select(F.col(name).alias("path")).distinct().withColumn("_served", F.lit(True))
     state = (
-        F.when(is_absolute(F.col("path")), "absolute")
+        F.when(F.col("path").startswith("/") | F.contains("path", F.lit(":")), "absolute")
         .when(F.col("_served"), "served")
         .otherwise("missing")
     )

@@ -91,34 +91,21 @@ def with_default(wide: DataFrame, names: Sequence[str], default: float = 0.0) ->
     return wide.fillna({n: default for n in names})
 
 
-def nest(
-    scores: DataFrame, root: str, candidate: Sequence[str], order: Sequence[str], fields: Sequence[str],
-    at_most: int = 10_000,
-) -> DataFrame:
-    """(root, part, candidates): candidates of a root, each with its ordered scores.
-
-    Any array holds at most ``at_most`` scores: a root with more is continued in further parts
-    (numbered in order), so no group is gathered whole and no score is lost. Only the scores of such
-    roots are numbered; the others go straight to their aggregate.
-    """
+def nest(scores: DataFrame, root: str, candidate: Sequence[str], order: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """(root, candidate columns, scores): one row per root and candidate, with its scores in order.
+
+    The layout is the same whatever the size of a root: its candidates are rows, not one array, so a
+    root's size bounds no row, and only one candidate's scores are gathered at a time."""
     wanted = scores.select(*dict.fromkeys([root, *candidate, *order, *fields]))
-    large = wanted.groupBy(root).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > at_most).select(root)
-    whole = wanted.join(large, root, "left_anti").withColumn("part", F.lit(0).cast("long"))
-    split = row_numbers(wanted.join(large, root, "left_semi"), [*candidate, *order], "_n", [root])
-    split = split.withColumn("part", F.floor(F.col("_n") / at_most)).drop("_n")
-    numbered = whole.unionByName(split)
     score = F.struct(*dict.fromkeys([*order, *fields]))
-    per = numbered.groupBy(root, "part", *candidate).agg(F.array_sort(F.collect_list(score)).alias("scores"))
-    bare = F.transform("scores", lambda s: F.struct(*[s[f].alias(f) for f in fields]))
-    entry = F.struct(*candidate, bare.alias("scores"))
-    return per.groupBy(root, "part").agg(F.array_sort(F.collect_list(entry)).alias("candidates"))
+    per = wanted.groupBy(root, *candidate).agg(F.array_sort(F.collect_list(score)).alias("scores"))
+    return per.withColumn("scores", F.transform("scores", lambda s: F.struct(*[s[f].alias(f) for f in fields])))
 
 
 def with_empty_roots(roots: DataFrame, nested: DataFrame, key: str) -> DataFrame:
-    """Roots without candidates keep an empty array."""
-    kind = nested.schema["candidates"].dataType
-    empty = F.from_json(F.lit("[]"), kind)
-    return roots.join(nested, key, "left").withColumn("candidates", F.coalesce("candidates", empty))
+    """Roots without candidates keep one row, with NULL as candidate and an empty array of scores."""
+    empty = F.from_json(F.lit("[]"), nested.schema["scores"].dataType)
+    return roots.join(nested, key, "left").withColumn("scores", F.coalesce("scores", empty))
 
 
 def tags(df: DataFrame, key: Sequence[str], values: Column) -> DataFrame:

@@ -48,14 +48,17 @@ def problems(images: DataFrame, licences: DataFrame, holdout: DataFrame, classif
     shared = licences.agg(F.count_if(F.col("name").isin(*schemas.SHARE_ALIKE)).alias("n"))
     kept = classified.where("disposition = 'keep'").select("image_id", "license_id")
     leaked = kept.join(holdout.select("image_id").distinct(), "image_id", "left_semi").agg(n)
+    alike = licences.where(F.col("name").isin(*schemas.SHARE_ALIKE)).select("license_id").distinct()
+    shared_left = kept.join(alike, "license_id", "left_semi").agg(n)
     seen, given = by.agg(F.sum("n")).scalar(), images.agg(n).scalar()
     closure = images.sparkSession.range(1).select((F.coalesce(given, F.lit(0)) - F.coalesce(seen, F.lit(0))).alias("n"))
     rows = [
-        shared.where("n = 0").select(F.lit("no share-alike licence: the vocabulary changed and this filter no longer filters").alias("problem"), "n"),
-        told("holdout", "CONTAMINATION: rows carry a holdout id"),
-        told("null", "rows carry NULLs, violating the schema"),
-        leaked.where("n > 0").select(F.lit("POST-CHECK: holdout ids survived the filter").alias("problem"), "n"),
-        closure.where("n <> 0").select(F.lit("row arithmetic does not close").alias("problem"), "n"),
+        shared.where("n = 0").select(F.lit("none of the licences is share-alike, so the licence filter cannot have worked").alias("problem"), "n"),
+        told("holdout", "holdout images among the images to fetch"),
+        told("null", "images with a required field missing"),
+        leaked.where("n > 0").select(F.lit("holdout images in the finished list").alias("problem"), "n"),
+        shared_left.where("n > 0").select(F.lit("share-alike images in the finished list").alias("problem"), "n"),
+        closure.where("n <> 0").select(F.lit("dispositions do not add up to the images given").alias("problem"), "n"),
     ]
     return union_all(rows)
 

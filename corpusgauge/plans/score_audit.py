@@ -71,10 +71,9 @@ def nested(
     root: DataFrame, candidates: DataFrame, scores: DataFrame,
     candidate_key: Sequence[str] = ("row_key", "candidate"), score_key: Sequence[str] = ("row_key", "candidate"),
 ) -> tuple[DataFrame, DataFrame]:
-    """(wide, problems): root rows with candidates, each with its scores, and the key check rows.
+    """(wide, problems): a row per root and candidate with its scores, and the key check rows.
 
-    ``problems`` must be empty before ``wide`` is published. A root with very many scores continues
-    in further rows, numbered by ``part``.
+    ``problems`` must be empty before ``wide`` is published.
     """
     n = F.count(F.lit(1)).alias("n")
     keys = audit.key_set_difference(root, ["key"], candidates, ["row_key"])
@@ -93,7 +92,6 @@ def nested(
     every = candidates.join(named, list(candidate_key), "left").withColumnRenamed("row_key", "key")
     packed = shred.nest(every, "key", inner, fields, fields)
     # a candidate without scores keeps an empty array
-    scored = lambda s: s.getField(fields[0]).isNotNull()
-    filled = F.transform("candidates", lambda c: c.withField("scores", F.filter(c["scores"], scored)))
-    wide = shred.with_empty_roots(root, packed.withColumn("candidates", filled), "key")
-    return wide.fillna({"part": 0}), rows.where("state <> 'PASS'")
+    scored = F.filter("scores", lambda s: s.getField(fields[0]).isNotNull())
+    wide = shred.with_empty_roots(root, packed.withColumn("scores", scored), "key")
+    return wide, rows.where("state <> 'PASS'")

@@ -14,8 +14,25 @@ from corpusgauge.operators.audit import schema_problems, union_all
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Asks whichever file system the path belongs to."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder within its file system."""
+    system, at = _file_system(spark, source)
+    if not system.rename(at, _file_system(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
 
 
 @dataclass

@@ -11,12 +11,14 @@ from corpusgauge.schemas import ANNOTATION_DDL, struct
 from corpusgauge.sources.catalog import path_exists
 
 
-def list_files(spark: SparkSession, root: str, depth: int = 8) -> DataFrame:
-    """(path, bytes) of the files at most ``depth`` folders below ``root``. Contents are not read."""
+def list_files(spark: SparkSession, root: str, depth: int | None = None) -> DataFrame:
+    """(path, bytes) of all files below ``root``, or of those at most ``depth`` folders below it where a
+    depth is given. Contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     below = F.regexp_replace(F.col("path"), F.lit(r"^[a-z0-9]+:/*"), F.lit("/"))
     deep = F.size(F.split(below, "/")) - len([p for p in root.split("://")[-1].split("/") if p]) - 1
-    return files.where(deep <= depth).select(below.alias("path"), F.col("length").alias("bytes"))
+    kept = files if depth is None else files.where(deep <= depth)
+    return kept.select(below.alias("path"), F.col("length").alias("bytes"))
 
 
 def libraries(files: DataFrame, suffixes: Sequence[str], marker: str = ".cff") -> DataFrame:

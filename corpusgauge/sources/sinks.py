@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusgauge.functions.text import clock
 from corpusgauge.operators.prepare import shard_by_bytes
+from corpusgauge.sources.catalog import move, path_exists, remove
 
 
 def write_relation(df: DataFrame, path: str, mode: str = "errorifexists", level: int = 3) -> None:
@@ -47,16 +49,25 @@ def write_captions(df: DataFrame, key: str, start: str, path: str) -> None:
 
 
 class PublishRefused(ValueError):
-    """Raised with the first problems found; nothing was written."""
+    """Raised with the number of problems and the first of them; nothing was written."""
 
 
 def publish(tables: Mapping[str, DataFrame], problems: DataFrame, root: str) -> list[str]:
-    """Write every table under ``root`` only if ``problems`` has no row."""
-    found = [r.asDict() for r in problems.limit(20).collect()]
-    if found:
-        raise PublishRefused(f"{len(found)} or more problems, nothing written: {found[:5]}")
-    paths = []
-    for name, df in tables.items():
-        write_relation(df, f"{root}/{name}")
-        paths.append(f"{root}/{name}")
-    return paths
+    """Write every table under ``root``, which must not exist, only if ``problems`` has no row.
+
+    The tables are written beside it, and one rename puts them there together: a table that fails leaves
+    nothing under ``root``."""
+    n = problems.count()
+    if n:
+        raise PublishRefused(f"{n} problems, nothing written. First: {[r.asDict() for r in problems.limit(5).collect()]}")
+    spark, staged = problems.sparkSession, f"{root.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    if path_exists(spark, root):
+        raise PublishRefused(f"{root} exists")
+    try:
+        for name, df in tables.items():
+            write_relation(df, f"{staged}/{name}")
+        move(spark, staged, root)
+    except Exception:
+        remove(spark, staged)
+        raise
+    return [f"{root}/{name}" for name in tables]

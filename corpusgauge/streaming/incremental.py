@@ -15,7 +15,9 @@ from corpusgauge.sources.catalog import path_exists
 
 def append_new(df: DataFrame, key: Sequence[str], path: str) -> None:
     """Append the rows whose key the relation does not hold yet. Running it twice changes nothing."""
-    fresh = df.dropDuplicates(list(key))
+    others = [c for c in df.columns if c not in key]
+    # of rows that share a key, the least
+    fresh = df.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*").select(df.columns)
     if path_exists(df.sparkSession, path):
         held = df.sparkSession.read.schema(df.schema).parquet(path).select(*key).distinct()
         fresh = fresh.join(held, list(key), "left_anti")
@@ -30,12 +32,6 @@ def shards(spark: SparkSession, folder: str, schema: T.StructType, pattern: str
     )
 
 
-def deduplicated(stream: DataFrame, key: Sequence[str], event_time: str, delay: str) -> DataFrame:
-    """Drop repeats of a key that arrive within ``delay``; state older than that is let go."""
-    timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(key))
-
-
 def judge(batch: DataFrame, rules: Sequence[tuple[str, Column]], key: Sequence[str], held: DataFrame | None) -> DataFrame:
     """The batch with ``problem``: the first rule a row breaks, or a key that is already committed
     or repeated. Repeats are settled by an aggregate on the key, never by a window over it."""
@@ -81,11 +77,35 @@ def gate_stream(
     )
 
 
-def log_stream(measurements: DataFrame, root: str) -> StreamingQuery:
-    """Append-only measurement log: each finished batch is durable before the next begins."""
+def log_stream(measurements: DataFrame, key: Sequence[str], event_time: str, delay: str, root: str) -> StreamingQuery:
+    """Append-only measurement log: each finished batch is durable in ``root/log`` before the next begins.
+
+    A key is logged once. A batch is compared with the logged rows whose time is not more than ``delay``
+    before its earliest row that is in time, so older files are left out by their statistics. Rows that come
+    later than ``delay`` after the newest logged time are not dropped: they go to ``root/late``, as they are.
+    """
+    log, late = f"{root}/log", f"{root}/late"
+    others = [c for c in measurements.columns if c not in key]
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        held = None
+        if path_exists(spark, log):
+            held = spark.read.option("basePath", log).parquet(log).where(F.col("batch") < batch_id)
+            newest = held.agg(F.max(event_time)).first()[0]
+            if newest is not None:
+                oldest = F.lit(newest) - F.expr(f"interval {delay}")
+                df.where(F.col(event_time) < oldest).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+                df = df.where(F.col(event_time).isNull() | (F.col(event_time) >= oldest))
+        first = df.agg(F.min(event_time)).first()[0]
+        fresh = df.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*").select(df.columns)
+        if held is not None and first is not None:
+            since = F.lit(first) - F.expr(f"interval {delay}")
+            fresh = fresh.join(held.where(F.col(event_time) >= since).select(*key).distinct(), list(key), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+
     return (
-        measurements.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{root}/log").option("checkpointLocation", f"{root}/checkpoint")
+        measurements.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/checkpoint")
         .trigger(availableNow=True).start()
     )
 

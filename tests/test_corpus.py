@@ -126,12 +126,12 @@ def test_fetch_list_keeps_five(spark, tmp_path):
     assert back.count() == 5 and back.columns == list(schemas.FETCH_LIST)
 
 
-@pytest.mark.parametrize("expected", ["CONTAMINATION", "no longer filters", "violating the schema"])
+@pytest.mark.parametrize("expected", ["holdout images among", "none of the licences is share-alike", "required field missing"])
 def test_fetch_gate_refuses_and_writes_nothing(spark, tmp_path, expected):
     train, licences, holdout = world(spark)
-    if expected == "CONTAMINATION":
+    if expected.startswith("holdout"):
         train = train.union(images(spark, (91,)))
-    elif expected == "no longer filters":
+    elif expected.startswith("none"):
         licences = licences.withColumn("name", F.when(F.col("license_id") == 5, "CC BY-SA").otherwise(F.col("name")))
     else:
         train = train.union(images(spark, (14,), url=None))
@@ -220,8 +220,8 @@ def test_nested_view(spark):
     extra = spark.createDataFrame([("ex/a", "c7", 7, "t")], cands.schema)  # a candidate without scores
     wide, bad = score_audit.nested(root, cands.union(extra), scores)
     assert not bad.collect()
-    rows = {r.key: r.candidates for r in wide.collect()}
-    assert {k: [len(c.scores) for c in v] for k, v in rows.items()} == {"ex/a": [3, 3, 0], "ex/b": [3, 3]}
+    got = sorted((r.key, len(r.scores)) for r in wide.collect())
+    assert got == [("ex/a", 0), ("ex/a", 3), ("ex/a", 3), ("ex/b", 3), ("ex/b", 3)]
     rogue = spark.createDataFrame([("ex/a", "rank99", 0, 0.1, 0.2, 0.9)], scores.schema)
     assert [r.name for r in score_audit.nested(root, cands, scores.union(rogue))[1].collect()] == ["scores join a candidate"]
 

@@ -104,13 +104,53 @@ def test_eligibility_ignores_case(spark):
     assert dict(eligibility(rows, "run", runs, "id", "p").collect()) == {"eligible": 2, "ineligible": 1, "unknown": 1}
 
 
-def test_nest_splits_a_hot_root(spark):
-    rows = [("hot", i % 3, i) for i in range(100)] + [("cold", 0, 1)]
+@pytest.mark.parametrize("n", [100, 25_000])
+def test_nest_has_one_layout(spark, n):
+    rows = [("hot", i % 300, i) for i in range(n)] + [("cold", 0, 1)]
     df = spark.createDataFrame(rows, "k string, c int, v int")
-    out = shred.nest(df, "k", ["c"], ["v"], ["v"], at_most=20).collect()
-    assert len([r for r in out if r.k == "hot"]) == 5
-    got = sorted((r.k, c.c, s.v) for r in out for c in r.candidates for s in c.scores)
-    assert got == sorted(rows) and max(sum(len(c.scores) for c in r.candidates) for r in out) == 20
+    out = shred.nest(df, "k", ["c"], ["v"], ["v"]).collect()
+    assert len(out) == len({(k, c) for k, c, _ in rows})
+    assert sorted((r.k, r.c, s.v) for r in out for s in r.scores) == sorted(rows)
+    assert all([s.v for s in r.scores] == sorted(s.v for s in r.scores) for r in out)
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from corpusgauge.streaming.incremental import finished, log_stream, shards
+
+    at = lambda minutes: datetime(2024, 1, 1) + timedelta(minutes=minutes)
+    batches = [[(1, at(0), "a"), (1, at(0), "a"), (2, at(100), "b")], [(2, at(100), "b"), (3, at(101), "c"), (4, at(1), "late")]]
+    schema = spark.createDataFrame(batches[0], "id int, ts timestamp, v string").schema
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        q = log_stream(shards(spark, f"{tmp_path}/in", schema), ["id"], "ts", "1 hour", f"{tmp_path}/out")
+        log = finished(q, lambda: spark.read.parquet(f"{tmp_path}/out/log"))
+    assert sorted(r.id for r in log.collect()) == [1, 2, 3]
+    assert [r.v for r in spark.read.parquet(f"{tmp_path}/out/late").collect()] == ["late"]
+
+
+def test_publish_puts_all_tables_there_or_none(spark, tmp_path):
+    from corpusgauge.sources.sinks import publish
+
+    good = spark.range(3)
+    bad = good.select(F.raise_error(F.lit("broken")).alias("x"))
+    none = good.where("id < 0")
+    with pytest.raises(Exception, match="broken"):
+        publish({"a": good, "b": bad}, none, f"{tmp_path}/out")
+    assert not list(tmp_path.iterdir())
+    assert publish({"a": good, "b": good}, none, f"{tmp_path}/out") == [f"{tmp_path}/out/a", f"{tmp_path}/out/b"]
+    assert spark.read.parquet(f"{tmp_path}/out/b").count() == 3
+
+
+def test_files_at_any_depth_are_listed(spark, tmp_path):
+    from corpusgauge.sources.listing import list_files
+
+    deep = tmp_path.joinpath(*"abcdefghijkl")
+    deep.mkdir(parents=True)
+    (deep / "x.bin").write_bytes(b"1")
+    assert [r.bytes for r in list_files(spark, str(tmp_path)).collect()] == [1]
+    assert list_files(spark, str(tmp_path), depth=4).count() == 0
 
 
 def test_run_records_need_a_revision(spark):

@@ -123,4 +123,5 @@ def test_lattice_distance(spark):
     cells = spark.createDataFrame([("a", 0.0, 0.0), ("a", 10.0, 10.0)], "g string, x double, y double")
     points = spark.createDataFrame([("a", 2.0, 2.0), ("a", 5.0, 5.0), ("b", 0.0, 0.0), ("a", 0.5, 0.0)], "g string, x double, y double")
     got = {(r.g, r.x): r.distance for r in nearest.lattice_distance(points, cells, "g", "x", "y").collect()}
-    assert math.isclose(got["a", 2.0], math.sqrt(8)) and got["a", 5.0] is None and got["b", 0.0] is None and got["a", 0.5] == 0.5
+    assert math.isclose(got["a", 2.0], math.sqrt(8)) and math.isclose(got["a", 5.0], math.sqrt(50))
+    assert got["b", 0.0] is None and got["a", 0.5] == 0.5
