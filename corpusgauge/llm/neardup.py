@@ -35,7 +35,7 @@ from corpusgauge.session import cut
 
 SMALL = 6
 """Buckets of up to so many different texts are compared pair by pair."""
-GROWTH = 8
+GROWTH = 64
 """So many times more leaders from round to round."""
 
 
@@ -275,7 +275,7 @@ def classes(
     docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id`` (least id of the class), ``n_links`` (verified
-    links of its word sequence to others), ``keep`` (true for one row of each class, the first by id and
+    links of its word sequence to others; inside a class not every link is looked for), ``keep`` (true for one row of each class, the first by id and
     hash of the text), and the row key ``_id``, ``_tag``.
 
     Plain words: A-Z in lower case, split at ASCII characters that are no letter or digit. A text of
@@ -335,7 +335,7 @@ def classes(
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs similar by the whole texts."""
-        full = text_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        full = text_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         second = pairs.join(full.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         both = second.join(full.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         task = _similarities(width, frequent)
@@ -368,7 +368,11 @@ def classes(
             slots *= GROWTH
             chosen = open_.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(F.min("first").alias("p"))
             led_by = chosen.select("key", F.col("p.node").alias("leader"))
-            met = large.select("key", F.struct("node", "weight", "rest").alias("q")).join(chosen.select("key", "p"), "key")
+            # a link inside a component changes no class, so only members of other components are compared
+            labels = _components(links).select("node", "label")
+            own = lambda df, node, name: df.join(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_l", node)).drop("_n", "_l")
+            leading, led = own(chosen.select("key", "p"), "p.node", "lp"), own(large.select("key", "node", F.struct("node", "weight", "rest").alias("q")), "node", "lq")
+            met = led.join(leading, "key").where("lp != lq")
             new = cut(_ordered(met.select(*named("p", "q")), threshold).join(pairs, ["a", "b"], "left_anti"), "pairs")
             pairs, links = pairs.union(new), links.union(cut(verified(new), "links"))
         links = cut(links, "links")
