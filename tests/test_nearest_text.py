@@ -46,12 +46,14 @@ def plain_edits(a, b):
     return row[-1]
 
 
-def test_word_edits_match_the_table():
+def test_word_edits_match_the_table(spark):
     rng = np.random.default_rng(1)
-    for _ in range(300):
-        a = [f"w{k}" for k in rng.integers(0, 9, rng.integers(0, 90))]
-        b = [f"w{k}" for k in rng.integers(0, 9, rng.integers(0, 90))]
-        assert text.word_edits(a, b) == plain_edits(a, b)
+    word = lambda k: f"w{k}" if k % 3 else "é" * k
+    pairs = [tuple([word(k + 1) for k in rng.integers(0, 9, rng.integers(1, 60))] for _ in range(2)) for _ in range(60)]
+    df = spark.createDataFrame([(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    for r in df.withColumn("got", text.word_error_rate(F.col("a"), F.col("b"))).collect():
+        a, b = pairs[r.i]
+        assert math.isclose(r.got, plain_edits(a, b) / len(a))
 
 
 def test_word_error_rate(spark):
