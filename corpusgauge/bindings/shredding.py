@@ -9,10 +9,38 @@ MEASURES = ["l_quantity", "l_discount", "l_tax"]
 LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
-@query("""select event_type, count(*) n, sum(json_extract(props, '$.k')::int)::bigint total from events group by 1""")
+@query("""with l as (select o_custkey c, l_returnflag f, l_linenumber % 2 = 1 boxed, l_quantity::int q, floor(l_extendedprice / 4)::int a from lineitem join orders on o_orderkey = l_orderkey),
+ i as (select o_custkey c, count(*) n_images from orders group by 1)
+ select i.c::varchar split, n_images, count(f) n_annotations, coalesce(sum(a), 0)::double area, count(*) filter (where f = 'R') crowds, count(*) filter (where boxed) boxes,
+ coalesce(sum(q) filter (where boxed), 0)::double box_x, 2 * count(*) filter (where f <> 'N') polygons, 6 * count(*) filter (where f <> 'N') points, 2 * count(f) keypoints
+ from i left join l on i.c = l.c group by 1, 2""")
 def shred_json(t):
-    read = t.events.select("event_type", F.from_json("props", "k int").alias("p"))
-    return read.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("p.k").alias("total"))
+    """Each customer's orders and lines are written out as one annotation file and shredded."""
+    from corpusgauge.schemas import ANNOTATION_DDL, struct
+
+    q = F.col("l_quantity").cast("int")
+    lines = t.lineitem.select("l_orderkey", F.struct(
+        F.col("l_orderkey").alias("id"), F.col("l_orderkey").alias("image_id"), F.col("l_suppkey").alias("category_id"),
+        (F.col("l_extendedprice") / 4).cast("int").alias("area"), F.when(F.col("l_returnflag") == "R", 1).alias("iscrowd"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.array(q, q, q, q)).otherwise(F.array(q, q)).alias("bbox"),
+        F.array(q, q, F.lit(2), q, q, F.lit(1), q).alias("keypoints"),
+        F.when(F.col("l_returnflag") == "N", '{"counts": [3]}').otherwise("[[1.5, 2, 3, 4], [], [7, 8]]").alias("segmentation"),
+    ).alias("a"))
+    of_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list("a").alias("notes"))
+    orders = t.orders.select("o_custkey", "o_orderkey", F.struct(F.col("o_orderkey").alias("id"), F.lit("f").alias("file_name")).alias("image"))
+    docs = orders.join(of_order, "o_orderkey", "left").groupBy("o_custkey").agg(
+        F.collect_list("image").alias("images"), F.flatten(F.collect_list("notes")).alias("annotations"))
+    text = F.to_json(F.struct("images", "annotations"))
+    read = docs.select(F.col("o_custkey").cast("string").alias("split"), F.from_json(text, struct(ANNOTATION_DDL)).alias("d"))
+    flat = shred.annotation_document(read.select("split", "d.*"))
+    owner = flat["annotations"].select("ann_id", "split").distinct()
+    count = lambda name, *more: flat[name].join(owner, "ann_id").groupBy("split").agg(F.count(F.lit(1)).alias(name), *more)
+    images = flat["images"].groupBy("split").agg(F.count(F.lit(1)).alias("n_images"))
+    notes = flat["annotations"].groupBy("split").agg(F.count(F.lit(1)).alias("n_annotations"), F.sum("area").alias("area"), F.sum("iscrowd").alias("crowds"))
+    boxes = count("boxes", F.sum("x").alias("box_x"))
+    polygons = count("polygons", F.sum(F.size("points")).alias("points"))
+    wide = images.join(notes, "split", "left").join(boxes, "split", "left").join(polygons, "split", "left").join(count("keypoints"), "split", "left")
+    return wide.fillna(0)
 
 
 @query("""select event_type, 'k' as key, count(*) n, sum(json_extract(props, '$.k')::int)::bigint total from events group by 1""")

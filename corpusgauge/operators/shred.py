@@ -48,19 +48,29 @@ def run_relations(runs: DataFrame, run_key: str, record: str) -> dict[str, DataF
 def annotation_document(doc: DataFrame) -> dict[str, DataFrame]:
     """An annotation file (images, annotations, categories, licenses as arrays) to flat relations.
 
-    Categories are keyed by (split, id), and annotation ids come from the data, never a counter.
+    Categories are keyed by (split, id), and annotation ids come from the data, never a counter. Boxes
+    have four numbers. A segmentation is a list of polygons, of which empty ones are left out while the others keep
+    their places; one of another kind (a run-length mask) gives no polygons. Area and crowd flag are 0 if absent.
     """
     from corpusgauge.functions.ids import sha_id
 
     part = lambda name: doc.select("split", F.explode(name).alias("x")).select("split", "x.*")
     notes = part("annotations").withColumn("ann_id", sha_id(F.col("split"), F.col("id")))
     boxed = notes.where(F.size("bbox") == 4)
+    polygons = F.from_json("segmentation", "array<array<double>>")
+    drawn = notes.select("ann_id", F.posexplode(polygons).alias("poly_idx", "points"))
     return {
         "images": part("images"),
         "licenses": part("licenses").distinct(),
-        "categories": part("categories").select("split", F.col("id").alias("category_id"), "name").distinct(),
-        "annotations": notes.select("ann_id", "split", "image_id", "category_id", "num_keypoints"),
+        "categories": part("categories").select(
+            "split", F.col("id").alias("category_id"), "name", F.coalesce("supercategory", F.lit("")).alias("supercategory")
+        ).distinct(),
+        "annotations": notes.select(
+            "ann_id", "split", "image_id", "category_id", "num_keypoints",
+            F.coalesce("area", F.lit(0.0)).alias("area"), F.coalesce("iscrowd", F.lit(0)).alias("iscrowd"),
+        ),
         "boxes": boxed.select("ann_id", *[F.col("bbox")[i].alias(c) for i, c in enumerate("xywh")]),
+        "polygons": drawn.where(F.size("points") > 0),
         "keypoints": triples(notes, ["ann_id"], "keypoints"),
     }
 

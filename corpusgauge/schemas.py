@@ -139,8 +139,8 @@ ANNOTATION_DDL = (
     "images array<struct<id: bigint, file_name: string, coco_url: string, flickr_url: string, width: bigint, "
     "height: bigint, license: bigint>>, "
     "annotations array<struct<id: bigint, image_id: bigint, category_id: bigint, num_keypoints: int, "
-    "keypoints: array<double>, bbox: array<double>>>, "
-    "categories array<struct<id: bigint, name: string>>, "
+    "keypoints: array<double>, bbox: array<double>, area: double, iscrowd: int, segmentation: string>>, "
+    "categories array<struct<id: bigint, name: string, supercategory: string>>, "
     "licenses array<struct<id: bigint, name: string, url: string>>"
 )
 MODEL_ENTRY_DDL = (

@@ -150,16 +150,21 @@ def test_annotations_to_images(spark, tmp_path):
         "images": [{"id": i, "file_name": f"{i}.jpg", "coco_url": "u", "flickr_url": "f", "width": 4, "height": 4, "license": lic}
                    for i, lic in ((1, 1), (2, 1), (3, 2), (4, 1))],
         "annotations": [
-            {"id": 9, "image_id": 1, "category_id": 1, "num_keypoints": 8, "keypoints": [1, 2, 2, 3, 4, 1, 5], "bbox": [0, 0, 1, 1]},
-            {"id": 10, "image_id": 2, "category_id": 1, "num_keypoints": 7, "keypoints": [], "bbox": [0, 0, 1]},
+            {"id": 9, "image_id": 1, "category_id": 1, "num_keypoints": 8, "keypoints": [1, 2, 2, 3, 4, 1, 5], "bbox": [0, 0, 1, 1],
+             "area": 2.5, "iscrowd": 1, "segmentation": [[1, 2, 3, 4], [], [5.5, 6]]},
+            {"id": 10, "image_id": 2, "category_id": 1, "num_keypoints": 7, "keypoints": [], "bbox": [0, 0, 1],
+             "segmentation": {"counts": [1, 2], "size": [4, 4]}},
             {"id": 11, "image_id": 3, "category_id": 1, "num_keypoints": 17, "keypoints": None, "bbox": None}],
-        "categories": [{"id": 1, "name": "person"}],
+        "categories": [{"id": 1, "name": "person", "supercategory": "animal"}],
         "licenses": [{"id": 1, "name": "Attribution License", "url": "u"}, {"id": 2, "name": "Attribution-NonCommercial License", "url": "v"}],
     }
     (tmp_path / "a.json").write_text(json.dumps(doc))
     flat = annotation_document(read_annotations(spark, {"train": str(tmp_path / "a.json")}))
     assert flat["boxes"].count() == 1
     assert sorted(tuple(r)[1:] for r in flat["keypoints"].collect()) == [(0, 1.0, 2.0, 2.0), (1, 3.0, 4.0, 1.0)]
+    assert sorted(tuple(r)[1:] for r in flat["polygons"].collect()) == [(0, [1.0, 2.0, 3.0, 4.0]), (2, [5.5, 6.0])]
+    assert sorted((r.area, r.iscrowd) for r in flat["annotations"].collect()) == [(0.0, 0), (0.0, 0), (2.5, 1)]
+    assert [r.supercategory for r in flat["categories"].collect()] == ["animal"]
     kept = fetch_gate.commercial_images(flat)
     assert [r.image_id for r in kept["images"].collect()] == [1]  # 4 has no annotation at all
     assert kept["licenses"].count() == 1
