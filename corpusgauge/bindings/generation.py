@@ -134,9 +134,9 @@ MOTION
 
 
 @query("""with f as (select vec_id, label, i, embedding[8 * i + 1 : 8 * i + 8]::double[] v from embeddings, unnest(range(0, 8)) u(i) where label <> 3)
- select vec_id clip, i::int frame, 'hip' joint, v[1] tx, v[2] ty, v[3] tz, 0 rx, v[5] ry, v[4] rz, null problem from f
- union all select vec_id, i, 'arm', 0, 0, 0, v[7], v[6], v[8], null from f
- union all select vec_id, null, null, null, null, null, null, null, null, 'header says 9 frames, data holds 8' from embeddings where label = 3""")
+ select vec_id clip, i::int frame, 'hip' joint, null parent, 0.0::double ox, 0.0::double oy, 0.0::double oz, 'zy' rotation_order, v[1] tx, v[2] ty, v[3] tz, 0 rx, v[5] ry, v[4] rz, null problem from f
+ union all select vec_id, i, 'arm', 'hip', 0, 1, 0, 'yxz', 0, 0, 0, v[7], v[6], v[8], null from f
+ union all select vec_id, null, null, null, null, null, null, null, null, null, null, null, null, null, 'header says 9 frames, data holds 8' from embeddings where label = 3""")
 def clip_ingest(t):
     """Every vector is written out as a clip of 8 frames; those of one label claim 9."""
     from corpusgauge.sources.clips import ingest

@@ -211,11 +211,27 @@ def sphere_sequence(t):
     return s.select("s_suppkey", "view_index", *[(F.round(c, 5) + 0.0).alias(c) for c in ("yaw", "pitch", *XYZ)])
 
 
-@query("""with p as (select l_orderkey, l_partkey, l_linenumber, l_quantity / 100 x, -(l_tax * 100) / 100 y, l_discount * 100 / 100 z, radians(l_linenumber * 10.0::double) a, radians(l_quantity) b from lineitem),
- r as (select *, cos(a) * x - sin(a) * y x1, sin(a) * x + cos(a) * y y1 from p)
- select l_orderkey, l_partkey, l_linenumber, round(cos(b) * x1 + sin(b) * z, 6) + 0 x, round(y1, 6) + 0 y, round(cos(b) * z - sin(b) * x1, 6) + 0 z from r""")
+ORDERS = ("yxz", "zxy", "xyz")
+STEPS = {
+    "x": "x, cos(rx) * y - sin(rx) * z y, sin(rx) * y + cos(rx) * z z", "y": "cos(ry) * x + sin(ry) * z x, y, cos(ry) * z - sin(ry) * x z",
+    "z": "cos(rz) * x - sin(rz) * y x, sin(rz) * x + cos(rz) * y y, z",
+}
+
+
+def turned_sql(order: str) -> str:
+    """The rows of ``p`` that declare ``order``, turned about its last axis first."""
+    sql = f"select * from p where o = '{order}'"
+    for axis in reversed(order):
+        sql = f"select l_orderkey, l_partkey, l_linenumber, rx, ry, rz, {STEPS[axis]} from ({sql})"
+    return sql
+
+
+@query(f"""with p as (select l_orderkey, l_partkey, l_linenumber, list_extract(['yxz', 'zxy', 'xyz'], (l_linenumber % 3)::int + 1) o, l_quantity / 100 x, -(l_tax * 100) / 100 y, l_discount * 100 / 100 z,
+  radians(l_quantity / 2) rx, radians(l_quantity) ry, radians(l_linenumber * 10.0::double) rz from lineitem)
+ select l_orderkey, l_partkey, l_linenumber, round(x, 6) + 0 x, round(y, 6) + 0 y, round(z, 6) + 0 z from ({' union all '.join(map(turned_sql, ORDERS))})""")
 def axis_convert(t):
     moved = geometry.y_up_cm_to_z_up_m(F.col("l_quantity"), F.col("l_discount") * 100, F.col("l_tax") * 100)
-    angles = (F.lit(0.0), F.col("l_quantity"), F.col("l_linenumber") * 10.0)
-    turned = geometry.rotate(moved, angles, "yxz")
+    angles = (F.col("l_quantity") / 2, F.col("l_quantity"), F.col("l_linenumber") * 10.0)
+    order = F.element_at(F.array(*map(F.lit, ORDERS)), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    turned = geometry.rotate_by(moved, angles, order)
     return t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", *[(F.round(c, 6) + 0.0).alias(n) for c, n in zip(turned, XYZ)])

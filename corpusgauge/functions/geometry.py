@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from itertools import permutations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -86,3 +87,12 @@ def rotate(point: tuple, degrees: tuple, order: str) -> tuple[Column, Column, Co
         else:
             x, y = c * x - s * y, s * x + c * y
     return x, y, z
+
+
+def rotate_by(point: tuple, degrees: tuple, order: Column) -> tuple[Column, Column, Column]:
+    """``rotate`` with each row's own order, as clips declare it per joint. An order that is no selection of
+    different axes gives NULL."""
+    known = ["".join(p) for n in range(4) for p in permutations("xyz", n)]
+    by_order = {name: rotate(point, degrees, name) for name in known}
+    pick = lambda i: F.coalesce(*[F.when(order == name, turned[i]) for name, turned in by_order.items()])
+    return pick(0), pick(1), pick(2)

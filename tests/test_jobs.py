@@ -226,6 +226,8 @@ def test_clips_by_declared_name_and_failures(spark, tmp_path):
     good, bad = clips.ingest(clips.read_clips(spark, str(tmp_path)), "clip", "text")
     rows = {(r.frame, r.joint): (r.tx, r.ty, r.tz, r.rx, r.ry, r.rz) for r in good.collect()}
     assert rows == {(0, "hip"): (1, 2, 3, 20, 10, 30), (0, "arm"): (0, 0, 0, 8, 9, 7), (1, "hip"): (4, 5, 6, 21, 11, 31), (1, "arm"): (0, 0, 0, 80, 90, 70)}
+    kept = {(r.joint, r.parent, r.ox, r.oy, r.oz, r.rotation_order) for r in good.collect()}
+    assert kept == {("hip", None, 0.0, 0.0, 0.0, "yxz"), ("arm", "hip", 0.0, 1.0, 0.0, "zxy")}
     assert {r.clip: r.problem for r in bad.collect()} == {
         "short": "header says 3 frames, data holds 2", "odd": "unknown channel", "text": "not a number", "empty": "no joints"}
 
