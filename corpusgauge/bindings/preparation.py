@@ -232,27 +232,37 @@ def map_upsert(t):
     return bad_orders(t).select("o_orderkey", F.array_join(pairs, ";").alias("entries"))
 
 
-@query("""with r as (select o_orderkey, 'rev' || (o_orderkey % 11)::varchar rev, 'restyle as ' || lower(o_orderpriority) prompt,
-  'no ' || lower(o_orderstatus) neg, (o_orderkey % 3)::int + 1 n from orders where o_orderkey % 13 <> 5),
- p as (select text, (row_number() over (order by text) - 1)::bigint id from (select prompt text from r union select neg from r))
- select r.o_orderkey, 'edit' || r.o_orderkey || '_' || i output, a.id prompt_id, b.id negative_prompt_id, rev revision
- from r join p a on a.text = r.prompt join p b on b.text = r.neg, unnest(range(1, r.n + 1)) u(i)""")
+@query("""with r as (select o_orderkey, o_custkey, 'rev' || (o_orderkey % 11)::varchar rev, 'no ' || lower(o_orderstatus) neg, (o_orderkey % 3)::int + 1 n, lower(o_orderpriority) p from orders where o_orderkey % 13 <> 5),
+ x as (select *, i, case when i % 2 = 1 then 'restyle as ' else 'recolour as ' end || p prompt from r, unnest(range(1, n + 1)) u(i)),
+ p as (select text, (row_number() over (order by text) - 1)::int id from (select prompt text from x union select neg from x))
+ select o_orderkey, 'edit_' || i "name", (dense_rank() over (order by o_orderkey, x.prompt) - 1)::int edit_run_id, a.id prompt_id, b.id negative_prompt_id, rev revision,
+ (o_orderkey % 5 + 20)::int steps, o_orderkey * 10 + i seed, o_custkey render_id from x join p a on a.text = x.prompt join p b on b.text = x.neg""")
 def run_to_relations(t):
     from corpusgauge.operators.shred import run_relations
 
     n = (F.pmod("o_orderkey", F.lit(3)) + 1).cast("int")
-    outputs = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit("edit"), "o_orderkey", F.lit("_"), i))
+    numbers = F.sequence(F.lit(1), n)
+    file_of = lambda i: F.concat(F.col("o_orderkey").cast("string"), F.lit("_"), i.cast("string"), F.lit(".png"))
+    output = lambda i: F.struct(
+        file_of(i).alias("file"), (F.col("o_orderkey") * 10 + i).alias("seed"),
+        F.concat(F.when(i % 2 == 1, "restyle as ").otherwise("recolour as "), F.lower("o_orderpriority")).alias("prompt"))
     revision = F.when(F.pmod("o_orderkey", F.lit(13)) != 5, F.concat(F.lit("rev"), F.pmod("o_orderkey", F.lit(11))))
     record = F.to_json(F.struct(
-        F.lit("base").alias("repo"), revision.alias("revision"),
-        F.concat(F.lit("restyle as "), F.lower("o_orderpriority")).alias("prompt"),
-        F.concat(F.lit("no "), F.lower("o_orderstatus")).alias("negative_prompt"),
-        F.lit("bf16").alias("precision"), outputs.alias("outputs"),
+        F.struct(F.lit("base").alias("repo_id"), revision.alias("revision")).alias("edit_models"),
+        F.struct(
+            F.lit("bf16").alias("precision"), (F.pmod("o_orderkey", F.lit(5)) + 20).alias("steps"), F.lit(4.5).alias("text_guidance_scale"),
+            F.concat(F.lit("no "), F.lower("o_orderstatus")).alias("negative_prompt"),
+        ).alias("edit_runs"),
+        F.map_from_arrays(F.transform(numbers, lambda i: F.concat(F.lit("edit_"), i.cast("string"))), F.transform(numbers, output)).alias("outputs"),
     ))
-    made = run_relations(t.orders.select(F.col("o_orderkey").alias("run_key"), record.alias("record")), "run_key", "record")
+    images = t.orders.select(F.col("o_custkey").alias("render_id"), F.inline(F.transform(numbers, lambda i: F.struct(
+        file_of(i).alias("file"), F.encode(file_of(i), "UTF-8").alias("image")))))
+    made = run_relations(t.orders.select(F.col("o_orderkey").alias("run_key"), record.alias("record")), "run_key", "record", images)
+    runs = made["edit_runs"].join(made["edit_models"], "edit_model_id")
     return (
-        made["edited_renders"].join(made["edit_runs"], "run_key")
-        .select(F.col("run_key").alias("o_orderkey"), "output", "prompt_id", "negative_prompt_id", "revision")
+        made["run_outputs"].join(made["edited_renders"], ["edit_id", "edit_run_id"]).join(runs, "edit_run_id")
+        .select(F.col("run_key").alias("o_orderkey"), "name", "edit_run_id", "prompt_id", "negative_prompt_id", "revision",
+                F.col("steps").cast("int").alias("steps"), "seed", "render_id")
     )
 
 

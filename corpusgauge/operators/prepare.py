@@ -97,11 +97,14 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
 
 
 def shard_by_bytes(df: DataFrame, order: Sequence[str], payload: Column, budget: int) -> DataFrame:
-    """Consecutive rows packed into shards of about ``budget`` bytes (a row is never split)."""
-    sized = df.withColumn("_bytes", F.octet_length(payload).cast("long"))
+    """Consecutive rows packed into shards of about ``budget`` bytes (a row is never split).
+
+    ``order`` names columns that tell the rows apart. Only they and the sizes are put in order; the
+    payload joins its shard by them."""
+    sized = df.select(*order, F.octet_length(payload).cast("long").alias("_bytes"))
     packed = running_total(sized, order, F.col("_bytes"), "_upto")
     before = F.col("_upto") - F.col("_bytes")
-    return packed.withColumn("shard", F.floor(before / budget)).drop("_upto")
+    return df.join(packed.select(*order, "_bytes", F.floor(before / budget).alias("shard")), list(order))
 
 
 def upsert_entry(entries: Column, key: Column, value: Column) -> Column:

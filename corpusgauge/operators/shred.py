@@ -7,41 +7,56 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgauge.functions.ids import sha_id
 from corpusgauge.operators.ordering import row_numbers
 from corpusgauge.operators.prepare import intern
 from corpusgauge.session import cut
 
+# The shape of a generator's run record. Outputs are a map by name.
 RUN_RECORD = (
-    "repo string, revision string, prompt string, negative_prompt string, precision string, "
-    "outputs array<string>"
+    "edit_models struct<repo_id: string, revision: string>, "
+    "edit_runs struct<precision: string, steps: smallint, text_guidance_scale: float, image_guidance_scale: float, "
+    "negative_prompt: string, started_utc: string>, "
+    "outputs map<string, struct<file: string, prompt: string, seed: bigint>>"
 )
 
 
-def run_relations(runs: DataFrame, run_key: str, record: str) -> dict[str, DataFrame]:
-    """Run records (JSON text) to models, one prompt vocabulary, runs, and edited rows.
+def run_relations(runs: DataFrame, run_key: str, record: str, made: DataFrame) -> dict[str, DataFrame]:
+    """Run records (JSON text) to the declared relations of edited images, and ``problems``.
 
-    A record without a resolved revision is a problem row and yields nothing else.
+    ``made`` has the images: (file, render_id, image). Outputs of a record that share a prompt share a row of
+    ``edit_runs``. A record without a resolved revision is a problem row and yields nothing else; so is an
+    output whose file is not in ``made``. ``run_outputs`` keeps (run_key, name, edit_id, edit_run_id).
     """
     read = runs.select(F.col(run_key).alias("run_key"), F.from_json(record, RUN_RECORD).alias("r"))
-    flat = cut(read.select("run_key", "r.*"), "runs")  # six relations read it: parse the text once
-    resolved = F.col("revision").isNotNull() & ~F.lower("revision").isin("", "main", "unresolved")
-    good = flat.where(F.coalesce(resolved, F.lit(False)))
-    models = row_numbers(good.select("repo", "revision").distinct(), ["repo", "revision"], "edit_model_id")
-    prompts = intern(good, {"prompt": "prompt", "negative_prompt": "negative_prompt"})
-    asked = prompts.select(F.col("id").alias("prompt_id"), F.col("text").alias("prompt"))
-    avoided = prompts.select(F.col("id").alias("negative_prompt_id"), F.col("text").alias("negative_prompt"))
-    made = (
-        good.drop("outputs").join(asked, "prompt").join(avoided, "negative_prompt")
-        .join(models, ["repo", "revision"])
-    )
+    flat = cut(read.select("run_key", "r.edit_models.*", "r.edit_runs.*", "r.outputs"), "runs")  # parsed once
+    revision = F.col("revision").isNotNull() & ~F.lower("revision").isin("", "main", "unresolved")
+    resolved = F.coalesce(revision, F.lit(False))
+    good = flat.where(resolved).withColumn("negative_prompt", F.coalesce("negative_prompt", F.lit("")))
+    models = row_numbers(good.select("repo_id", "revision").distinct(), ["repo_id", "revision"], "edit_model_id")
+    models = cut(models.withColumn("edit_model_id", F.col("edit_model_id").cast("smallint")), "models")
+    each = good.select("*", F.explode("outputs").alias("name", "o")).select("*", "o.*").drop("outputs", "o")
+    prompts = cut(intern(each, {"prompt": "prompt", "negative_prompt": "negative_prompt"}).select(
+        F.col("id").cast("int").alias("prompt_id"), "text"), "prompts")
+    asked = prompts.select("prompt_id", F.col("text").alias("prompt"))
+    avoided = prompts.select(F.col("prompt_id").alias("negative_prompt_id"), F.col("text").alias("negative_prompt"))
+    settings = ["precision", "steps", "text_guidance_scale", "image_guidance_scale", "started_utc"]
+    one = each.select("run_key", "repo_id", "revision", "prompt", "negative_prompt", *settings).distinct()
+    numbered = row_numbers(one, ["run_key", "prompt"], "edit_run_id")
+    numbered = cut(numbered.withColumn("edit_run_id", F.col("edit_run_id").cast("int")), "run-ids")
+    edit_runs = numbered.join(models, ["repo_id", "revision"]).join(asked, "prompt").join(avoided, "negative_prompt").select(
+        "edit_run_id", "edit_model_id", "prompt_id", "negative_prompt_id", *settings)
+    outputs = each.join(numbered.select("run_key", "prompt", "edit_run_id"), ["run_key", "prompt"]).join(made, "file", "left")
+    outputs = outputs.withColumn("edit_id", sha_id(F.lit("edit"), F.col("run_key"), F.col("name")))
+    problem = lambda df, text: df.select("run_key", F.lit(text).alias("problem"))
     return {
-        "edit_models": models,
-        "edit_prompts": prompts.withColumnRenamed("id", "prompt_id"),
-        "edit_runs": made.select("run_key", "edit_model_id", "prompt_id", "negative_prompt_id", "precision", "revision"),
-        "edited_renders": good.select("run_key", F.posexplode("outputs").alias("seq", "output")),
-        "problems": flat.where(~F.coalesce(resolved, F.lit(False))).select(
-            "run_key", F.lit("revision is not a resolved commit").alias("problem")
-        ),
+        "edit_models": models.select("edit_model_id", "repo_id", "revision"),
+        "edit_prompts": prompts,
+        "edit_runs": edit_runs,
+        "edited_renders": outputs.where("render_id is not null").select("edit_id", "render_id", "edit_run_id", "seed", "image"),
+        "run_outputs": outputs.select("run_key", "name", "edit_id", "edit_run_id"),
+        "problems": problem(flat.where(~resolved), "revision is not a resolved commit").union(
+            problem(outputs.where("render_id is null"), "an output has no image")),
     }
 
 
@@ -52,8 +67,6 @@ def annotation_document(doc: DataFrame) -> dict[str, DataFrame]:
     have four numbers. A segmentation is a list of polygons, of which empty ones are left out while the others keep
     their places; one of another kind (a run-length mask) gives no polygons. Area and crowd flag are 0 if absent.
     """
-    from corpusgauge.functions.ids import sha_id
-
     part = lambda name: doc.select("split", F.explode(name).alias("x")).select("split", "x.*")
     notes = part("annotations").withColumn("ann_id", sha_id(F.col("split"), F.col("id")))
     boxed = notes.where(F.size("bbox") == 4)

@@ -153,12 +153,24 @@ def test_files_at_any_depth_are_listed(spark, tmp_path):
     assert list_files(spark, str(tmp_path), depth=4).count() == 0
 
 
-def test_run_records_need_a_revision(spark):
-    good = '{"repo":"r","revision":"abc","prompt":"p","negative_prompt":"n","precision":"bf16","outputs":["a","b"]}'
-    bad = '{"repo":"r","prompt":"p","negative_prompt":"n","precision":"bf16","outputs":["c"]}'
-    out = shred.run_relations(spark.createDataFrame([(1, good), (2, bad), (3, good.replace("abc", "main"))], "k int, r string"), "k", "r")
-    assert sorted(r.run_key for r in out["problems"].collect()) == [2, 3]
-    assert out["edited_renders"].count() == 2 and {r.text for r in out["edit_prompts"].collect()} == {"p", "n"}
+def test_run_records_need_a_revision_and_images(spark):
+    from corpusgauge import schemas
+
+    good = ('{"edit_models":{"repo_id":"r","revision":"abc"},"edit_runs":{"precision":"bf16","steps":30,"text_guidance_scale":5.0,'
+            '"image_guidance_scale":2.0,"negative_prompt":"n"},"torch":"2","outputs":{"a":{"file":"a.png","prompt":"p","seed":7},'
+            '"b":{"file":"b.png","prompt":"p","seed":8},"c":{"file":"c.png","prompt":"q","seed":9,"seconds":1.5}}}')
+    bad = good.replace('"revision":"abc"', '"x":1')
+    images = spark.createDataFrame([("a.png", 100, b"A"), ("b.png", 101, b"B")], "file string, render_id long, image binary")
+    rows = spark.createDataFrame([(1, good), (2, bad), (3, good.replace("abc", "main"))], "k int, r string")
+    out = shred.run_relations(rows, "k", "r", images)
+    assert sorted(tuple(r) for r in out["problems"].collect()) == [
+        (1, "an output has no image"), (2, "revision is not a resolved commit"), (3, "revision is not a resolved commit")]
+    for name in ("edit_models", "edit_prompts", "edit_runs", "edited_renders"):
+        assert [(f.name, f.dataType) for f in out[name].schema] == [(f.name, f.dataType) for f in schemas.struct(schemas.RELATION_DDL[name])]
+    assert sorted((r.render_id, r.seed, r.edit_run_id) for r in out["edited_renders"].collect()) == [(100, 7, 0), (101, 8, 0)]
+    runs = {r.edit_run_id: r for r in out["edit_runs"].collect()}
+    text = {r.prompt_id: r.text for r in out["edit_prompts"].collect()}
+    assert [(text[r.prompt_id], text[r.negative_prompt_id], r.steps, r.text_guidance_scale) for _, r in sorted(runs.items())] == [("p", "n", 30, 5.0), ("q", "n", 30, 5.0)]
 
 
 def test_trees(spark):
