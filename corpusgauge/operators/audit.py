@@ -112,18 +112,18 @@ def foreign_keys(
     distinct (edge, key) before they travel, and counted where only the child has them.
     """
     edges = list(edges)
-    whole = all(
-        isinstance(tables[t].schema[k].dataType, T.IntegralType)
-        for c, ck, p, pk in edges for t, k in ((c, ck), (p, pk))
-    )
-    kind = "bigint" if whole else "string"
+    integral = lambda t, k: isinstance(tables[t].schema[k].dataType, T.IntegralType)
     sides = []
     for i, (child, ckey, parent, pkey) in enumerate(edges):
+        whole = integral(child, ckey) and integral(parent, pkey)  # each edge in the type of its own keys
         for table, key, mine in ((child, ckey, True), (parent, pkey, False)):
+            number = F.col(key) if whole else F.lit(None)
+            text = F.lit(None) if whole else F.col(key)
             sides.append(tables[table].select(
-                F.lit(i).alias("i"), F.col(key).cast(kind).alias("k"), F.lit(mine).alias("c"), F.lit(not mine).alias("p")
+                F.lit(i).alias("i"), number.cast("bigint").alias("k"), text.cast("string").alias("s"),
+                F.lit(mine).alias("c"), F.lit(not mine).alias("p"),
             ))
-    keys = union_all(sides).groupBy("i", "k").agg(F.bool_or("c").alias("c"), F.bool_or("p").alias("p"))
+    keys = union_all(sides).groupBy("i", "k", "s").agg(F.bool_or("c").alias("c"), F.bool_or("p").alias("p"))
     per = keys.groupBy("i").agg(F.count_if(F.col("c") & ~F.col("p")).alias("missing"))
     names = F.array(*[F.lit(f"{c}.{ck} -> {p}.{pk}") for c, ck, p, pk in edges])
     # an edge whose two tables are both empty still gets its row
