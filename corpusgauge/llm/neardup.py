@@ -275,8 +275,8 @@ def classes(
     docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id`` (least id of the class), ``n_links`` (verified
-    links of its word sequence to others; inside a class not every link is looked for), ``keep`` (true for one row of each class, the first by id and
-    hash of the text), and the row key ``_id``, ``_tag``.
+    links of its word sequence to others; inside a class not every link is looked for), ``keep`` (true for
+    one row of each class, the first by id and hash of the text), and the row key ``_id``, ``_tag``.
 
     Plain words: A-Z in lower case, split at ASCII characters that are no letter or digit. A text of
     fewer words than ``width`` is one shingle. Texts without words, NULL and empty ones among them, are
