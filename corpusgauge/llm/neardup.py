@@ -257,8 +257,9 @@ def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
     ).distinct()
 
 
-def _components(links: DataFrame) -> DataFrame:
-    """(node, label): the least node of each connected component, by least labels of neighbours and jumps."""
+def _components(links: DataFrame, steps: int | None = None) -> DataFrame:
+    """(node, label): the least node of each connected component, by least labels of neighbours and jumps.
+    After so many ``steps``, if given: some node of it, so that equal labels still mean one component."""
     edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = cut(edges.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
@@ -267,7 +268,8 @@ def _components(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         moved = cut(step.join(jump, "label").select("node", "old", F.least("label", "next").alias("label")), "labels")
         labels = moved.select("node", "label")
-        if moved.where("label != old").isEmpty():
+        steps = None if steps is None else steps - 1
+        if steps == 0 or moved.where("label != old").isEmpty():
             return labels
 
 
@@ -369,7 +371,7 @@ def classes(
             chosen = open_.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(F.min("first").alias("p"))
             led_by = chosen.select("key", F.col("p.node").alias("leader"))
             # a link inside a component changes no class, so only members of other components are compared
-            labels = _components(links).select("node", "label")
+            labels = _components(links, 2).select("node", "label")
             own = lambda df, node, name: df.join(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_l", node)).drop("_n", "_l")
             leading, led = own(chosen.select("key", "p"), "p.node", "lp"), own(large.select("key", "node", F.struct("node", "weight", "rest").alias("q")), "node", "lq")
             met = led.join(leading, "key").where("lp != lq")
