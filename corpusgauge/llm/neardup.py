@@ -260,10 +260,11 @@ def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
 def _components(links: DataFrame, steps: int | None = None) -> DataFrame:
     """(node, label): the least node of each connected component, by least labels of neighbours and jumps.
     After so many ``steps``, if given: some node of it, so that equal labels still mean one component."""
-    edges = cut(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = cut(edges.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
+    edges = cut(links.selectExpr("a as node", "b as other").union(links.selectExpr("b as node", "a as other")), "edges")
+    labels = cut(edges.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")), "labels")
     while True:
-        near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        of_other = labels.withColumnRenamed("node", "other")
+        near = edges.join(of_other, "other").groupBy("node").agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
         moved = cut(step.join(jump, "label").select("node", "old", F.least("label", "next").alias("label")), "labels")
