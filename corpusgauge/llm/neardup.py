@@ -14,8 +14,9 @@ candidates are all pairs if it is small; else every member is compared with lead
 that meets most others leads first. If some members are not similar to it, the bucket's texts meet again by their
 rarest shingles, which loses no link: a fifth of a text's weight, counted from its rarest shingles, meets any
 text that is similar to it. In what is still large there, more and more of the members that no leader is
-similar to lead from round to round, until none is left. (Texts of similarity 0.8 agree on a band with
-probability 0.99996.) Every
+similar to lead from round to round, until none is left. Members that are similar to different leaders can be
+similar to each other, so those of different components meet last, unless the similarity of the texts they
+are grouped by rules it out. (Texts of similarity 0.8 agree on a band with probability 0.99996.) Every
 candidate is verified by its weighted Jaccard similarity over the whole texts. Classes are the
 connected components of the verified links.
 """
@@ -336,18 +337,55 @@ def classes(
         full = rows_of.join(place, ["_id", "_tag"]).select("node", "text")
         return full.dropDuplicates(["node"]) if again else full
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs similar by the whole texts."""
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Pairs with their similarity by the whole texts."""
         full = text_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
         second = pairs.join(full.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
         both = second.join(full.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         task = _similarities(width, frequent)
-        return both.select("a", "b", "ta", "tb").mapInArrow(task, "a binary, b binary, similarity double").where(F.col("similarity") >= threshold)
+        return both.select("a", "b", "ta", "tb").mapInArrow(task, "a binary, b binary, similarity double")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Pairs similar by the whole texts."""
+        return compared(pairs).where(F.col("similarity") >= threshold)
+
+    def between(members: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs of ``members`` of one bucket and different components, one of them open, that can be similar.
+
+        A member goes with its centre, the text of most links among itself and those it is linked to. One less the
+        similarity is a metric, so members at distances dx and dy from their centres are no closer to
+        each other than the centres are, less dx + dy."""
+        both = links.select("a", "b", "similarity").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
+        n_of = cut(both.groupBy("a").agg(F.count(F.lit(1)).alias("n")), "degrees")
+        near = both.join(n_of.select(F.col("a").alias("b"), "n"), "b").select(F.col("a").alias("node"), "n", F.col("b").alias("centre"), (1 - F.col("similarity")).alias("far"))
+        near = near.union(n_of.select(F.col("a").alias("node"), "n", F.col("a").alias("centre"), F.lit(0.0).alias("far")))
+        near = near.groupBy("node").agg(F.max(F.struct("n", "centre", "far")).alias("near")).select("node", "near.centre", "near.far")
+        mixed = members.select("key", "node", "weight", "rest", "open").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = mixed.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.max("open").alias("any")).where("l0 != l1 and any")
+        mixed = mixed.join(several.select("key"), "key", "left_semi").join(near, "node", "left")
+        mixed = cut(mixed.withColumn("centre", F.coalesce("centre", "node")).withColumn("far", F.coalesce("far", F.lit(0.0))), "mixed")
+        groups = cut(mixed.groupBy("key", "label", "centre").agg(
+            F.min("weight").alias("w"), F.max("rest").alias("r"), F.max("far").alias("far"), F.max("open").alias("open"),
+        ), "groups")
+        side = lambda df, n: df.select("key", *(F.col(c).alias(c + n) for c in df.columns if c != "key"))
+        met = side(groups, "x").join(side(groups, "y"), "key").where("labelx < labely and (openx or openy)")
+        met = met.where(F.least("rx", "ry") >= (F.col("wx") + F.col("wy")) * (threshold / (1 + threshold) - 1e-6))
+        met = cut(met.select("key", "labelx", "centrex", "labely", "centrey", (F.col("farx") + F.col("fary")).alias("reach"),
+                             F.least("centrex", "centrey").alias("a"), F.greatest("centrex", "centrey").alias("b")), "met")
+        apart = compared(met.select("a", "b").distinct())
+        met = met.join(apart, ["a", "b"]).where(1 - F.col("similarity") <= F.col("reach") + (1 - threshold + 1e-5))
+        met = met.select("key", "labelx", "centrex", "labely", "centrey", (1 - F.col("similarity")).alias("apart"))
+        full = met.join(side(mixed, "x"), ["key", "labelx", "centrex"]).join(side(mixed, "y"), ["key", "labely", "centrey"])
+        full = full.where("openx or openy").where(F.col("apart") <= F.col("farx") + F.col("fary") + (1 - threshold + 1e-5))
+        return _ordered(full.select(
+            F.col("nodex").alias("x"), F.col("weightx").alias("wx"), F.col("restx").alias("rx"),
+            F.col("nodey").alias("y"), F.col("weighty").alias("wy"), F.col("resty").alias("ry"),
+        ), threshold)
 
     again = repeated_ids(docs)
     member = buckets(texts.select("node", "weight", F.col("weight").alias("rest"), F.explode("keys").alias("key")))
     pairs = cut(candidates(member), "pairs")
-    links = cut(verified(pairs), "links")
+    links, labels = cut(verified(pairs), "links"), None
     large = member.where(F.col("size") > SMALL)
     open_ = unsettled(large.where("node != leader.node").select("key", "node"), large.select("key", F.col("leader.node").alias("leader")).distinct(), links)
     if not open_.isEmpty():
@@ -363,7 +401,7 @@ def classes(
         led_by = large.select("key", F.col("leader.node").alias("leader")).distinct()
         partner = F.col("rest") >= (F.col("weight") + F.col("lightest")) * (threshold / (1 + threshold) - 1e-6)
         open_ = large.where("open and node != leader.node").where(partner).select("key", "node", "first")
-        slots = 1
+        slots, led_once = 1, led_by
         while True:
             open_ = unsettled(open_, led_by, links)
             if open_.isEmpty():
@@ -371,16 +409,24 @@ def classes(
             slots *= GROWTH
             chosen = open_.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(slots)).alias("slot")).agg(F.min("first").alias("p"))
             led_by = chosen.select("key", F.col("p.node").alias("leader"))
+            led_once = led_once.union(led_by)
             # a link inside a component changes no class, so only members of other components are compared
-            labels = _components(links, 2).select("node", "label")
-            own = lambda df, node, name: df.join(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_l", node)).drop("_n", "_l")
+            some = _components(links, 2).select("node", "label")
+            own = lambda df, node, name: df.join(some.select(F.col("node").alias("_n"), F.col("label").alias("_l")), F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_l", node)).drop("_n", "_l")
             leading, led = own(chosen.select("key", "p"), "p.node", "lp"), own(large.select("key", "node", F.struct("node", "weight", "rest").alias("q")), "node", "lq")
             met = led.join(leading, "key").where("lp != lq")
             new = cut(_ordered(met.select(*named("p", "q")), threshold).join(pairs, ["a", "b"], "left_anti"), "pairs")
             pairs, links = pairs.union(new), links.union(cut(verified(new), "links"))
         links = cut(links, "links")
-
-    labels = _components(links)
+        # leaders have met all members of their buckets; two others of different components have not met
+        labels = _components(links)
+        rest = large.where(partner).join(led_once.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
+        new = cut(between(rest, links, labels).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        new = cut(verified(new), "links")
+        if not new.isEmpty():
+            links, labels = links.union(new), None
+
+    labels = _components(links) if labels is None else labels
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = texts.select("node", "at").join(labels, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
     heads = named.groupBy("label").agg(F.min("at").alias("head"))

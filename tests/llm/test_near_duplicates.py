@@ -4,6 +4,7 @@ import collections
 import math
 import random
 
+import numpy as np
 from conftest_llm import ODD, prose
 
 from corpusgauge.llm import neardup
@@ -73,6 +74,42 @@ def test_large_buckets_of_unlike_texts(docs, many_chunks):
     check(docs, pairs)
 
 
+def drifting(seed, step=2, sizes=(12, 7, 7, 12), n=120):
+    """Four families of versions, each like the next one only."""
+    r = random.Random(seed)
+    text = [f"g{seed}x{i}" for i in range(n)]
+    places = list(range(3, n - 6, 6))
+    r.shuffle(places)
+    out = []
+    for k, size in enumerate(sizes):
+        for c in range(size):
+            own = list(text)
+            if size > 8 and c:
+                own[r.choice(places)] = f"own{seed}k{k}c{c}"
+            out.append(" ".join([*own, f"mark{seed}k{k}c{c}"]))
+        for _ in range(step):
+            at = places.pop()
+            text[at] = f"step{seed}k{k}p{at}"
+    return out
+
+
+def test_members_linked_to_different_leaders_meet(docs, monkeypatch):
+    """Chains L1 - X - Y - L2 in one large bucket. The shingles that all of a chain share are looked at first, so
+    they all meet in large buckets, where X belongs to the leader L1 and Y to L2."""
+    chains = [drifting(s) for s in range(6)]
+    pairs = [(100 * s + i, t) for s, texts in enumerate(chains) for i, t in enumerate(texts)]
+    hashes = lambda texts: neardup.Shingles([t.encode() for t in texts], 5, ([], [], 1.0)).s
+    shared = set()
+    for texts in chains:
+        shared |= set.intersection(*(set(hashes([texts[k]]).tolist()) for k in (0, 12, 19, 26)))
+    late = np.array(sorted(set(hashes([t for _, t in pairs]).tolist()) - shared), np.uint64)
+    monkeypatch.setattr(neardup, "_common", lambda *a: (late, np.full(len(late), 1000)))
+    monkeypatch.setattr(neardup, "GROWTH", 1)
+    got = {r.doc_id: r.class_id for r in neardup.classes(docs(pairs), bands=1, rows=0).collect()}
+    assert got == dict(zip([i for i, _ in pairs], brute(pairs), strict=True))
+    assert len(set(got.values())) == len(chains)
+
+
 def test_odd_rows(odd, empty, docs):
     done = neardup.classes(odd)
     assert done.count() == len(ODD)
