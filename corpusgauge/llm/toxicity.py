@@ -121,12 +121,14 @@ def held_out(id_column: str, parts: int, part: int):
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int, most: int) -> DataFrame:
-    """(order, label, text): the labelled documents to fit, at most ``most`` ids by the order of a hash."""
+    """(order, label, text): the labelled documents to fit, at most ``most`` ids by the order of a hash,
+    and one text of each id: that of the smallest hash."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id", parts, part))
     known = known.groupBy(F.col("doc_id").alias("_l")).agg(F.max(label).alias("label"))
     chosen = known.orderBy(F.xxhash64("_l"), "_l").limit(most).select("_l", F.col("label").cast("int").alias("label"))
     text = F.col("text").cast("binary").alias("text")
-    rows = docs.select("doc_id", text).join(F.broadcast(chosen), F.col("doc_id") == F.col("_l"))  # at most ``most`` rows
+    rows = docs.select("doc_id", text).join(F.broadcast(chosen), F.col("doc_id") == F.col("_l"))
+    rows = rows.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))  # at most ``most`` rows
     return rows.select(F.xxhash64("doc_id").alias("order"), "label", "text")
 
 

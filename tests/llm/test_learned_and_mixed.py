@@ -33,6 +33,17 @@ def rude(docs, spark):
     return docs([*pairs, *ODD]), spark.createDataFrame(labels, "doc_id long, quality int, toxic int, score string"), dict(pairs)
 
 
+def test_fit_takes_one_text_of_each_id(docs, spark):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    pairs = [(7, f"text {k} of one id") for k in range(300)] + [(i, f"text of {i}") for i in range(40) if i != 7]
+    take = lambda p: sorted((r.order, r.label, bytes(r.text)) for r in toxicity.sample_of(docs(p), labels, "toxic", 4, 5, 40).collect())
+    first = take(pairs)
+    assert len(first) == 40 and len({o for o, _, _ in first}) == 40
+    assert first == take(pairs[::-1])
+    held = take([(i, t) for k in range(3) for i, t in pairs])
+    assert first == held
+
+
 def test_toxicity(rude):
     df, labels, texts = rude
     rows = toxicity.score(df, labels).collect()
