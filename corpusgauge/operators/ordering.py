@@ -77,6 +77,20 @@ def running_total(
     return done.drop("_carry") if keep_tags else done.drop(*_HELPERS, "_carry")
 
 
+def running_totals(tagged: DataFrame, values: dict[str, Column], group: Sequence[str]) -> DataFrame:
+    """Several inclusive running sums over one ``in_order`` result, whose helper columns stay."""
+    reaching = tagged.join(F.broadcast(_edges(tagged)), "_g", "left_semi") if group else tagged
+    earlier = Window.partitionBy("_g").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = reaching.groupBy("_chunk", "_g").agg(*[F.sum(v).alias(k) for k, v in values.items()])
+    carry = sums.select("_chunk", "_g", *[F.sum(k).over(earlier).alias(f"_carry_{k}") for k in values])
+    here = Window.partitionBy("_chunk", "_g").orderBy("_at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    done = _attach(tagged.withColumns({k: F.sum(v).over(here) for k, v in values.items()}), carry, group)
+    done = done.withColumns({k: F.col(k) + F.coalesce(f"_carry_{k}", F.lit(0)) for k in values})
+    return done.drop(*[f"_carry_{k}" for k in values])
+
+
 def row_numbers(
     df: DataFrame, order: Order, into: str, group: Sequence[str] = (), size: str | None = None
 ) -> DataFrame:
