@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_classifier, quality_rules, substrings, token_counts, toxicity, warc
+from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_classifier, quality_rules, substrings, token_counts, toxicity, trie, warc
 from corpusgauge.llm.common import table
 from corpusgauge.session import cut
 
@@ -183,3 +183,43 @@ SELECT page_id, file,
        CASE WHEN digest <> o THEN o END AS other_digest
 FROM h
 """
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = trie.numbered(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(trie.spliced(turns, 100, 6), turns.select("conv_id"))
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII string, bit by bit."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return (
+        f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT),"
+        f" lambda a, b: list_reduce(range(8), lambda c, i: {step}, xor(a, b)), 4294967295), 4294967295)"
+    )
+
+
+SQL["op11_conversation_trie"] = f"""
+WITH t AS (SELECT conv_id, turn, sha256(sha256(coalesce(role, '')) || sha256(coalesce(text, ''))) AS d, length(coalesce(text, '')) AS n
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list(struct_pack(d, n) ORDER BY turn NULLS FIRST, d) AS own FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, own, {_crc32_sql('conv_id::VARCHAR')} % 6 AS h FROM c),
+r AS (SELECT h.conv_id, list_concat(coalesce(c.own, [])[1:h.h], h.own[h.h + 1:]) AS w
+      FROM h LEFT JOIN c ON c.conv_id = h.conv_id - h.conv_id % 100),
+k AS (SELECT conv_id, len(w) AS total, unnest(range(0, len(w) + 1)) AS depth, w FROM r),
+p AS (SELECT conv_id, total, depth, CASE WHEN depth > 0 THEN w[depth].n ELSE 0 END AS n,
+             list_transform(w[1:depth], lambda x: x.d) AS ds FROM k),
+q AS (SELECT conv_id, total, depth, n, ds, array_to_string(ds, '') AS key, array_to_string(ds[1:depth - 1], '') AS up FROM p),
+node AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(up) AS up, any_value(n) AS n, any_value(ds) AS ds,
+                coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE total = depth), '') AS ends
+         FROM q GROUP BY key, depth),
+kids AS (SELECT up, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids ON kids.up = node.key AND kids.depth = node.depth),
+over_ AS (SELECT array_to_string(ds[1:a], '') AS key, a AS depth, n_children = 0 AS leaf, (n_convs - 1) * n AS saved
+          FROM (SELECT ds, n_children, n_convs, n, unnest(range(0, depth + 1)) AS a FROM full_)),
+sums AS (SELECT key, depth, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved FROM over_ GROUP BY ALL)
+SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_ f JOIN sums USING (key, depth) LEFT JOIN node u ON u.key = f.up AND u.depth = f.depth - 1
+"""
