@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusgauge.llm import decontaminate, mixing, neardup, packing, quality_classifier, quality_rules, substrings, token_counts, toxicity, trie, warc
+from corpusgauge.llm import chat, decontaminate, mixing, neardup, packing, periodic, quality_classifier, quality_rules, substrings, token_counts, toxicity, trie, warc
 from corpusgauge.llm.common import table
 from corpusgauge.session import cut
 
@@ -223,3 +226,78 @@ SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children,
        CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
 FROM full_ f JOIN sums USING (key, depth) LEFT JOIN node u ON u.key = f.up AND u.depth = f.depth - 1
 """
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = periodic.collapse(periodic.planted(table(spark, sf_dir, "documents"), 10))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return done.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def _turn_digests(batches):
+    """Task: blocks in the order of conversations to one row of digests each, read back from the formatted text."""
+    key = None
+
+    def row():
+        return {"conv_id": [key], "n_turns": [n], "turns_sha256": [turns.hexdigest()], "loss_chars": [chars], "loss_sha256": [loss.hexdigest()], "formatted_chars": [size]}
+
+    for batch in batches:
+        rows = []
+        for conv, text, spans in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "spans")), strict=True):
+            if conv != key:
+                if key is not None:
+                    rows.append(row())
+                key, n, chars, size, turns, loss = conv, 0, 0, 0, hashlib.sha256(), hashlib.sha256()
+            for role, said in chat.read_plain(text):
+                turns.update(f"{role}\n{said}\n".encode())
+                n += 1
+            for s in spans:
+                if s["role"] == "assistant":
+                    said = chat.PLAIN.unescape(text[s["text_start"] : s["text_end"]])
+                    loss.update(said.encode())
+                    chars += len(said)
+            size += len(text)
+        if rows:
+            yield pa.RecordBatch.from_pydict({c: [r[c][0] for r in rows] for c in rows[0]})
+    if key is not None:
+        yield pa.RecordBatch.from_pydict(row())
+
+
+@query
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    usual, dealt = chat.parts(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra))
+    schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    done = usual.mapInArrow(_turn_digests, schema)
+    if dealt is not None:
+        done = done.union(dealt.repartition("conv_id").sortWithinPartitions("conv_id", "block").mapInArrow(_turn_digests, schema))
+    return done
+
+
+def _signs_sql(text: str, signs) -> str:
+    for sign, stand_in in signs:
+        sign, stand_in = ("chr(10)" if x == "\n" else f"'{x}'" for x in (sign, stand_in))
+        text = f"replace({text}, {sign}, {stand_in})"
+    return text
+
+
+SQL["op13_chat_formatting"] = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+           UNION ALL SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '\\### Assistant: </turn> ok' FROM (SELECT unnest([0, 1]) AS n))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ' || {_signs_sql('role', chat._ROLE_SIGNS)} || ': ' || {_signs_sql('text', chat._SIGNS)} || '</turn>') + 1) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+"""
