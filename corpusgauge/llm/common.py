@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,10 @@ NO_ID = (1 << 63) - 1
 PIECE = 1 << 20
 """Bytes that the numpy work below holds at a time (about 40 bytes of memory for each)."""
 
+LONG_WORD = 256
+"""Bytes from which a word is hashed by BLAKE2b. The sums modulo 2**64 below have known collisions of equally long
+words, of 1,024 bytes and more, that hold in every base."""
+
 _M64 = (1 << 64) - 1
 
 
@@ -109,8 +114,11 @@ class Words:
                 up, down = _powers(lane, len(part) + 1)
                 total = np.zeros(len(part) + 1, np.uint64)
                 np.cumsum(_BYTE[lane][part] * up[: len(part)], out=total[1:])
-                h = (total[e] - total[s]) * down[s]
-                hashes[lane].append(mix(h + (e - s).astype(np.uint64)))
+                h = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+                for k in np.flatnonzero(e - s >= LONG_WORD).tolist():
+                    digest = hashlib.blake2b(part[s[k] : e[k]].tobytes(), digest_size=8, salt=bytes([lane]))
+                    h[k] = int.from_bytes(digest.digest(), "little")
+                hashes[lane].append(h)
                 for head, n in zip(heads, () if lane else prefixes, strict=False):
                     h = (total[np.minimum(s + n, e)] - total[s]) * down[s]
                     head.append(mix(h + np.uint64(n << 32)))

@@ -3,17 +3,19 @@
 Super-k-mer partitioning. Each window of ``width`` words has a minimiser, the smallest hash among its
 runs of ``seed`` words. Consecutive windows with one minimiser travel to the minimiser's bucket as one
 packed string, so a text is sent about three times and not ``width`` times. The packed strings that a
-task sends to a bucket form one compressed block. In the bucket all windows are sorted by two
-independent 64-bit hashes and by document; the first document of each run of equal windows is
-its owner, and the windows of later documents come back as ranges.
+task sends to a bucket form one compressed block. In the bucket words become numbers that are equal exactly
+where the words are. All windows are sorted by a hash and by document, windows of one hash are compared number by
+number, the first document of each run of equal windows is its owner, and the windows of later documents come
+back as ranges.
 
 Hot minimisers (a passage that a large share of the documents holds) would fill one bucket. They are
-found in a sample of the documents, which decides on the way only and never on the result: their
-windows leave the buckets and go by window, with partial minima before the shuffle.
+found in a sample of the rows, which decides on the way only and never on the result: their
+windows leave the buckets and go by a 128-bit BLAKE2b digest of their words, with partial minima before the shuffle.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,10 @@ HOT_SHARE = 0.25
 """A minimiser with more than this share of a mean bucket's packed strings is hot."""
 
 
+def _single_spaced(texts: list[bytes]) -> list[bytes]:
+    return [b" ".join(t.split()) for t in texts]  # bytes split at the white space of ASCII
+
+
 def _runs(words: Words, width: int, seed: int):
     """First window, number of windows, text and minimiser of each super-k-mer."""
     h = words.hashes[0]
@@ -81,7 +87,7 @@ def _blocks(width: int, seed: int, buckets: int, hot: np.ndarray):
         held = 0
         for part, texts in groups_of(batches, "text"):
             ids, tags = part.column("_id").to_numpy(), part.column("_tag").to_numpy()
-            words = Words(texts)
+            words = Words(_single_spaced(texts))
             first, count, text, low = _runs(words, width, seed)
             if len(hot):
                 cold = ~np.isin(low, hot)
@@ -90,8 +96,7 @@ def _blocks(width: int, seed: int, buckets: int, hot: np.ndarray):
             by = np.argsort(bucket, kind="stable")
             first, count, text, bucket = first[by], count[by], text[by], bucket[by]
             a, b = words.starts[first], words.ends[first + count + width - 2]
-            clean = words.data.replace(b"\n", b" ")
-            strings = [clean[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+            strings = [words.data[x:y] for x, y in zip(a.tolist(), b.tolist(), strict=True)]
             start = first - words.first[text]
             edge = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
             for x, y in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
@@ -114,39 +119,65 @@ def _ranges(doc, tag, start, count):
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (start[1:] > start[:-1] + count[:-1])
     at = np.flatnonzero(new)
-    return doc[at], tag[at], start[at], np.add.reduceat(count, at) if len(at) else count
-
-
-def _bucket(width: int):
+    ends = np.maximum.reduceat(start + count, at) if len(at) else start  # rows equal in id and text give one window often
+    return doc[at], tag[at], start[at], ends - start[at]
+
+
+def _equal_windows(h: np.ndarray, rank: np.ndarray, at: np.ndarray, codes: np.ndarray, width: int):
+    """Windows in an order that puts equal ones together, by ``rank`` among themselves, and where each run of equal
+    ones begins. ``h`` is a hash of each window, ``at`` its first word in ``codes``."""
+    by = np.lexsort((rank, h))
+    start, new = at[by], np.ones(len(h), bool)
+    new[1:] = h[by[1:]] != h[by[:-1]]
+    other = np.zeros(len(h), bool)
+    for k in range(width):
+        other[1:] |= codes[start[1:] + k] != codes[start[:-1] + k]
+    mixed = other & ~new
+    if mixed.any():  # one hash for different words: such runs are taken apart by their words
+        run = np.cumsum(new)
+        kind = np.zeros(len(h), np.int64)
+        for r in np.unique(run[mixed]).tolist():
+            held = np.flatnonzero(run == r)
+            _, which = np.unique(codes[start[held, None] + np.arange(width)], axis=0, return_inverse=True)
+            kind[by[held]] = which.ravel()
+        by = np.lexsort((rank, kind, h))
+        new[1:] = (h[by[1:]] != h[by[:-1]]) | (kind[by[1:]] != kind[by[:-1]])
+    return by, new
+
+
+def _bucket(width: int, hash_of=windows):
     """All blocks of one bucket to the ranges of windows that belong to an earlier document."""
 
     def group(blocks: pa.Table) -> pa.Table:
-        hashes, others, docs, tags, starts = [], [], [], [], []
+        known: dict[bytes, int] = {}
+        codes, heads = [], []
         for block in blocks.column("block").to_pylist():
-            doc, tag, start, count, strings = _unpack(block)
+            *head, strings = _unpack(block)
+            heads.append(head)
             at = 0
-            while at < len(strings):  # a block of long strings is hashed piece by piece
+            while at < len(strings):  # piece by piece, as each word is an object for a moment
                 size, to = 0, at
                 while to < len(strings) and (to == at or size < 1 << 20):
                     size += len(strings[to])
                     to += 1
-                words = Words(strings[at:to], lanes=2)
-                whole = np.flatnonzero(words.left() >= width)
-                text = words.text_of()[whole]
-                hashes.append(windows(words.hashes[0], width)[whole])
-                others.append(windows(words.hashes[1], width)[whole])
-                docs.append(doc[at:to][text])
-                tags.append(tag[at:to][text])
-                starts.append(start[at:to][text] + whole - words.first[text])
+                words = b" ".join(strings[at:to]).split(b" ")
+                for w in dict.fromkeys(words):
+                    known.setdefault(w, len(known))
+                codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
                 at = to
-        h, g, doc, tag, start = map(np.concatenate, (hashes, others, docs, tags, starts))
-        by = np.lexsort((doc, g, h))
-        h, g, doc, tag, start = h[by], g[by], doc[by], tag[by], start[by]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
-        owner = doc[np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))]
-        late = owner < doc
-        doc, tag, start, count = _ranges(doc[late], tag[late], start[late], np.ones(int(late.sum()), np.int64))
+        codes = np.concatenate(codes)
+        doc, tag, start, count = map(np.concatenate, zip(*heads, strict=True))
+        first = np.cumsum(count + width - 1) - (count + width - 1)
+        string = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        step = np.arange(len(string)) - np.repeat(np.cumsum(count) - count, count)
+        at = first[string] + step
+        h = hash_of(mix(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), width)[at]
+        rank = np.unique(doc, return_inverse=True)[1].astype(np.int32)[string]
+        by, new = _equal_windows(h, rank, at, codes, width)
+        owner = rank[by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]]
+        late = by[owner < rank[by]]
+        s = string[late]
+        doc, tag, start, count = _ranges(doc[s], tag[s], start[s] + step[late], np.ones(len(late), np.int64))
         return pa.table({"_id": doc, "_tag": tag, "start": start, "n": count})
 
     return group
@@ -158,16 +189,17 @@ def _hot_windows(width: int, seed: int, hot: np.ndarray):
     def task(batches):
         for part, texts in groups_of(batches, "text"):
             ids, tags = part.column("_id").to_numpy(), part.column("_tag").to_numpy()
-            words = Words(texts, lanes=2)
+            words = Words(_single_spaced(texts))
             first, count, text, low = _runs(words, width, seed)
             chosen = np.isin(low, hot)
             first, count, text = first[chosen], count[chosen], text[chosen]
             steps = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
             at, text = np.repeat(first, count) + steps, np.repeat(text, count)
             if len(at):
+                ends = words.ends[at + width - 1].tolist()
+                spelled = (words.data[a:b] for a, b in zip(words.starts[at].tolist(), ends, strict=True))
                 yield pa.record_batch({
-                    "h": windows(words.hashes[0], width)[at].view(np.int64),
-                    "g": windows(words.hashes[1], width)[at].view(np.int64),
+                    "h": pa.array([hashlib.blake2b(w, digest_size=16).digest() for w in spelled], pa.binary()),
                     "_id": ids[text], "_tag": tags[text], "start": at - words.first[text],
                 })
 
@@ -190,7 +222,7 @@ def repeated_windows(docs: DataFrame, width: int = 13, seed: int = 3, sample: in
     document of smaller id. ``docs`` has ``_id``, ``_tag`` and binary ``text``."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = partitions_for(3.2 * size, BUCKET_BYTES, 4)
-    tried = docs.where(F.pmod(F.xxhash64("_id"), F.lit(sample)) == 0)
+    tried = docs.where(F.rand(13) < 1 / sample)  # by row: rows of one id, or equal in id and text, may be a large share
     seen = tried.mapInArrow(_minimisers(width, seed), "low long, n long").groupBy("low").agg(F.sum("n").alias("n"))
     seen = seen.where("n > 8")
     # a minimiser of k words occurs in 1 of about 6 windows: strings in a mean bucket, as sampled
@@ -204,9 +236,9 @@ def repeated_windows(docs: DataFrame, width: int = 13, seed: int = 3, sample: in
         .groupBy("bucket").applyInArrow(_bucket(width), "_id long, _tag long, start long, n long")
     )
     if len(hot):
-        single = docs.mapInArrow(_hot_windows(width, seed, hot), "h long, g long, _id long, _tag long, start long")
-        owners = single.groupBy("h", "g").agg(F.min("_id").alias("owner"))
-        again = single.join(owners, ["h", "g"]).where("owner < _id")
+        single = docs.mapInArrow(_hot_windows(width, seed, hot), "h binary, _id long, _tag long, start long")
+        owners = single.groupBy("h").agg(F.min("_id").alias("owner"))
+        again = single.join(owners, "h").where("owner < _id")
         late = late.union(again.select("_id", "_tag", "start", F.lit(1).cast("long").alias("n")))
     return late
 

@@ -61,6 +61,40 @@ def test_repeated_passages_odd(odd, empty):
     assert substrings.remove_repeated(empty).count() == 0
 
 
+def alternating(n, flip):
+    """Two such words (Thue-Morse) collide in every polynomial hash modulo 2**64."""
+    return "".join("ab"[(bin(i).count("1") + flip) % 2] for i in range(n))
+
+
+def test_words_that_collide_are_told_apart(docs):
+    tail = prose(3, 12)
+    pairs = [(1, alternating(1024, 0) + " " + tail), (2, alternating(1024, 1) + " " + tail), (3, alternating(1024, 1) + " " + tail)]
+    assert kept(docs(pairs)) == kept_by_hand(pairs)
+    assert [n for _, _, n, _ in kept(docs(pairs))] == [0, 0, 13]
+
+
+def test_windows_of_one_hash_are_told_apart():
+    r = random.Random(4)
+    codes = np.array([r.randrange(3) for _ in range(400)], np.int32)
+    at = np.arange(388)
+    rank = np.array([r.randrange(9) for _ in at], np.int32)
+    weak = np.array([r.randrange(2) for _ in range(3)], np.uint64)[codes[at]]  # only the first word counts
+    by, new = substrings._equal_windows(weak, rank, at, codes, 13)
+    owner = rank[by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]]
+    least = {}
+    for k in at:
+        window = tuple(codes[k : k + 13])
+        least[window] = min(least.get(window, 99), rank[k])
+    assert [least[tuple(codes[k : k + 13])] for k in by] == owner.tolist()
+
+
+def test_repeated_passages_when_one_id_holds_a_third(docs, many_chunks):
+    passage = prose(1, 40)
+    pairs = [(7, prose(300 + k, 20) + " " + passage) for k in range(40)] + [(7, passage)] * 20
+    pairs += [(None, passage + " x")] * 20 + [(100 + k, prose(500 + k, 20) + " " + passage) for k in range(60)]
+    assert kept(docs(pairs)) == kept_by_hand(pairs)
+
+
 # --- benchmark ----------------------------------------------------------------------------------------
 
 
