@@ -243,10 +243,10 @@ def runs(docs: DataFrame, length: int = 6, exponent: int = 4, long: int = LONG,
 def _collapsed(batches):
     """Task: texts and their runs to the words left, and the run of greatest exponent."""
     run = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
-    for batch in batches:
+    for part, texts in groups_of(batches, "text"):
         n_words, left, best = [], [], []
-        for text, found in zip(batch.column("text"), batch.column("runs").to_pylist(), strict=True):
-            words = (text.as_py() or b"").split()
+        for text, found in zip(texts, part.column("runs").to_pylist(), strict=True):
+            words = text.split()
             n_words.append(len(words))
             if found:
                 gone = np.zeros(len(words) + 1, np.int64)
@@ -257,7 +257,7 @@ def _collapsed(batches):
             left.append(b" ".join(words))
             best.append(max(found, key=lambda r: (Fraction(r["length"], r["period"]), -r["start"], -r["period"])) if found else None)
         yield pa.record_batch({
-            "doc_id": batch.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "runs": batch.column("runs"),
+            "doc_id": part.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "runs": part.column("runs"),
             "strongest": pa.array(best, run), "collapsed_text": pa.array(left, pa.binary()),
         })
 
@@ -291,11 +291,10 @@ def collapse(docs: DataFrame, length: int = 6, exponent: int = 4, long: int = LO
 
 def _planted(share: int):
     def task(batches):
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for k, doc in enumerate(batch.column("doc_id").to_pylist()):
+        for part, texts in groups_of(batches, "text"):
+            for k, doc in enumerate(part.column("doc_id").to_pylist()):
                 h = zlib.crc32(str(doc).encode())
-                if doc is None or texts[k] is None or h % share:
+                if doc is None or h % share:
                     continue
                 words, g = texts[k].split(), h // share
                 if words:
@@ -303,7 +302,7 @@ def _planted(share: int):
                     p = 1 + (len(words) - a) // (3 + g % 8)
                     again = words[a : a + p] * ((len(words) - a) // p + 1)
                     texts[k] = b" ".join(words[:a] + again[: len(words) - a])
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.binary())})
+            yield pa.record_batch({"doc_id": part.column("doc_id"), "text": pa.array(texts, pa.binary())})
 
     return task
 
