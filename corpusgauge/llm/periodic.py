@@ -14,7 +14,6 @@ solved where it is read; those of a longer one are dealt out over the cluster.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -289,26 +288,20 @@ def collapse(docs: DataFrame, length: int = 6, exponent: int = 4, long: int = LO
     return done.withColumn("collapsed_text", F.col("collapsed_text").cast("string"))
 
 
-def _planted(share: int):
-    def task(batches):
-        for part, texts in groups_of(batches, "text"):
-            for k, doc in enumerate(part.column("doc_id").to_pylist()):
-                h = zlib.crc32(str(doc).encode())
-                if doc is None or h % share:
-                    continue
-                words, g = texts[k].split(), h // share
-                if words:
-                    a = g % len(words)
-                    p = 1 + (len(words) - a) // (3 + g % 8)
-                    again = words[a : a + p] * ((len(words) - a) // p + 1)
-                    texts[k] = b" ".join(words[:a] + again[: len(words) - a])
-            yield pa.record_batch({"doc_id": part.column("doc_id"), "text": pa.array(texts, pa.binary())})
-
-    return task
-
-
 def planted(docs: DataFrame, share: int = 10) -> DataFrame:
-    """(``doc_id``, ``text``): ``docs`` in which some texts repeat. With h = crc32(doc_id) and g = h // ``share``, each word i >= a of
-    a text with h % ``share`` = 0 becomes word a + (i - a) % p, where a = g % n, p = 1 + (n - a) // (3 + g % 8), n its words."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(_planted(share), "doc_id long, text binary").withColumn("text", F.col("text").cast("string"))
+    """``docs`` in which some texts repeat: with h = crc32(doc_id) and g = h // ``share``, each word i >= a of a text with
+    h % ``share`` = 0 becomes word a + (i - a) % p, where a = g % n, p = 1 + (n - a) // (3 + g % 8), n its words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / share)
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+
+    def again(w):
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+        whole = F.flatten(F.array_repeat(F.slice(w, a + 1, p), (F.floor((n - a) / p) + 1).cast("int")))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a), F.slice(whole, F.lit(1), n - a)), " ")
+
+    # the one-element array binds the words, which are then split once
+    text = F.element_at(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, again(w)).otherwise("")), 1)
+    return docs.withColumn("text", F.when((h % share == 0) & F.col("text").isNotNull(), text).otherwise(F.col("text")))
