@@ -167,6 +167,20 @@ def weighted_centroid(t):
     return spatial.weighted_centroids(w, "id", "w", ["x"], nodes, "id", "up").withColumn("x", F.round("x", 5))
 
 
+@query("""with recursive n as (select p_partkey k, case when p_partkey = 0 then -1 else (p_partkey - 1) // 4 end up from part),
+ a as (select k, k as top from n union all select a.k, n.up from a join n on n.k = a.top where n.up >= 0),
+ o as (select l_partkey k, sum(l_quantity) w, sum(l_suppkey::double * l_quantity) x from lineitem where l_partkey % 3 = 0 or l_partkey > 40 group by 1),
+ t as (select top k, sum(w) w, sum(x) x from a join o using (k) group by 1)
+ select n.k p_partkey, case when coalesce(o.w, 0) >= 1e-6 then 'own' when coalesce(t.w, 0) >= 1e-6 then 'descendants' else 'problem' end source,
+ round(case when coalesce(o.w, 0) >= 1e-6 then o.x / o.w else t.x / t.w end, 5) x from n left join o using (k) left join t using (k)""")
+def subtree_centroid(t):
+    """Parts as a tree of four children a node; the weights of two thirds of the upper parts are missing."""
+    w = t.lineitem.where("l_partkey % 3 = 0 or l_partkey > 40").select("l_partkey", F.col("l_quantity").alias("w"), F.col("l_suppkey").cast("double").alias("x"))
+    up = F.when(F.col("p_partkey") == 0, F.lit(-1).cast("long")).otherwise(F.floor((F.col("p_partkey") - 1) / 4))
+    nodes = t.part.select("p_partkey", up.alias("up"))
+    return spatial.weighted_centroids(w, "l_partkey", "w", ["x"], nodes, "p_partkey", "up").withColumn("x", F.round("x", 5))
+
+
 @query("""with recursive n as (select p_partkey k, case when p_partkey = 0 then -1 else (p_partkey - 1) // 4 end up, p_name nm from part),
  w as (select k, nm path, 1 depth from n where up = -1 union all select n.k, w.path || '/' || n.nm, w.depth + 1 from n join w on n.up = w.k)
  select k p_partkey, path, depth from w""")

@@ -134,30 +134,71 @@ def proximity(matches: DataFrame, targets: DataFrame, target_id: str, group: str
     return q.select(group, "n", (F.col("q") * 100 / size).alias("percent"))
 
 
-def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y: str, reach: int = 4) -> DataFrame:
-    """(group, x, y, n, distance): distance from each distinct point to the nearest mask cell of its
-    group, NULL only for a group without mask cells.
+FAN = 4
+"""Squares of the next finer level along each side of a square."""
 
-    Points meet the cells of their own and the eight neighbouring squares of side ``reach``, so a distance up
-    to the side is exact. Points that found none so near go on with squares four times as wide, until all
-    have one. Rounds grow with the logarithm of the largest distance.
+
+def _pyramid(mask: DataFrame, group: str, levels: int) -> DataFrame:
+    """(level, group, sx, sy, below): every occupied square of side FAN ** level, and which of its parts are occupied, as bits."""
+    each = mask.select(group, "_cx", "_cy", F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level"))
+    side = F.pow(F.lit(FAN), F.col("level") - 1).cast("long")
+    part_x, part_y = F.floor(F.col("_cx") / side), F.floor(F.col("_cy") / side)
+    within = lambda p: p - F.floor(p / FAN) * FAN
+    bit = F.call_function("shiftleft", F.lit(1), (within(part_x) * FAN + within(part_y)).cast("int"))
+    placed = each.select("level", group, F.floor(part_x / FAN).alias("sx"), F.floor(part_y / FAN).alias("sy"), bit.alias("bit"))
+    return placed.groupBy("level", group, "sx", "sy").agg(F.bit_or("bit").alias("below"))
+
+
+def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y: str) -> DataFrame:
+    """(group, x, y, n, distance): exact distance from each distinct point to the nearest mask cell of its
+    group. NULL for a group without mask cells, and for a point with a NULL, NaN or infinite coordinate.
+
+    The occupied squares of each group form a pyramid whose sides shrink by FAN from level to level. A point goes down
+    it with the squares that may hold its nearest cell: every occupied square holds a cell no farther than its far corner, and
+    those that begin beyond the least of these bounds are left out. Rounds grow with the logarithm of the extent, and a
+    point meets a few squares in each, not the cells of its group.
     """
     keys = [group, x, y]
     spots = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    mask = cut(cells.select(group, F.col(x).cast("long").alias("_cx"), F.col(y).cast("long").alias("_cy")).distinct(), "mask")
-    open_ = cut(spots.select(*keys).join(mask.select(group).distinct(), group, "left_semi"), "points")
-    found = None
-    while not open_.isEmpty():
-        square = lambda c, side=reach: F.floor(F.col(c) / side)
-        around = lambda c: F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: square(c) + d))
-        near = open_.select("*", around(x).alias("_bx")).select("*", around(y).alias("_by"))
-        placed = mask.select("*", square("_cx").alias("_bx"), square("_cy").alias("_by"))
-        gap = F.sqrt((F.col(x) - F.col("_cx")) ** 2 + (F.col(y) - F.col("_cy")) ** 2)
-        met = near.join(placed, [group, "_bx", "_by"]).groupBy(*keys).agg(F.min(gap).alias("distance"))
-        hit = cut(met.where(F.col("distance") <= reach), "distances")
-        found = hit if found is None else found.union(hit)
-        open_ = cut(open_.join(hit, keys, "left_anti"), "points")
-        reach *= 4
-    if found is None:
+    whole = lambda c: F.floor(F.col(c).cast("double")).cast("long")
+    mask = cells.select(group, whole(x).alias("_cx"), whole(y).alias("_cy")).where("_cx is not null and _cy is not null").distinct()
+    low = mask.agg(F.min("_cx"), F.max("_cx"), F.min("_cy"), F.max("_cy")).first()
+    if low[0] is None:
         return spots.withColumn("distance", F.lit(None).cast("double"))
-    return spots.join(found, keys, "left")
+    x0, y0 = low[0], low[2]
+    levels = 1
+    while FAN**levels <= max(low[1] - x0, low[3] - y0):
+        levels += 1
+    mask = mask.withColumns({"_cx": F.col("_cx") - x0, "_cy": F.col("_cy") - y0})
+    squares = cut(_pyramid(mask, group, levels), "squares")
+    px, py = F.col(x).cast("double") - x0, F.col(y).cast("double") - y0
+    finite = lambda c: F.abs(c) < float("inf")  # noqa: E731  (false for NaN, NULL for NULL)
+    asked = spots.where(finite(F.col(x).cast("double")) & finite(F.col(y).cast("double")))
+    # one spot: a number that stands for it, so the rounds carry no group columns twice
+    asked = cut(asked.select(*keys, px.alias("_px"), py.alias("_py"), F.monotonically_increasing_id().alias("_spot")), "spots")
+    top = F.array(F.struct(F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy")))
+    left = asked.select("_spot", F.col(group).alias("_group"), "_px", "_py", top.alias("_open"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(FAN * FAN - 1)), lambda b: F.getbit(F.col("below"), b) == 1)
+    for level in range(levels, 0, -1):
+        side = FAN ** (level - 1)  # of the parts; a part of side 1 is a cell
+        here = squares.where(F.col("level") == level).select(F.col(group).alias("_group"), "sx", "sy", "below")
+        near = left.select("_spot", "_group", "_px", "_py", F.explode("_open").alias("s")).select("_spot", "_group", "_px", "_py", "s.*")
+        parts = near.join(here, ["_group", "sx", "sy"]).select(
+            "_spot", "_group", "_px", "_py", F.transform(bits, lambda b: F.struct(
+                (F.col("sx") * FAN + F.floor(b / FAN)).alias("sx"), (F.col("sy") * FAN + b % FAN).alias("sy"))).alias("parts"))
+        a, b = F.col("_px"), F.col("_py")
+        gap = lambda p, c: F.greatest(c * side - p, p - (c * side + (side - 1)), F.lit(0.0))  # noqa: E731, B023
+        reach = lambda p, c: F.greatest(F.abs(p - c * side), F.abs(p - (c * side + (side - 1))))  # noqa: E731, B023
+        judged = parts.select("_spot", "_group", "_px", "_py", F.transform("parts", lambda s: F.struct(
+            (gap(a, s["sx"]) ** 2 + gap(b, s["sy"]) ** 2).alias("lo"), (reach(a, s["sx"]) ** 2 + reach(b, s["sy"]) ** 2).alias("hi"),
+            s["sx"].alias("sx"), s["sy"].alias("sy"))).alias("_open"))
+        # squares of one spot are pruned by their own least bound first, then by that of all
+        least = F.array_min(F.transform("_open", lambda s: s["hi"]))
+        judged = judged.withColumn("_bound", least).withColumn("_open", F.filter("_open", lambda s: s["lo"] <= F.col("_bound")))
+        met = judged.groupBy("_spot").agg(F.first("_group").alias("_group"), F.first("_px").alias("_px"), F.first("_py").alias("_py"),
+                                          F.min("_bound").alias("_bound"), F.flatten(F.collect_list("_open")).alias("_open"))
+        left = cut(met.withColumn("_open", F.filter("_open", lambda s: s["lo"] <= F.col("_bound"))), "spots")
+    found = left.select("_spot", F.sqrt("_bound").alias("distance"))
+    known = asked.join(found, "_spot").select(*[F.col(k).alias(f"_{k}") for k in keys], "distance")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return spots.join(known, same, "left").drop(*[f"_{k}" for k in keys])

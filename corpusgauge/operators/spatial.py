@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from corpusgauge.functions import geometry
 from corpusgauge.functions.vectors import cross, inner, minus
+from corpusgauge.operators.linked import AT_ONCE, list_sums
+from corpusgauge.operators.ordering import in_order, neighbour, running_totals
 from corpusgauge.session import cut
 
 
@@ -189,36 +191,65 @@ def tree_paths(nodes: DataFrame, node: str, parent: str, name: str, root: int =
     return climb.select(F.col("node").alias(node), "path", "depth"), problems
 
 
-def descendants(nodes: DataFrame, node: str, parent: str, root: int = -1) -> DataFrame:
-    """(ancestor, node) for every pair, one level of the tree per round. A parent must come before
-    its child, so the rounds end; one that does not raises."""
-    out_of_order = F.raise_error(F.lit("a parent must come before its child")).cast(nodes.schema[parent].dataType)
-    step = nodes.where(F.col(parent) != root).select(
-        F.col(node).alias("node"), F.when(F.col(parent) < F.col(node), F.col(parent)).otherwise(out_of_order).alias("ancestor")
-    )
-    above = step.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_next"))
-    level, out = cut(step), None
-    while not level.isEmpty():
-        out = level if out is None else out.unionByName(level)
-        level = cut(level.join(above, "ancestor").select("node", F.col("_next").alias("ancestor")))
-    return (out if out is not None else step).select("ancestor", "node")
+def subtree_ranges(nodes: DataFrame, node: str, parent: str, root: int = -1, at_once: int = AT_ONCE) -> DataFrame:
+    """(node, first, last): nodes numbered in pre-order from 0, so that a node and everything below it hold the
+    numbers ``first`` to ``last``. A parent that is no node counts as a root.
+
+    The walk around the tree, down to a node and up from it, is one linked list for each root; ranking it takes
+    rounds in the logarithm of its length and rows in proportion to the nodes, whatever the depth. A parent must
+    come before its child, so there are no rings; one that does not raises. Node ids are whole numbers, 0 or more, and unique.
+    """
+    out_of_order = F.raise_error(F.lit("a parent must come before its child")).cast("long")
+    known = nodes.select(F.col(node).cast("long").alias("_up"), F.lit(True).alias("_known"))
+    flat = nodes.select(F.col(node).cast("long").alias("node"), F.col(parent).cast("long").alias("_up"))
+    flat = flat.withColumn("_up", F.when((F.col("_up") == root) | (F.col("_up") < F.col("node")), F.col("_up")).otherwise(out_of_order))
+    top = F.lit(None).cast("long")
+    tree = cut(flat.join(known, "_up", "left").select("node", F.when(F.col("_known") & (F.col("_up") != root), F.col("_up")).otherwise(top).alias("up")), "tree")
+    # roots are children of one node above them, so all trees are one list: its arcs are 0 and 1, those of a node follow
+    enter, leave = (lambda c: F.col(c) * 2 + 2), (lambda c: F.col(c) * 2 + 3)
+    below = tree.select("node", F.coalesce("up", F.lit(-1).cast("long")).alias("up"))
+    first = below.groupBy("up").agg(F.min("node").alias("child"))
+    after = neighbour(below, ["node"], F.col("node"), "after", ["up"])
+    tied = after.join(first.withColumnRenamed("up", "node"), "node", "left")
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    arcs = tied.select(F.explode(F.array(
+        F.struct(enter("node").alias("id"), F.coalesce(enter("child"), leave("node")).alias("next"), one.alias("n")),
+        F.struct(leave("node").alias("id"), F.coalesce(enter("after"), leave("up")).alias("next"), none.alias("n")),
+    )).alias("a")).select("a.*")
+    ends = first.where("up = -1").select(F.explode(F.array(
+        F.struct(none.alias("id"), enter("child").alias("next"), none.alias("n")), F.struct(one.alias("id"), top.alias("next"), none.alias("n")),
+    )).alias("a")).select("a.*")
+    sums = list_sums(arcs.union(ends), ["n"], at_once=at_once).where("id > 1")
+    at = lambda up: F.max(F.when(F.col("id") % 2 == up, F.col("n")))
+    ranges = sums.groupBy((F.shiftright("id", 1) - 1).alias(node)).agg(at(0).alias("first"), (at(1) - 1).alias("last"))
+    return ranges
 
 
 def weighted_centroids(
     weights: DataFrame, group: str, weight: str, xyz: Sequence[str], nodes: DataFrame, node: str, parent: str,
-    fewest: float = 1e-6,
+    fewest: float = 1e-6, root: int = -1,
 ) -> DataFrame:
-    """(node, source, centroid...): a node's own weighted centroid, else that of everything below it,
-    else a problem. Weighted sums are made per node first, so only one row per node is joined."""
-    sums = [F.sum(F.col(c) * F.col(weight)).alias(f"_{c}") for c in xyz]
-    own = weights.groupBy(F.col(group).alias("node")).agg(F.sum(weight).alias("_w"), *sums)
-    below = descendants(nodes, node, parent).join(own, "node").groupBy(F.col("ancestor").alias("node")).agg(
-        F.sum("_w").alias("_bw"), *[F.sum(f"_{c}").alias(f"_b{c}") for c in xyz]
+    """(node, source, centroid...): a node's own weighted centroid, else that of it and everything below it,
+    else a problem.
+
+    The total of a subtree is the difference of two running sums over the nodes in pre-order. The sums are kept as decimals
+    of 12 places, so the difference is exact and does not depend on what lies outside the subtree."""
+    exact = "decimal(38,12)"
+    names = ["w", *xyz]
+    own = weights.groupBy(F.col(group).alias(node)).agg(
+        F.sum(weight).cast(exact).alias("_w"), *[F.sum(F.col(c) * F.col(weight)).cast(exact).alias(f"_{c}") for c in xyz]
     )
-    each = nodes.select(F.col(node).alias("node")).join(own, "node", "left").join(below, "node", "left")
-    each = each.fillna(0.0)
-    has_own, total = F.col("_w") >= fewest, F.col("_w") + F.col("_bw")
-    source = F.when(has_own, "own").when(total >= fewest, "descendants").otherwise("problem")
-    at = lambda c: F.when(has_own, F.col(f"_{c}") / F.nullif("_w", F.lit(0.0))).when(
-        total >= fewest, (F.col(f"_{c}") + F.col(f"_b{c}")) / F.nullif(total, F.lit(0.0)))
-    return each.select(F.col("node").alias(node), source.alias("source"), *[at(c).alias(c) for c in xyz])
+    placed = subtree_ranges(nodes, node, parent, root).join(own, node, "left")
+    placed = cut(placed.select(node, "first", "last", *[F.coalesce(f"_{c}", F.lit(0).cast(exact)).alias(f"_{c}") for c in names]), "placed")
+    tagged = in_order(placed.select("first", *[f"_{c}" for c in names]), ["first"])
+    upto = running_totals(tagged, {f"_to_{c}": F.col(f"_{c}") for c in names}, []).select(F.col("first").alias("_at"), *[f"_to_{c}" for c in names])
+    upto = cut(upto, "sums")
+    through = placed.join(upto.withColumnRenamed("_at", "last"), "last")
+    before = upto.select((F.col("_at") + 1).alias("first"), *[F.col(f"_to_{c}").alias(f"_before_{c}") for c in names])
+    each = through.join(before, "first", "left")
+    total = {c: (F.col(f"_to_{c}") - F.coalesce(f"_before_{c}", F.lit(0).cast(exact))).cast("double") for c in names}
+    mine = {c: F.col(f"_{c}").cast("double") for c in names}
+    has_own, has_any = mine["w"] >= fewest, total["w"] >= fewest
+    source = F.when(has_own, "own").when(has_any, "descendants").otherwise("problem")
+    at = lambda c: F.when(has_own, mine[c] / F.nullif(mine["w"], F.lit(0.0))).when(has_any, total[c] / F.nullif(total["w"], F.lit(0.0)))
+    return each.select(node, source.alias("source"), *[at(c).alias(c) for c in xyz])

@@ -180,9 +180,29 @@ def test_trees(spark):
     assert {r.id: (r.path, r.depth) for r in paths.collect()} == {0: ("a", 1), 1: ("a/b", 2), 2: ("a/b/c", 3), 3: ("a/b/c/d", 4), 4: ("a/e", 2)}
     assert {r.id for r in bad.collect()} == {5, 7}
     with pytest.raises(Exception, match="before its child"):
-        spatial.descendants(df, "id", "up")
-    below = spatial.descendants(df.where("id < 5"), "id", "up")
-    assert {(r.ancestor, r.node) for r in below.collect()} == {(0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3), (2, 3)}
+        spatial.subtree_ranges(df, "id", "up").collect()
+    spans = {r.id: (r.first, r.last) for r in spatial.subtree_ranges(df.where("id < 6"), "id", "up").collect()}
+    inside = {(a, b) for a, (x, y) in spans.items() for b, (z, _) in spans.items() if a != b and x <= z <= y}
+    assert sorted(x for x, _ in spans.values()) == [0, 1, 2, 3, 4, 5]
+    assert inside == {(0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3), (2, 3)}  # 5 is a root, its parent is no node
+
+
+def test_subtree_of_a_long_chain_and_of_a_wide_node(spark):
+    n = 10_000
+    chain = [(i, i - 1, f"c{i}") for i in range(n)]
+    wide = [(n, -1, "w")] + [(n + 1 + k, n, "leaf") for k in range(3_000)]
+    df = spark.createDataFrame(chain + wide, "id long, up long, name string").repartition(6)
+    spans = {r.id: r.last - r.first + 1 for r in spatial.subtree_ranges(df, "id", "up", at_once=500).collect()}
+    assert all(spans[i] == n - i for i in range(n)) and spans[n] == 3_001 and spans[n + 7] == 1
+
+
+def test_weighted_centroids_of_subtrees(spark):
+    nodes = spark.createDataFrame([(0, -1), (1, 0), (2, 1), (3, 0), (4, -1)], "id long, up long")
+    heavy = 1e15  # outside the subtree of 1, whose total is small beside it
+    w = spark.createDataFrame([(2, 1e-3, 4.0), (2, 1e-3, 8.0), (3, heavy, 1.0)], "id long, w double, x double")
+    got = {r.id: (r.source, r.x) for r in spatial.weighted_centroids(w, "id", "w", ["x"], nodes, "id", "up").collect()}
+    assert got[1] == ("descendants", pytest.approx(6.0)) and got[2] == ("own", pytest.approx(6.0))
+    assert got[0][0] == "descendants" and got[3] == ("own", 1.0) and got[4] == ("problem", None)
 
 
 def test_visibility_of_empty_pixels(spark):

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 
 import numpy as np
 import pytest
@@ -121,9 +122,36 @@ def test_rotation_and_cosine(spark):
     assert np.allclose(list(got), [0, 1, 0, 1], atol=1e-8)
 
 
-def test_lattice_distance(spark):
-    cells = spark.createDataFrame([("a", 0.0, 0.0), ("a", 10.0, 10.0)], "g string, x double, y double")
-    points = spark.createDataFrame([("a", 2.0, 2.0), ("a", 5.0, 5.0), ("b", 0.0, 0.0), ("a", 0.5, 0.0)], "g string, x double, y double")
-    got = {(r.g, r.x): r.distance for r in nearest.lattice_distance(points, cells, "g", "x", "y").collect()}
-    assert math.isclose(got["a", 2.0], math.sqrt(8)) and math.isclose(got["a", 5.0], math.sqrt(50))
-    assert got["b", 0.0] is None and got["a", 0.5] == 0.5
+def distances(df):
+    return {(r.g, repr(r.x), repr(r.y)): (r.n, r.distance) for r in df.collect()}
+
+
+def test_lattice_distance_equals_brute_force(many_chunks):
+    r = random.Random(8)
+    mask = {("a", r.randrange(-30, 40), r.randrange(0, 9)) for _ in range(60)} | {("b", 1_000_000, -5), ("b", 0, 0)}
+    mask |= {("hot", r.randrange(300), r.randrange(300)) for _ in range(400)}
+    asked = [("a", r.uniform(-90, 90), float(r.randrange(-50, 50))) for _ in range(80)] + [("a", 3.0, 3.0)] * 5
+    asked += [("b", 499_999.0, 0.0), ("b", 500_001.5, 0.0), ("b", -1e9, 1e9), ("none", 1.0, 2.0)]
+    asked += [("hot", r.uniform(-20, 320), r.uniform(-20, 320)) for _ in range(150)]
+    points = many_chunks.createDataFrame(asked, "g string, x double, y double").repartition(5)
+    cells = many_chunks.createDataFrame(sorted(mask) * 2, "g string, x long, y long").repartition(3)
+    got = distances(nearest.lattice_distance(points, cells, "g", "x", "y"))
+    assert len(got) == len(set(asked))
+    for g, x, y in asked:
+        near = [math.hypot(x - cx, y - cy) for h, cx, cy in mask if h == g]
+        n, d = got[g, repr(x), repr(y)]
+        assert n == asked.count((g, x, y))
+        assert d == pytest.approx(min(near)) if near else d is None
+
+
+def test_lattice_distance_of_points_that_are_nowhere(spark):
+    nan, inf = float("nan"), float("inf")
+    asked = [("a", nan, 1.0), ("a", None, 1.0), ("a", 1.0, None), ("a", inf, 1.0), ("a", 1.0, -inf), ("a", 4.0, 5.0), (None, 1.0, 1.0)]
+    points = spark.createDataFrame(asked, "g string, x double, y double")
+    cells = spark.createDataFrame([("a", 1, 1), ("a", None, 1), (None, 1, 2)], "g string, x long, y long")
+    got = distances(nearest.lattice_distance(points, cells, "g", "x", "y"))
+    assert len(got) == 7
+    assert got["a", "4.0", "5.0"] == (1, 5.0)
+    assert all(d is None for (g, x, y), (n, d) in got.items() if g == "a" and x != "4.0")
+    none = nearest.lattice_distance(points, cells.limit(0), "g", "x", "y")
+    assert [r.distance for r in none.collect()] == [None] * 7
