@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -173,3 +174,19 @@ def groups_of(batches: Iterator[pa.RecordBatch], column: str, size: int = PIECE)
             part = batch.slice(at, to - at)
             yield part, [x or b"" for x in part.column(column).to_pylist()]
             at = to
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "16m") -> Iterator[None]:
+    """Inside, Arrow batches of jobs that run hold about ``size`` bytes, so that a batch of long texts is no larger than one of
+    short ones. The session's own setting comes back at the end."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

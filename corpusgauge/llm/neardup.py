@@ -31,11 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusgauge.llm.common import NO_ID, PLAIN, Words, groups_of, mix, repeated_ids, row_id, windows
+from corpusgauge.llm.common import NO_ID, PLAIN, Words, groups_of, mix, repeated_ids, row_id, small_batches, windows
 from corpusgauge.session import cut
 
 SMALL = 6
 """Buckets of up to so many different texts are compared pair by pair."""
+TOGETHER = 512
+"""Pairs of one hub that are verified together."""
 GROWTH = 64
 """So many times more leaders from round to round."""
 
@@ -159,37 +161,28 @@ def _signatures(width: int, bands: int, rows: int, frequent):
 
 
 def _similarities(width: int, frequent):
-    """Task: weighted Jaccard similarity of the two texts of each pair."""
+    """Task: weighted Jaccard similarity of each hub and the texts after it. A row without a ``node`` is the hub itself; its
+    shingles are kept until the next one, also over batches. Texts are looked at about 1 MB at a time."""
 
     def task(batches):
-        for batch in batches:
-            at = 0
-            bytes_of = [len(a or b"") + len(b or b"") for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
-            while at < batch.num_rows:
-                to, size = at, 0
-                while to < batch.num_rows and (to == at or size + bytes_of[to] < 1 << 20):
-                    size += bytes_of[to]
-                    to += 1
-                part = batch.slice(at, to - at)
-                at = to
-                nodes: dict[bytes, int] = {}
-                texts: list[bytes] = []
-                pairs = []
-                for a, b, ta, tb in zip(*(part.column(c).to_pylist() for c in ("a", "b", "ta", "tb")), strict=True):
-                    for node, text in ((a, ta), (b, tb)):
-                        if node not in nodes:
-                            nodes[node] = len(texts)
-                            texts.append(text or b"")
-                    pairs.append((nodes[a], nodes[b]))
-                x = Shingles(_plain(texts), width, frequent)
-                total = np.bincount(x.of, x.w, len(texts))
-                found = []
-                for i, j in pairs:
-                    p, q = slice(x.first[i], x.first[i + 1]), slice(x.first[j], x.first[j + 1])
-                    _, m, n = np.intersect1d(x.s[p], x.s[q], assume_unique=True, return_indices=True)
-                    both = float(np.minimum(x.w[p][m], x.w[q][n]).sum(dtype=np.float64))
-                    found.append(both / (total[i] + total[j] - both))
-                yield pa.record_batch({"a": part.column("a"), "b": part.column("b"), "similarity": pa.array(found, pa.float64())})
+        hub, known, weights, whole = None, None, None, 0.0
+        for part, texts in groups_of(batches, "text"):
+            x = Shingles(_plain(texts), width, frequent)
+            total = np.bincount(x.of, x.w, len(texts))
+            found = []
+            for i, (of, node) in enumerate(zip(part.column("hub").to_pylist(), part.column("node").to_pylist(), strict=True)):
+                here = slice(x.first[i], x.first[i + 1])
+                if node is None:
+                    hub, known, weights, whole = of, x.s[here].copy(), x.w[here].copy(), float(total[i])
+                    continue
+                s = x.s[here]
+                at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                same = known[at] == s
+                both = float(np.minimum(weights[at[same]], x.w[here][same]).sum(dtype=np.float64))
+                found.append((min(hub, node), max(hub, node), both / (whole + float(total[i]) - both)))
+            if found:
+                left, right, similar = zip(*found, strict=True)
+                yield pa.record_batch({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary()), "similarity": pa.array(similar, pa.float64())})
 
     return task
 
@@ -251,11 +244,12 @@ def _prefixes(width: int, threshold: float, frequent, common):
 
 def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
     """Distinct pairs with a < b that the threshold allows: x and y have the weights wx and wy, of which
-    rx and ry are from the common key on, and no more can be common."""
+    rx and ry are from the common key on, and no more can be common. ``turned``: x, which often has many pairs, is b."""
     fits = F.least("rx", "ry") >= (F.col("wx") + F.col("wy")) * (threshold / (1 + threshold) - 1e-6)
-    return pairs.where(F.col("x") != F.col("y")).where(fits).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).distinct()
+    each = pairs.where(F.col("x") != F.col("y")).where(fits).select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("x") > F.col("y")).alias("turned")
+    )
+    return each.groupBy("a", "b").agg(F.min("turned").alias("turned"))
 
 
 def _components(links: DataFrame, steps: int | None = None) -> DataFrame:
@@ -275,9 +269,7 @@ def _components(links: DataFrame, steps: int | None = None) -> DataFrame:
             return labels
 
 
-def classes(
-    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01
-) -> DataFrame:
+def classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``class_id`` (least id of the class), ``n_links`` (verified
     links of its word sequence to others; inside a class not every link is looked for), ``keep`` (true for
     one row of each class, the first by id and hash of the text), and the row key ``_id``, ``_tag``.
@@ -287,8 +279,16 @@ def classes(
     classes of their own. A NULL id comes after all others and shows as a NULL class id if no row of
     the class has one. Rows of one id are judged by their texts; rows equal in both share one class,
     and ``keep`` is true for each of them (drop duplicates to keep one). Only ``doc_id`` and ``text``
-    are read, so other columns cannot clash. Empty table: no rows. Whole texts of any length are used.
+    are read, so other columns cannot clash. Empty table: no rows. Whole texts of any length are used,
+    and reach the tasks in Arrow batches of a bounded size.
     """
+    with small_batches(docs.sparkSession):
+        return _classes(docs, width, threshold, bands, rows, rare)
+
+
+def _classes(
+    docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01
+) -> DataFrame:
     rows_of = docs.select(row_id().alias("_id"), F.xxhash64("text").alias("_tag"), F.col("text").cast("binary").alias("text"))
     frequent = frequent_words(rows_of.select("text"), rare)
     schema = "_id long, _tag long, node binary, weight double, keys array<long>"
@@ -338,12 +338,20 @@ def classes(
         return full.dropDuplicates(["node"]) if again else full
 
     def compared(pairs: DataFrame) -> DataFrame:
-        """Pairs with their similarity by the whole texts."""
-        full = text_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-        second = pairs.join(full.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
-        both = second.join(full.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        task = _similarities(width, frequent)
-        return both.select("a", "b", "ta", "tb").mapInArrow(task, "a binary, b binary, similarity double")
+        """Pairs with their similarity by the whole texts.
+
+        Pairs are dealt by their hub, the one of the two that leads others, at most about ``TOGETHER`` to a group. The hub's text
+        comes once for each group and the other texts follow it as a stream, so no row holds two texts."""
+        hub = F.when(F.col("turned"), F.col("b")).otherwise(F.col("a"))
+        other = F.when(F.col("turned"), F.col("a")).otherwise(F.col("b"))
+        p = pairs.select(hub.alias("hub"), other.alias("node"))
+        sizes = p.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("groups"))
+        p = cut(p.join(sizes, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("groups")).alias("slot")), "hubs")
+        full = cut(text_of(p.select("node").union(p.select("hub")).distinct()), "pair-texts")
+        heads = p.select("hub", "slot").distinct().join(full, F.col("hub") == F.col("node")).select("hub", "slot", F.lit(None).cast("binary").alias("node"), "text")
+        rows = heads.union(p.join(full, "node").select("hub", "slot", "node", "text"))
+        rows = rows.repartition("hub", "slot").sortWithinPartitions("hub", "slot", F.asc_nulls_first("node"))
+        return rows.select("hub", "node", "text").mapInArrow(_similarities(width, frequent), "a binary, b binary, similarity double")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs similar by the whole texts."""
@@ -372,7 +380,7 @@ def classes(
         met = met.where(F.least("rx", "ry") >= (F.col("wx") + F.col("wy")) * (threshold / (1 + threshold) - 1e-6))
         met = cut(met.select("key", "labelx", "centrex", "labely", "centrey", (F.col("farx") + F.col("fary")).alias("reach"),
                              F.least("centrex", "centrey").alias("a"), F.greatest("centrex", "centrey").alias("b")), "met")
-        apart = compared(met.select("a", "b").distinct())
+        apart = compared(met.select("a", "b", F.lit(False).alias("turned")).distinct())
         met = met.join(apart, ["a", "b"]).where(1 - F.col("similarity") <= F.col("reach") + (1 - threshold + 1e-5))
         met = met.select("key", "labelx", "centrex", "labely", "centrey", (1 - F.col("similarity")).alias("apart"))
         full = met.join(side(mixed, "x"), ["key", "labelx", "centrex"]).join(side(mixed, "y"), ["key", "labely", "centrey"])

@@ -16,6 +16,7 @@ windows leave the buckets and go by a 128-bit BLAKE2b digest of their words, wit
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,24 +124,25 @@ def _ranges(doc, tag, start, count):
     return doc[at], tag[at], start[at], ends - start[at]
 
 
-def _equal_windows(h: np.ndarray, rank: np.ndarray, at: np.ndarray, codes: np.ndarray, width: int):
-    """Windows in an order that puts equal ones together, by ``rank`` among themselves, and where each run of equal
+def _equal_windows(h: np.ndarray, at: np.ndarray, codes: np.ndarray, width: int):
+    """Windows in an order that puts equal ones together, otherwise as they came, and where each run of equal
     ones begins. ``h`` is a hash of each window, ``at`` its first word in ``codes``."""
-    by = np.lexsort((rank, h))
+    by = np.argsort(h, kind="stable")
     start, new = at[by], np.ones(len(h), bool)
     new[1:] = h[by[1:]] != h[by[:-1]]
-    other = np.zeros(len(h), bool)
+    same = np.flatnonzero(~new)
+    one, two = start[same], start[same - 1]
+    mixed = np.zeros(len(same), bool)
     for k in range(width):
-        other[1:] |= codes[start[1:] + k] != codes[start[:-1] + k]
-    mixed = other & ~new
+        mixed |= codes[one + k] != codes[two + k]
     if mixed.any():  # one hash for different words: such runs are taken apart by their words
         run = np.cumsum(new)
         kind = np.zeros(len(h), np.int64)
-        for r in np.unique(run[mixed]).tolist():
+        for r in np.unique(run[same[mixed]]).tolist():
             held = np.flatnonzero(run == r)
             _, which = np.unique(codes[start[held, None] + np.arange(width)], axis=0, return_inverse=True)
             kind[by[held]] = which.ravel()
-        by = np.lexsort((rank, kind, h))
+        by = np.lexsort((kind, h))
         new[1:] = (h[by[1:]] != h[by[:-1]]) | (kind[by[1:]] != kind[by[:-1]])
     return by, new
 
@@ -150,7 +152,7 @@ def _bucket(width: int, hash_of=windows):
 
     def group(blocks: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
-        codes, heads = [], []
+        codes, heads, n = [], [], 0
         for block in blocks.column("block").to_pylist():
             *head, strings = _unpack(block)
             heads.append(head)
@@ -161,21 +163,20 @@ def _bucket(width: int, hash_of=windows):
                     size += len(strings[to])
                     to += 1
                 words = b" ".join(strings[at:to]).split(b" ")
-                for w in dict.fromkeys(words):
-                    known.setdefault(w, len(known))
-                codes.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
-                at = to
+                codes.append(np.fromiter(map(known.setdefault, words, itertools.count(n)), np.int32, len(words)))
+                at, n = to, n + len(words)
         codes = np.concatenate(codes)
         doc, tag, start, count = map(np.concatenate, zip(*heads, strict=True))
         first = np.cumsum(count + width - 1) - (count + width - 1)
-        string = np.repeat(np.arange(len(count), dtype=np.int32), count)
-        step = np.arange(len(string)) - np.repeat(np.cumsum(count) - count, count)
+        in_order = np.argsort(doc, kind="stable")  # windows of earlier documents come first in each run
+        each = count[in_order]
+        string = np.repeat(in_order.astype(np.int32), each)
+        step = np.arange(len(string)) - np.repeat(np.cumsum(each) - each, each)
         at = first[string] + step
         h = hash_of(mix(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), width)[at]
-        rank = np.unique(doc, return_inverse=True)[1].astype(np.int32)[string]
-        by, new = _equal_windows(h, rank, at, codes, width)
-        owner = rank[by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]]
-        late = by[owner < rank[by]]
+        by, new = _equal_windows(h, at, codes, width)
+        owner = doc[string[by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]]]
+        late = by[owner < doc[string[by]]]
         s = string[late]
         doc, tag, start, count = _ranges(doc[s], tag[s], start[s] + step[late], np.ones(len(late), np.int64))
         return pa.table({"_id": doc, "_tag": tag, "start": start, "n": count})
