@@ -25,9 +25,11 @@ RULES = (
     ("shouts_per_word", None, 0.3),
     ("upper_share", None, 0.5),
     ("dup_line_share", None, 0.6),
+    ("dup_char_share", None, 0.2),
     ("stop_word_share", 0.01, None),
-    ("repeat_word_share", None, 0.5),
 )
+"""Repeated lines are judged by their number and, more strictly, by the characters they hold: of 3,791 labelled texts of
+50 words or more (sf0.1), 0.6 and 0.2 reject 82 of 548 bad and 0 of 3,243 good ones; 0.3 of the lines alone 96 and 10."""
 
 
 def _count(text: Column, other: str) -> Column:
@@ -69,11 +71,13 @@ def _repeated(w: Column) -> Column:
 
 
 def _lines(text: Column) -> Column:
-    """(lines with a word, those equal to an earlier line)."""
+    """(lines with a word, those equal to an earlier line, characters of the lines, characters of those equal to an earlier one)."""
     with_word = F.filter(F.split(text, "\n"), lambda line: line.rlike(_WORD))
-    return let(with_word, lambda x: F.struct(
-        F.size(x).cast("long").alias("all"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")
-    ))
+    chars = lambda x: F.char_length(F.array_join(x, "")).cast("long")
+    return let(with_word, lambda x: let(F.struct(x.alias("x"), F.array_distinct(x).alias("own")), lambda p: F.struct(
+        F.size(p["x"]).cast("long").alias("all"), (F.size(p["x"]) - F.size(p["own"])).cast("long").alias("dup"),
+        chars(p["x"]).alias("chars"), (chars(p["x"]) - chars(p["own"])).alias("dup_chars"),
+    )))
 
 
 def _of_words(w: Column) -> Column:
@@ -108,8 +112,8 @@ def measure(docs: DataFrame, rules=RULES) -> DataFrame:
         "shouts_per_word": share(F.col("n_shouts"), n),
         "upper_share": share(F.col("n_upper"), F.col("word_chars")),
         "dup_line_share": share(F.col("l.dup"), F.col("l.all")),
+        "dup_char_share": share(F.col("l.dup_chars"), F.col("l.chars")),
         "stop_word_share": share(F.col("w.stops"), n),
-        "repeat_word_share": share(F.col("w.repeated"), n),
     }
     counts = raw.select(
         "doc_id", n.alias("n_words"), "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"),

@@ -68,16 +68,20 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records of an archive of the pages with their fixity. The replica it is compared with has lost a
-    byte's value in the records of some pages."""
-    pages = table(spark, sf_dir, "pages")
-    rotten = F.when(F.col("page_id") % 97 == 13, F.concat(F.lit("?"), F.substring("html", 2, 1 << 30))).otherwise(F.col("html"))
+    """All records of an archive of the pages with their fixity. The replica it is compared with has lost the records of some
+    pages and holds others with one byte's value changed, cut off in the middle, or put in."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    at = F.col("page_id")
+    body = F.when(at % 97 == 13, F.concat(F.lit("?"), F.substring("html", 2, 1 << 30))).when(
+        at % 79 == 3, F.expr("substring(html, 1, char_length(html) div 2)")).otherwise(F.col("html"))
+    more = pages.where(at % 83 == 5).withColumn("html", F.concat(F.lit("put in "), F.coalesce("html", F.lit(""))))
     stored = cut(warc.archive(pages), "archive")
-    found = warc.audit(stored, cut(warc.archive(pages.withColumn("html", rotten)), "archive"))
-    status = F.coalesce("status", F.lit("intact")).alias("status")
-    return stored.join(found.select("file", "slot", "status", "other_digest"), ["file", "slot"], "left").select(
-        F.col("key").alias("page_id"), "file", "start", "length", "digest", status, "other_digest"
-    )
+    other = cut(warc.archive(pages.where((at % 89 != 7) | at.isNull()).withColumn("html", body).union(more)), "archive")
+    found = cut(warc.audit(stored, other), "findings")
+    known = found.where("status <> 'extra'").select("file", "slot", "status", "other_start", "other_digest")
+    columns = [F.col("key").alias("page_id"), "file", "start", "length", "digest", "status", "other_start", "other_digest"]
+    held = stored.join(known, ["file", "slot"], "left").withColumn("status", F.coalesce("status", F.lit("intact"))).select(*columns)
+    return held.union(found.where("status = 'extra'").select(*columns))
 
 
 @query
@@ -142,7 +146,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce({_WORDS}, []) AS w F
 win AS (SELECT doc_id, s, w[s:s + 2] AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS s FROM d WHERE len(w) >= 3)),
 twice AS (SELECT doc_id, s FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, x) AS n FROM win) WHERE n >= 2),
 rep AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(s, s + 3)) FROM twice) GROUP BY doc_id),
-line AS (SELECT doc_id, count(*) AS n, count(DISTINCT x) AS own
+line AS (SELECT doc_id, count(*) AS n, count(DISTINCT x) AS own, sum(length(x)) AS chars, list_sum(list_transform(list(DISTINCT x), lambda y: length(y))) AS own_chars
          FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
          WHERE regexp_matches(x, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
 f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
@@ -151,6 +155,7 @@ f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
              length(regexp_replace(t, '[^!]+', '', 'g')) AS shouts,
              length(regexp_replace(t, '[^\\p{{Lu}}]+', '', 'g')) AS uppers,
              CAST(coalesce(line.n - line.own, 0) AS BIGINT) AS n_dup_lines, coalesce(line.n, 0) AS n_lines,
+             coalesce(line.chars, 0) AS line_chars, coalesce(line.chars - line.own_chars, 0) AS dup_chars,
              CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
              len(list_filter(w, lambda x: x IN ({_STOPS}))) AS stops
       FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN line USING (doc_id)),
@@ -160,7 +165,7 @@ r AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS me
              CASE WHEN word_chars > 0 THEN uppers / word_chars ELSE 0 END AS upper_share,
              CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_share,
              CASE WHEN n_words > 0 THEN stops / n_words ELSE 0 END AS stop_word_share,
-             CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS repeat_word_share,
+             CASE WHEN line_chars > 0 THEN dup_chars / line_chars ELSE 0 END AS dup_char_share,
              n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND {_rules_sql()} AS kept
@@ -176,15 +181,23 @@ def _record_sql(body: str) -> str:
     )
 
 
+_OFFSET = "CAST(sum(length) OVER (PARTITION BY file ORDER BY page_id, digest ROWS UNBOUNDED PRECEDING) - length AS BIGINT)"
+
 SQL["op8_warc_fixity"] = f"""
-WITH p AS (SELECT *, CASE WHEN page_id % 97 = 13 THEN '?' || html[2:] ELSE html END AS other FROM pages),
-r AS (SELECT page_id, page_id // 1024 AS file, {_record_sql('html')} AS a, {_record_sql('other')} AS b FROM p),
-h AS (SELECT page_id, file, CAST(strlen(a) AS BIGINT) AS length, sha256(a) AS digest, sha256(b) AS o FROM r)
-SELECT page_id, file,
-       CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start,
-       length, digest, CASE WHEN digest <> o THEN 'altered' ELSE 'intact' END AS status,
-       CASE WHEN digest <> o THEN o END AS other_digest
-FROM h
+WITH o AS (SELECT page_id, url, html AS body FROM pages),
+p AS (SELECT page_id, url, CASE WHEN page_id % 97 = 13 THEN '?' || html[2:] WHEN page_id % 79 = 3 THEN html[1:length(html) // 2] ELSE html END AS body
+      FROM pages WHERE page_id % 89 <> 7
+      UNION ALL SELECT page_id, url, 'put in ' || coalesce(html, '') FROM pages WHERE page_id % 83 = 5),
+h AS (SELECT *, {_OFFSET} AS start FROM (SELECT page_id, page_id // 1024 AS file, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS digest FROM (SELECT page_id, {_record_sql('body')} AS r FROM o))),
+g AS (SELECT *, {_OFFSET} AS start FROM (SELECT page_id, page_id // 1024 AS file, CAST(strlen(r) AS BIGINT) AS length, sha256(r) AS digest FROM (SELECT page_id, {_record_sql('body')} AS r FROM p))),
+same AS (SELECT h.*, CASE WHEN h.start <> g.start THEN g.start END AS other_start FROM h JOIN g USING (page_id, file, digest)),
+x AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY digest) AS i FROM h ANTI JOIN g USING (page_id, digest)),
+y AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY digest) AS i FROM g ANTI JOIN h USING (page_id, digest))
+SELECT page_id, file, start, length, digest, CASE WHEN other_start IS NULL THEN 'intact' ELSE 'moved' END AS status, other_start,
+       CASE WHEN other_start IS NOT NULL THEN digest END AS other_digest FROM same
+UNION ALL SELECT coalesce(x.page_id, y.page_id), coalesce(x.file, y.file), x.start, x.length, x.digest,
+       CASE WHEN x.digest IS NULL THEN 'extra' WHEN y.digest IS NULL THEN 'missing' ELSE 'altered' END, y.start, y.digest
+FROM x FULL JOIN y ON x.page_id = y.page_id AND x.i = y.i
 """
 
 

@@ -1,17 +1,20 @@
 """Fixity audit of web archives by Merkle trees.
 
-Records are put in the order of their key and cut into archive files of about ``file_bytes``, each record at an
+Records are put in the order of their key, a range of keys to an archive file, each record at an
 offset. A leaf is the hash of a record with its offset range; ``fanout`` neighbours in the order of offsets hash to a node of
 the next level, up to one root for a file, and on over the files to one root for the replica. Two replicas
 are compared from the roots down: on each level only children of nodes that differ are read, so intact
-branches cost nothing below the level where they agree.
+branches cost nothing below the level where they agree. What differs at the leaves is then aligned by key and digest, so
+one record that is lost or put in leaves those after it as they are, moved to another offset.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgauge.llm.common import NO_ID
+from corpusgauge.operators.ordering import in_order, row_numbers, running_totals
 from corpusgauge.session import cut
 
 FANOUT = 16
@@ -34,18 +37,18 @@ def archive(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
     ``digest`` (SHA-256) of its record.
 
     A file holds the keys of one range of ``per_file`` numbers, ordered by key and then by digest; records of NULL
-    key form the files with negative numbers, dealt by digest. Offsets are running sums within the file, so no
-    order over all records is needed. Only the three named columns are read, so others cannot clash.
+    key form the files with negative numbers, dealt by digest. A file may hold any share of all records, repeated ones
+    too: slots and offsets are running sums over chunks of the ordered records. Only the three named columns are
+    read, so others cannot clash.
     """
     made = pages.select(F.col(key).cast("long").alias("key"), record(F.col(url), F.col(body)).cast("binary").alias("record"))
     made = made.select("key", F.sha2("record", 256).alias("digest"), F.octet_length("record").cast("long").alias("length"))
     lost = -1 - F.pmod(F.xxhash64("digest"), F.lit(1 << 20))
     placed = made.withColumn("file", F.coalesce(F.floor(F.col("key") / per_file), lost))
-    order = Window.partitionBy("file").orderBy("key", "digest")
-    return placed.withColumns({
-        "slot": F.row_number().over(order) - 1,
-        "start": F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")),
-    }).select("file", "slot", "key", "start", "length", "digest")
+    # equal records are ordered by where they were read, which changes no slot's content, so they may spread
+    tagged = in_order(placed.withColumn("_row", F.monotonically_increasing_id()), ["key", "digest", "_row"], ["file"])
+    sums = running_totals(tagged, {"_n": F.lit(1).cast("long"), "_upto": F.col("length")}, ["file"])
+    return sums.select("file", (F.col("_n") - 1).alias("slot"), "key", (F.col("_upto") - F.col("length")).alias("start"), "length", "digest")
 
 
 def trees(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> tuple[list[DataFrame], int]:
@@ -81,14 +84,28 @@ def _differing(level: DataFrame) -> DataFrame:
     return both.where(~F.col("a").eqNullSafe(F.col("b"))).select("file", "place")
 
 
-def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFrame:
-    """The offset ranges in which two archives differ: ``file``, ``slot``, ``key``, ``start`` and ``length``
-    (of the first archive, or of the second where the first has no such record), ``digest``,
-    ``other_digest`` and ``status`` (altered, missing, extra).
+def _paired(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Records of the two sides with equal ``group``, in the order of their slots: one row with structs ``a`` and ``b``,
+    of which one is NULL where the other side has no more."""
+    keys = ["side", *group]
+    many = rows.groupBy(*keys).count().where("count > 1").drop("count")
+    single = rows.join(many, keys, "left_anti").withColumn("i", F.lit(0).cast("long"))
+    more = row_numbers(rows.join(many, keys, "left_semi"), ["slot"], "i", keys)
+    numbered = single.unionByName(more.select(single.columns))
+    held = lambda n: F.max(F.when(F.col("side") == n, F.struct("slot", "start", "length", "digest")))
+    return numbered.groupBy(*group, "i").agg(held(0).alias("a"), held(1).alias("b")).drop("i")
+
 
-    Equal roots end the comparison. Else each level is read only below nodes that differ. NULL keys,
-    urls and bodies and repeated records are records like others (see ``archive``). Two empty archives do not
-    differ; of an empty and another one, every record is missing or extra."""
+def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """The records in which two archives differ: ``file``, ``slot`` (in the first archive, NULL for an extra one), ``key``,
+    ``start``, ``length``, ``digest`` and ``other_start``, ``other_length``, ``other_digest``, and ``status``: altered, missing, extra, or moved (the same record at another
+    offset).
+
+    Equal roots end the comparison. Else each level is read only below nodes that differ. Differing records of a file are aligned by key
+    and digest; those left are paired by key, in the order of their slots, as altered. NULL keys,
+    urls and bodies and repeated records are records like others (see ``archive``): of one that occurs more often in one archive,
+    the last ones are missing or extra. Two empty archives do not differ; of an empty and another one, every record is
+    missing or extra."""
     levels, turn = trees(first, second, fanout)
     found = _differing(levels[-1])
     for i in range(len(levels) - 2, -1, -1):
@@ -101,12 +118,16 @@ def audit(first: DataFrame, second: DataFrame, fanout: int = FANOUT) -> DataFram
         else:
             on = F.col("file").eqNullSafe(F.col("_f")) & (F.floor(F.col("place") / fanout) == F.col("_p"))
         found = _differing(lower.join(parent, on, "left_semi"))
-    pick = lambda r, n: r.select("file", "slot", F.struct("key", "start", "length", "digest").alias(n))
-    places = found.select("file", F.col("place").cast("int").alias("slot"))
-    both = places.join(pick(first, "a"), ["file", "slot"], "left").join(pick(second, "b"), ["file", "slot"], "left")
-    either = F.coalesce("a", "b")
+    places = found.select("file", F.col("place").cast("long").alias("slot"))
+    of = lambda r, n: r.join(places, ["file", "slot"], "left_semi").select(F.lit(n).alias("side"), "file", F.coalesce("key", F.lit(NO_ID)).alias("key"), "slot", "start", "length", "digest")
+    rows = cut(of(first, 0).union(of(second, 1)), "differing")
+    same = cut(_paired(rows, ["file", "key", "digest"]), "aligned")
+    moved = same.where("a is not null and b is not null and a.start <> b.start").drop("digest")
+    side = lambda n, c: same.where(f"(a is null) <> (b is null) and {c} is not null").select(F.lit(n).alias("side"), "file", "key", f"{c}.*")
+    left = _paired(side(0, "a").unionByName(side(1, "b")), ["file", "key"])
     status = F.when(F.col("a").isNull(), "extra").when(F.col("b").isNull(), "missing").otherwise("altered")
-    return both.select(
-        "file", "slot", either["key"].alias("key"), either["start"].alias("start"), either["length"].alias("length"),
-        F.col("a.digest").alias("digest"), F.col("b.digest").alias("other_digest"), status.alias("status"),
+    every = moved.withColumn("status", F.lit("moved")).unionByName(left.withColumn("status", status))
+    return every.select(
+        "file", "a.slot", F.when(F.col("key") != NO_ID, F.col("key")).alias("key"), "a.start", "a.length", "a.digest",
+        F.col("b.start").alias("other_start"), F.col("b.length").alias("other_length"), F.col("b.digest").alias("other_digest"), "status",
     )
