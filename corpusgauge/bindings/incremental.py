@@ -20,6 +20,28 @@ def jsonl_roundtrip(t):
     return back.select("split", "doc_id", "task_type", F.length("instruction").cast("long").alias("n"))
 
 
+@query("""with c as (select conv_id, turn, text, turn * 2500 + conv_id s from conversations where text <> ''),
+ l as (select conv_id, s, s + 2500 e, text, printf('%02d:%02d:%02d.%03d', s // 3600000, s % 3600000 // 60000, s % 60000 // 1000, s % 1000) a,
+  printf('%02d:%02d:%02d.%03d', (s + 2500) // 3600000, (s + 2500) % 3600000 // 60000, (s + 2500) % 60000 // 1000, (s + 2500) % 1000) b from c)
+ select k.conv_id, 'WEBVTT' || chr(10) || chr(10) || coalesce(string_agg(a || ' --> ' || b || chr(10) || text || chr(10) || chr(10), '' order by s, text), '') as text
+ from (select distinct conv_id from conversations) k left join l using (conv_id) group by 1""")
+def caption_files(t):
+    start = F.col("turn") * 2.5 + F.col("conv_id") / 1000
+    path = scratch(t.spark, "captions")
+    said = t.conversations.select("conv_id", start.alias("s"), (start + 2.5).alias("e"), "text")
+    sinks.write_captions(said, "conv_id", "s", "e", "text", path)
+    return sinks.read_captions(t.spark, path).select(F.col("conv_id").cast("long").alias("conv_id"), "text")
+
+
+@query("select o_orderstatus, count(*) n, count(distinct o_orderkey) n_keys, sum(o_custkey)::bigint customers, max(o_orderdate) newest from orders group by 1")
+def relation_roundtrip(t):
+    path = scratch(t.spark, "relation")
+    sinks.write_relation(t.orders, path)
+    back = t.spark.read.parquet(path)
+    return back.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys"), F.sum("o_custkey").alias("customers"), F.max("o_orderdate").alias("newest"))
+
+
 @query("""select 'clean' attempt, true written, (select count(*) from orders) n union all select 'contaminated', false, 0""")
 def gated_write(t):
     clean = audit.orphans(t.orders, ["o_custkey"], t.customer, ["c_custkey"])

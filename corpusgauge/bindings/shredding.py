@@ -47,9 +47,9 @@ LICENSES = [("CC Attribution", False), ("CC0 Public Domain", False), ("CC Attrib
 
 
 @query("""with lic as (select * from (values (0, 'CC Attribution', 1), (1, 'CC Attribution-ShareAlike', 3), (2, 'CC0 Public Domain', 2)) v(license_id, name, k)),
- f as (select l_partkey k, l_orderkey o, l_linenumber n, case l_linenumber % 3 when 0 then 2048 when 1 then 1024 else 0 end r, 'm/' || l_partkey || '_' || l_orderkey || case l_linenumber % 3 when 0 then '_2048' when 1 then '_1024' else '' end || '.glb' p from lineitem),
+ f as (select l_partkey k, l_orderkey o, l_linenumber n, case l_linenumber % 3 when 0 then 2048 when 1 then 1024 else 0 end r, 'm/' || l_partkey || '/' || l_orderkey || case l_linenumber % 3 when 0 then '_2048' when 1 then '_1024' else '' end || '.glb' p from lineitem),
  b as (select k, count(*) n_files, first(p order by r desc, o, n) best_path, max(r) best_resolution from f group by 1)
- select p_partkey::varchar model_id, p_name || ' "{' || p_container || '}," \\' as name, license_id::int license_id, p_size::bigint vertex_count, p_partkey % 2 = 0 is_rigged, coalesce(n_files, 0) n_files, best_path, best_resolution::int best_resolution,
+ select p_partkey::varchar model_id, p_name || ' "{' || p_brand || '}," \\' as name, license_id::int license_id, p_size::bigint vertex_count, p_partkey % 2 = 0 is_rigged, coalesce(n_files, 0) n_files, best_path, best_resolution::int best_resolution,
   len(string_split(p_type, ' '))::bigint n_categories, case when p_size % 5 = 0 then 0 else 2 end::bigint n_tags
  from part join lic on k = p_partkey % 4 left join b on b.k = p_partkey where p_size > 3""")
 def shred_map(t):
@@ -59,13 +59,13 @@ def shred_map(t):
     from corpusgauge.sources.jsonmap import write_json_map
 
     side = F.when(F.col("l_linenumber") % 3 == 0, "_2048").when(F.col("l_linenumber") % 3 == 1, "_1024").otherwise("")
-    path = F.concat(F.lit("m/"), "l_partkey", F.lit("_"), "l_orderkey", side, F.lit(".glb"))
+    path = F.concat(F.lit("m/"), "l_partkey", F.lit("/"), "l_orderkey", side, F.lit(".glb"))
     files = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", path.alias("path")))).alias("f"))
     licence = F.element_at(F.array(F.lit("Editorial"), F.lit(LICENSES[0][0]), F.lit(LICENSES[1][0]), F.lit(LICENSES[2][0])), (F.col("p_partkey") % 4 + 1).cast("int"))
     record = F.to_json(F.struct(
-        F.concat("p_name", F.lit(' "{'), "p_container", F.lit('}," \\')).alias("name"), F.col("p_brand").alias("user"), licence.alias("license"),
+        F.concat("p_name", F.lit(' "{'), "p_brand", F.lit('}," \\')).alias("name"), F.col("p_brand").alias("user"), licence.alias("license"),
         F.col("p_size").alias("vertexCount"), (F.col("p_partkey") % 2 == 0).alias("isRigged"), F.transform("f", lambda x: x["path"]).alias("glb_paths"),
-        F.split("p_type", " ").alias("categories"), F.when(F.col("p_size") % 5 != 0, F.array("p_brand", "p_mfgr")).alias("tags")))
+        F.split("p_type", " ").alias("categories"), F.when(F.col("p_size") % 5 != 0, F.array("p_brand", "p_type")).alias("tags")))
     spark, place = t.spark, scratch(t.spark, "model-map")
     write_json_map(t.part.join(files, "p_partkey", "left").withColumn("record", record), "p_partkey", "record", place)
     listed = scratch(spark, "model-ids")

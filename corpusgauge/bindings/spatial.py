@@ -120,6 +120,33 @@ def signed_volume(t):
     return out.withColumn("signed_volume", F.round("signed_volume", 4))
 
 
+@query(f"""with {VERTS}, f as (select l_orderkey m, l_partkey a, l_suppkey b, l_linenumber c, l_returnflag r, l_discount - 0.05 d, l_tax - 0.04 e from lineitem),
+ vol as (select m, count(*) n_faces, sum(a.x * (b.y * c.z - b.z * c.y) + a.y * (b.z * c.x - b.x * c.z) + a.z * (b.x * c.y - b.y * c.x)) / 6 v
+   from f join v a on a.k = f.a join v b on b.k = f.b join v c on c.k = f.c group by 1),
+ e as (select m, a u, b w from f union all select m, b, c from f union all select m, c, a from f),
+ p as (select m, least(u, w) lo, greatest(u, w) hi, count(*) n, count(*) filter (where u < w) up from e where u <> w group by all),
+ ed as (select m, count(*) n_edges, count(*) filter (where n = 1) open_edges, count(*) filter (where n = 2 and up <> 1) flipped_edges, count(*) filter (where n > 2) crowded_edges from p group by 1),
+ s as (select f.m, avg(v.x - 25) filter (where r = 'R') right_dot, avg(v.x - 25) filter (where r = 'A') left_dot from f join v on v.k = f.a group by 1),
+ ba as (select m, count(*) filter (where d * e * (d + e) - 0.000008 < 0) negative_bases from f group by 1),
+ j as (select *, coalesce(right_dot > 0 and left_dot < 0, false) sides_split from s full join vol using (m) full join ed using (m) full join ba using (m))
+ select m l_orderkey, round(right_dot, 5) right_dot, round(left_dot, 5) left_dot, sides_split, round(v, 4) signed_volume, n_edges, open_edges, flipped_edges, crowded_edges, negative_bases,
+  case when not sides_split then 'sides are not split' when v <= 0 then 'volume is not positive' when negative_bases > 0 then 'bases are mirrored' when flipped_edges > 0 then 'faces are flipped' end problem from j""")
+def handedness(t):
+    """Orders as bodies: lines are faces, the parts of returned and accepted lines are the joints of the two sides."""
+    faces = t.lineitem.select("l_orderkey", *FACE)
+    side = F.when(F.col("l_returnflag") == "R", "joint.R").when(F.col("l_returnflag") == "A", "joint.L").otherwise("joint")
+    joints = t.lineitem.select("l_orderkey", side.alias("name"), "l_partkey").join(vertices(t), F.col("l_partkey") == F.col("p_partkey"))
+    joints = joints.select("l_orderkey", "name", (F.col("x") - 25).alias("x"), "y", "z", F.lit(1.0).alias("rx"), F.lit(0.0).alias("ry"), F.lit(0.0).alias("rz"))
+    d, e = F.col("l_discount") - 0.05, F.col("l_tax") - 0.04
+    cells = [d, F.lit(0.02), F.lit(0.0), F.lit(0.0), e, F.lit(0.02), F.lit(-0.02), F.lit(0.0), d + e]
+    names = [f"b{i}" for i in range(9)]
+    bases = t.lineitem.select("l_orderkey", *[c.alias(n) for c, n in zip(cells, names, strict=True)])
+    volumes = spatial.signed_volume(faces, "l_orderkey", FACE, vertices(t), "p_partkey", XYZ)
+    out = spatial.handedness(spatial.side_split(joints, "l_orderkey", "name", XYZ, ["rx", "ry", "rz"]), "l_orderkey", volumes, spatial.edge_pairs(faces, "l_orderkey", FACE), bases, names)
+    return out.select("l_orderkey", F.round("right_dot", 5).alias("right_dot"), F.round("left_dot", 5).alias("left_dot"), "sides_split",
+                      F.round("signed_volume", 4).alias("signed_volume"), "n_edges", "open_edges", "flipped_edges", "crowded_edges", "negative_bases", "problem")
+
+
 @query(f"""with {VERTS}, n as (select l_partkey i, l_suppkey j, l_linenumber k, (b.y-a.y)*(c.z-a.z) - (b.z-a.z)*(c.y-a.y) nx, (b.z-a.z)*(c.x-a.x) - (b.x-a.x)*(c.z-a.z) ny, (b.x-a.x)*(c.y-a.y) - (b.y-a.y)*(c.x-a.x) nz
    from lineitem join v a on a.k = l_partkey join v b on b.k = l_suppkey join v c on c.k = l_linenumber),
  s as (select w, sum(nx) nx, sum(ny) ny, sum(nz) nz from (select i w, nx, ny, nz from n union all select j, nx, ny, nz from n union all select k, nx, ny, nz from n) group by 1),

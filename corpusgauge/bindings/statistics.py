@@ -201,10 +201,16 @@ def allocate_by_spread(t):
     return stats.apportion_by_spread(t.lineitem, "l_linenumber", "l_quantity", 200)
 
 
-@query("""select l_orderkey, count(distinct l_linenumber) n_indices, case when min(l_linenumber) = 1 and max(l_linenumber) = count(distinct l_linenumber) then
-  case when count(distinct l_linenumber) = 7 then 'whole' else 'prefix' end else 'hand-picked' end selection from lineitem group by 1""")
+@query("""with d(band, low, high) as (values ('R', 1, 3), ('R', 5, 6), ('N', 0, 4)),
+ l as (select l_orderkey, l_linenumber - 1 i, case when l_linestatus = 'F' then l_returnflag end band from lineitem),
+ m as (select l_orderkey, i, l.band, l.band is null or l.band in (select band from d) known, exists (select 1 from d where d.band = l.band and i between low and high) inside from l)
+ select l_orderkey, count(distinct i) n_indices, case when min(i) = 0 and max(i) + 1 = count(distinct i) and count(distinct i) = 7 then 'whole' when not bool_and(known) then 'undeclared band'
+  when bool_or(band is not null) and bool_and(inside) then 'band' when min(i) = 0 and max(i) + 1 = count(distinct i) then 'prefix' else 'hand-picked' end selection from m group by 1""")
 def selection_class(t):
-    return stats.selection_class(t.lineitem.withColumn("i", F.col("l_linenumber") - 1), "l_orderkey", "i", 7)
+    """Line numbers as chosen indices, return flags of finished lines as band names; A is not declared."""
+    bands = t.spark.createDataFrame([("R", 1, 3), ("R", 5, 6), ("N", 0, 4)], "band string, low int, high int")
+    lines = t.lineitem.select("l_orderkey", (F.col("l_linenumber") - 1).alias("i"), F.when(F.col("l_linestatus") == "F", F.col("l_returnflag")).alias("band"))
+    return stats.selection_class(lines, "l_orderkey", "i", 7, "band", bands)
 
 
 # -- order ------------------------------------------------------------------------------------------

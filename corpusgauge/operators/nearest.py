@@ -1,63 +1,160 @@
-"""Nearest neighbours, exact, in any dimension.
+"""Nearest neighbours in any dimension: exact by a partition of the space, or approximate by projections.
 
-Sources are assigned to the closest of a few pivots; cells are cut into blocks of bounded size by a
-hash of the source id, so neither a dense cell nor a pile of copies is held by one task. A target
-visits only the cells that the triangle inequality cannot rule out, and each (target block, source
-block) pair yields one row per target: its best source there. Pairs are never emitted.
+Sources form about sqrt(N) cells around as many of them as pivots; a cell is cut into blocks of bounded size by a hash of
+the source id, so neither a dense cell nor a pile of copies is held by one task. A target first looks into one
+block of its own cell, which bounds its distance well, and then only into the cells that the triangle inequality
+cannot rule out by that bound. Blocks meet targets as a stream: a task holds one block and the targets pass by, each leaving its best
+source there. Blocks that very many targets visit are read by several tasks. Pairs are never emitted.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusgauge.operators.ordering import exact_percentiles
 from corpusgauge.session import cut
 
-PIVOTS = 16
+MOST_CELLS = 4096
+"""Bound on the pivots that the tasks get, whatever the number of sources; cells grow beyond it and are cut into more blocks."""
 BLOCK = 4096
+VISITS = 1 << 18
+"""Targets of one block that one task takes."""
 _SLICE = 1 << 22  # numbers held at once while distances are formed
+_ROW = "key long, block long, salt long, kind int, id long, vec array<double>"
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    n = len(column)
+    return column.flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 0))
+
+
+def _to_pivots(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """Distances, with the error of the expanded square taken off where they serve as bounds (see ``_SLACK``)."""
+    d2 = (v**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1) - 2 * v @ pivots.T
+    return np.sqrt(np.maximum(d2, 0))
+
+
+_SLACK = 1e-6  # relative to the vectors' lengths: far above the rounding of the expanded square's root
+
+
+def _scale(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return _SLACK * (np.sqrt((v**2).sum(axis=1)) + np.sqrt((pivots**2).sum(axis=1)).max())
+
+
+def _assigned(pivots: np.ndarray):
+    """Task: vectors to their cell, the distance to its pivot, and a bound on the rounding."""
+
+    def task(batches):
+        for batch in batches:
+            if batch.num_rows:
+                v = _matrix(batch.column("vec"))
+                gap = _to_pivots(v, pivots)
+                cell = gap.argmin(axis=1)
+                yield pa.record_batch({
+                    "id": batch.column("id"), "vec": batch.column("vec"), "cell": cell.astype(np.int64),
+                    "far": gap[np.arange(len(v)), cell] + _scale(v, pivots),
+                })
+
+    return task
+
+
+def _surviving(pivots: np.ndarray, reach: np.ndarray, blocks: np.ndarray):
+    """Task: each target with every block of the cells that may hold a source nearer than ``bound``."""
 
+    def task(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            v = _matrix(batch.column("vec"))
+            gap, scale, bound = _to_pivots(v, pivots), _scale(v, pivots), batch.column("bound").to_numpy()
+            if len(pivots) > 1:  # pivots are sources, and one of two is another row than the target
+                bound = np.minimum(bound, np.partition(gap, 1, axis=1)[:, 1] + scale)
+            least = gap - reach - scale[:, None]
+            at, cell = np.nonzero((least <= bound[:, None]) & (blocks > 0))
+            each = blocks[cell]
+            at, cell = np.repeat(at, each), np.repeat(cell, each)
+            block = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
+            for i in range(0, len(at), 8192):  # a target's vector comes once for each block it visits
+                part = pa.array(at[i : i + 8192])
+                yield pa.record_batch({
+                    "id": batch.column("id").take(part), "vec": batch.column("vec").take(part),
+                    "key": cell[i : i + 8192].astype(np.int64), "block": block[i : i + 8192].astype(np.int64),
+                })
 
-def _pivot_distances(pivots: np.ndarray):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def distances(vectors: pd.Series) -> pd.Series:
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        v = np.stack(vectors.to_numpy()).astype("float64")
-        gaps = [np.sqrt(((v - p) ** 2).sum(axis=1)) for p in pivots]
-        return pd.Series(list(np.stack(gaps, axis=1)))
-
-    return distances
-
-
-def _best_in_block(skip_same: bool):
-    def best(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
-        if targets.empty or sources.empty:
-            return pd.DataFrame({"t_id": [], "s_id": [], "d2": []})
-        sources = sources.sort_values("s_id")
-        s = np.stack(sources["s_vec"].to_numpy()).astype("float64")
-        t = np.stack(targets["t_vec"].to_numpy()).astype("float64")
-        s_id, t_id = sources["s_id"].to_numpy(), targets["t_id"].to_numpy()
-        step = max(1, _SLICE // s.size)
-        picks, gaps = [], []
+    return task
+
+
+def _search(skip_same: bool):
+    """Task: sorted rows (the sources of a block, then its targets) to the best source of each target."""
+
+    def best(s_id, s, t_id, t):
+        step = max(1, _SLICE // max(1, len(s)))
+        squares = (s**2).sum(axis=1)
         for i in range(0, len(t), step):
-            d2 = ((t[i:i + step, None, :] - s[None, :, :]) ** 2).sum(axis=2)
+            ids, v = t_id[i : i + step], t[i : i + step]
+            own = (v**2).sum(axis=1)
+            d2 = own[:, None] + squares - 2 * v @ s.T
             if skip_same:
-                d2[t_id[i:i + step, None] == s_id[None, :]] = np.inf
-            at = d2.argmin(axis=1)  # the first of equals, so the smallest id
-            picks.append(s_id[at])
-            gaps.append(d2[np.arange(len(at)), at])
-        return pd.DataFrame({"t_id": t_id, "s_id": np.concatenate(picks), "d2": np.concatenate(gaps)})
+                d2[ids[:, None] == s_id[None, :]] = np.inf
+            # the expanded square chooses; those it cannot tell apart are measured as they are
+            near = d2 <= (d2.min(axis=1) + 1e-9 * (own + squares.max()))[:, None]
+            near &= np.isfinite(d2)
+            at, of = np.nonzero(near)
+            exact = ((v[at] - s[of]) ** 2).sum(axis=1)
+            by = np.lexsort((s_id[of], exact, at))
+            at, of, exact = at[by], of[by], exact[by]
+            first = np.ones(len(at), bool)
+            first[1:] = at[1:] != at[:-1]
+            if first.any():
+                yield pa.record_batch({"t_id": ids[at[first]], "s_id": s_id[of[first]], "d2": exact[first]})
+
+    def task(batches):
+        key, held_id, held = None, [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kind, ids = batch.column("kind").to_numpy(), batch.column("id").to_numpy()
+            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "block", "salt")], axis=1)
+            v = _matrix(batch.column("vec"))
+            new = np.ones(len(ids), bool)
+            new[1:] = (keys[1:] != keys[:-1]).any(axis=1) | (kind[1:] != kind[:-1])
+            edge = np.append(np.flatnonzero(new), len(ids))
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                now = tuple(keys[a].tolist())
+                if now != key:
+                    key, held_id, held = now, [], []
+                if kind[a] == 0:
+                    held_id.append(ids[a:b])
+                    held.append(v[a:b])
+                elif held:
+                    if len(held) > 1:
+                        held_id, held = [np.concatenate(held_id)], [np.concatenate(held)]
+                    yield from best(held_id[0], held[0], ids[a:b], v[a:b])
+
+    return task
+
+
+def _met(sources: DataFrame, targets: DataFrame, skip_same: bool) -> DataFrame:
+    """(t_id, s_id, d2): the best source of each target in each (key, block) it visits. Both sides: ``key``, ``block``, ``id``, ``vec``."""
+    visits = targets.groupBy("key", "block").agg(F.ceil(F.count(F.lit(1)) / VISITS).alias("salts"))
+    s = sources.join(visits, ["key", "block"]).select("key", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), "id", "vec")
+    t = targets.join(visits, ["key", "block"]).select("key", "block", F.pmod(F.xxhash64("id"), F.col("salts")).alias("salt"), F.lit(1).alias("kind"), "id", "vec")
+    rows = s.union(t).repartition("key", "block", "salt").sortWithinPartitions("key", "block", "salt", "kind")
+    return rows.mapInArrow(_search(skip_same), "t_id long, s_id long, d2 double")
+
 
-    return best
+def _vectors(df: DataFrame, id_: str, vec: str | Column) -> DataFrame:
+    value = (F.col(vec) if isinstance(vec, str) else vec).cast("array<double>")
+    return df.select(F.col(id_).cast("long").alias("id"), value.alias("vec")).where("vec is not null and not exists(vec, x -> x is null or isnan(x))")
 
 
-def _ceil_div(n: int, by: int) -> int:
-    return max(1, -(-n // by))
+def _nearest_of(found: DataFrame) -> DataFrame:
+    return found.groupBy("t_id").agg(F.min_by("s_id", F.struct("d2", "s_id")).alias("s_id"), F.min("d2").alias("d2"))
 
 
 def nearest(
@@ -66,58 +163,69 @@ def nearest(
 ) -> DataFrame:
     """(t_id, s_id, d2): the closest source of every target by squared distance, ties by id.
 
-    Ids are integers. ``skip_same`` leaves a row itself out when a table is matched to itself.
+    Ids are integers. ``skip_same`` leaves a row itself out when a table is matched to itself. Vectors that are NULL or hold a
+    NULL or NaN are no sources and find none. Without any source, every target comes with NULLs.
     """
-    vec = lambda c: (F.col(c) if isinstance(c, str) else c).cast("array<double>")
-    s = sources.select(F.col(source_id).cast("long").alias("s_id"), vec(source_vec).alias("s_vec"))
-    t = targets.select(F.col(target_id).cast("long").alias("t_id"), vec(target_vec).alias("t_vec"))
-    # at most PIVOTS vectors and PIVOTS summary rows reach the driver, whatever the table sizes
-    chosen = s.orderBy(F.xxhash64("s_id"), "s_id").limit(PIVOTS).collect()
-    if not chosen:
-        return t.select("t_id", F.lit(None).cast("long").alias("s_id"), F.lit(None).cast("double").alias("d2"))
-    pivots = np.array([r.s_vec for r in chosen])
-    to_pivots = _pivot_distances(pivots)
-    gap = F.col("_gap")
-    s = s.withColumn("_gap", to_pivots("s_vec"))
-    s = s.withColumn("_r", F.array_min(gap)).withColumn("cell", F.array_position(gap, F.col("_r")) - 1)
-    cells = {
-        r.cell: r for r in s.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), F.min("_r").alias("lo"), F.max("_r").alias("hi")
-        ).collect()
-    }
-    n_chunks = _ceil_div(t.count(), BLOCK)
-    info = F.array(*[
-        F.struct(
-            F.lit(i).cast("long").alias("cell"), F.lit(float(cells[i].lo)).alias("lo"), F.lit(float(cells[i].hi)).alias("hi"),
-            F.lit(cells[i].n >= 2).alias("several"), F.lit(_ceil_div(cells[i].n, BLOCK)).alias("blocks"),
-        ) for i in sorted(cells)
-    ])
-    blocks = F.create_map(*[x for i in sorted(cells) for x in (F.lit(i).cast("long"), F.lit(_ceil_div(cells[i].n, BLOCK)))])
-    s = s.select(
-        "s_id", "s_vec", "cell",
-        F.pmod(F.xxhash64("s_id"), F.element_at(blocks, F.col("cell")).cast("long")).alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))).alias("chunk"),
-    )
-    t = t.withColumn("_gap", to_pivots("t_vec")).withColumn("_info", info)
-    at = lambda c: F.get(gap, c["cell"].cast("int"))
-    if skip_same:  # only a cell with two members is sure to hold another row
-        bound = F.transform("_info", lambda c: F.when(c["several"], at(c) + c["hi"]))
-    else:
-        bound = F.transform("_info", lambda c: at(c) + c["lo"])
-    slack = F.coalesce(F.array_min(bound), F.lit(float("inf"))) * (1 + 1e-9) + 1e-12
-    t = t.withColumn("_bound", slack)
-    near = F.filter("_info", lambda c: (at(c) - c["hi"] <= F.col("_bound")) & (c["lo"] - at(c) <= F.col("_bound")))
-    t = t.select("t_id", "t_vec", F.explode(near).alias("c"), F.pmod(F.xxhash64("t_id"), F.lit(n_chunks)).cast("int").alias("chunk"))
-    each_block = F.sequence(F.lit(0).cast("long"), F.col("c.blocks").cast("long") - 1)
-    t = t.select("t_id", "t_vec", F.col("c.cell").alias("cell"), "chunk", F.explode(each_block).alias("block"))
-    keys = ["cell", "block", "chunk"]
-    found = t.groupBy(*keys).cogroup(s.groupBy(*keys)).applyInPandas(
-        _best_in_block(skip_same), "t_id long, s_id long, d2 double"
-    )
-    found = found.where(F.col("d2") < float("inf"))
-    return found.groupBy("t_id").agg(
-        F.min_by("s_id", F.struct("d2", "s_id")).alias("s_id"), F.min("d2").alias("d2")
-    )
+    s, t = _vectors(sources, source_id, source_vec), _vectors(targets, target_id, target_vec)
+    n = s.count()
+    if not n:
+        return t.select(F.col("id").alias("t_id"), F.lit(None).cast("long").alias("s_id"), F.lit(None).cast("double").alias("d2"))
+    # at most MOST_CELLS vectors and summary rows reach the driver, whatever the tables' sizes
+    chosen = s.orderBy(F.xxhash64("id"), "id").limit(min(MOST_CELLS, math.isqrt(n) + 1)).collect()
+    pivots = np.unique(np.array([r.vec for r in chosen]), axis=0)
+    schema = "id long, vec array<double>, cell long, far double"
+    placed = cut(s.mapInArrow(_assigned(pivots), schema), "sources")
+    reach, blocks = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
+    for r in placed.groupBy("cell").agg(F.max("far").alias("far"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).collect():
+        reach[r.cell], blocks[r.cell] = r.far, r.blocks
+    cells = F.broadcast(s.sparkSession.createDataFrame([(i, int(b)) for i, b in enumerate(blocks) if b], "cell long, blocks long"))  # MOST_CELLS rows
+    in_block = lambda df, seed: df.join(cells, "cell").select(F.col("cell").alias("key"), F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).alias("block"), "id", "vec")
+    keyed, home = in_block(placed, 0), in_block(t.mapInArrow(_assigned(pivots), schema), 1)
+    first = cut(_nearest_of(_met(keyed, home, skip_same)), "bounds")
+    bound = F.coalesce(F.sqrt("d2") * (1 + 1e-9), F.lit(float("inf")))  # a lone row of its block has no bound yet
+    asked = t.join(first.select(F.col("t_id").alias("id"), "d2"), "id", "left").select("id", "vec", bound.alias("bound"))
+    visits = asked.mapInArrow(_surviving(pivots, reach, blocks), "id long, vec array<double>, key long, block long")
+    return _nearest_of(_met(keyed, visits.select("key", "block", "id", "vec"), skip_same))
+
+
+def nearest_by_projection(
+    targets: DataFrame, target_id: str, target_vec: str | Column, sources: DataFrame, source_id: str, source_vec: str | Column,
+    skip_same: bool = False, tables: int = 24, directions: int = 4, width: float | None = None, seed: int = 11,
+) -> DataFrame:
+    """(t_id, s_id, d2) of the closest source among those that share a bucket with the target: approximate, and some targets find none.
+
+    Each of ``tables`` keys is the place of a vector on ``directions`` random lines, in steps of ``width`` (by default twice the spread of the
+    sources along a line over their number of lines). More tables find more, more directions and narrower steps compare less. Every candidate
+    of a bucket is measured: buckets of any size are cut into blocks as the cells of ``nearest`` are, none is capped.
+    """
+    s, t = _vectors(sources, source_id, source_vec), _vectors(targets, target_id, target_vec)
+    one = s.select("vec").first()
+    if one is None:
+        return nearest(targets, target_id, target_vec, sources, source_id, source_vec, skip_same)
+    lines = np.random.Generator(np.random.PCG64(seed)).normal(size=(tables * directions, len(one.vec)))
+    lines /= np.sqrt((lines**2).sum(axis=1))[:, None]
+    if width is None:
+        spread = s.select(F.aggregate(F.zip_with("vec", F.array(*[F.lit(float(x)) for x in lines[0]]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b).alias("p"))
+        width = 2.0 * (spread.agg(F.stddev_pop("p")).first()[0] or 1.0)
+    shift = np.random.Generator(np.random.PCG64(seed + 1)).uniform(0, width, tables * directions)
+
+    def keys(batches):
+        for batch in batches:
+            if batch.num_rows:
+                step = np.floor((_matrix(batch.column("vec")) @ lines.T + shift) / width).astype(np.int64).reshape(batch.num_rows, tables, directions)
+                key = np.broadcast_to(np.arange(tables, dtype=np.uint64), step.shape[:2]).copy()
+                for k in range(directions):
+                    key = (key ^ step[:, :, k].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                    key ^= key >> np.uint64(29)
+                at = pa.array(np.repeat(np.arange(batch.num_rows), tables))
+                yield pa.record_batch({"id": batch.column("id").take(at), "vec": batch.column("vec").take(at), "key": key.ravel().view(np.int64)})
+
+    schema = "id long, vec array<double>, key long"
+    s, t = cut(s.mapInArrow(keys, schema), "sources"), t.mapInArrow(keys, schema)
+    sizes = s.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    s = s.join(sizes, "key").select("key", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), "id", "vec")
+    t = t.join(sizes, "key").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", "vec")
+    return _nearest_of(_met(s, t, skip_same))
 
 
 def with_attributes(matches: DataFrame, sources: DataFrame, source_id: str) -> DataFrame:

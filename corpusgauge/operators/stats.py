@@ -154,13 +154,37 @@ def apportion_by_spread(
     return apportion(spread, cell, "_spread", total, floor)
 
 
-def selection_class(df: DataFrame, group: str, index: str, n_views: int, band: Column | None = None) -> DataFrame:
-    """How a set of view indices was chosen: whole, band, prefix or hand-picked."""
-    seen = df.select(group, index, *([band.alias("_band")] if band is not None else [])).distinct()
+def selection_class(df: DataFrame, group: str, index: str, n_views: int, band: str | None = None, bands: DataFrame | None = None) -> DataFrame:
+    """How a set of view indices was chosen: whole, band, undeclared band, prefix or hand-picked.
+
+    ``bands`` (band, low, high) declares the ranges of each named band, several rows if it has several. A set is a band if one
+    that its rows name is declared and its ranges cover every index; a name that is not declared is a problem of its own
+    unless the set is whole; indices outside the ranges make it what it is without the name.
+    """
+    if band is None:
+        seen = df.select(group, index).distinct().withColumns({"_known": F.lit(False), "_named": F.lit(False), "_in": F.lit(False)})
+    else:
+        named = df.select(group, index, F.col(band).alias("_band")).distinct()
+        ranges = bands.groupBy(F.col("band").alias("_band")).agg(F.collect_list(F.struct("low", "high")).alias("_ranges"))
+        met = named.join(ranges, "_band", "left")
+        inside = F.exists("_ranges", lambda r: (F.col(index) >= r["low"]) & (F.col(index) <= r["high"]))
+        seen = met.select(
+            group, index, (F.col("_band").isNull() | F.col("_ranges").isNotNull()).alias("_known"), F.col("_band").isNotNull().alias("_named"),
+            F.coalesce(inside, F.lit(False)).alias("_in"),
+        )
     n, low, high = F.count_distinct(index), F.min(index), F.max(index)
     run = (low == 0) & (high + 1 == n)
     word = F.when(run & (n == n_views), "whole")
     if band is not None:
-        word = word.when(F.max("_band").isNotNull(), "band")
+        word = word.when(~F.min("_known"), "undeclared band").when(F.max("_named") & F.min("_in"), "band")
     word = word.when(run, "prefix").otherwise("hand-picked")
     return seen.groupBy(group).agg(n.alias("n_indices"), word.alias("selection"))
+
+
+def selection_problems(selected: DataFrame, group: str) -> DataFrame:
+    """(group, problem) of the sets that are neither whole nor a declared band."""
+    reason = (
+        F.when(F.col("selection") == "undeclared band", "its band is not declared, so it carries no reason")
+        .when(F.col("selection") == "prefix", "a prefix leaves out what comes late in the sequence").otherwise("chosen by hand")
+    )
+    return selected.where("selection not in ('whole', 'band')").select(group, reason.alias("problem"))

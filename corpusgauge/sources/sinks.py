@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusgauge.functions.text import clock
@@ -42,12 +42,27 @@ def cues(df: DataFrame, start: str, end: str, text: str) -> DataFrame:
     return said.withColumn("cue", block)
 
 
-def write_captions(df: DataFrame, key: str, start: str, path: str) -> None:
-    """Caption text per key, in start order. A long clip simply spans several ordered part files."""
-    placed = df.repartitionByRange(key, start).sortWithinPartitions(key, start)
+def write_captions(df: DataFrame, key: str, start: str, end: str, text: str, path: str) -> None:
+    """One caption file per key, ``key=.../part-*``: a header, then its cues in start order.
+
+    The cues of a key pass through one writer as a sorted stream, so a key may be longer than any task's memory. A key without a cue gets
+    a file with the header only. Equal starts follow end and text."""
+    blocks = cues(df, start, end, text).select(key, F.col(start).alias("_start"), F.col(end).alias("_end"), F.col(text).alias("_text"), "cue")
+    none = F.lit(None)
+    heads = df.select(key).distinct().select(
+        key, none.cast(blocks.schema["_start"].dataType).alias("_start"), none.cast(blocks.schema["_end"].dataType).alias("_end"),
+        none.cast("string").alias("_text"), F.lit("WEBVTT\n").alias("cue"),
+    )
+    order = [key, F.asc_nulls_first("_start"), F.asc_nulls_first("_end"), F.asc_nulls_first("_text")]
+    placed = heads.union(blocks).repartition(key).sortWithinPartitions(*order)
     placed.select(key, "cue").write.partitionBy(key).text(path)
 
 
+def read_captions(spark: SparkSession, path: str) -> DataFrame:
+    """(key, text) of caption files, whole."""
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
+
+
 class PublishRefused(ValueError):
     """Raised with the number of problems and the first of them; nothing was written."""
 

@@ -82,8 +82,15 @@ def test_selection_classes(spark):
     df = spark.createDataFrame([(k, i) for k, v in sets.items() for i in v], "g string, i int")
     got = {r.g: r.selection for r in stats.selection_class(df, "g", "i", 8).collect()}
     assert got == {"whole": "whole", "prefix": "prefix", "one": "hand-picked", "picked": "hand-picked"}
-    band = F.when(F.col("g") == "picked", "high pitch")
-    assert {r.g: r.selection for r in stats.selection_class(df, "g", "i", 8, band).collect()}["picked"] == "band"
+    named = {"whole": "nowhere", "picked": "high", "one": "waist", "prefix": None}
+    more = spark.createDataFrame([("outside", i) for i in (1, 4, 6)] + [("outprefix", 0), ("outprefix", 1)], "g string, i int")
+    band = F.create_map(*[F.lit(x) for k, v in named.items() for x in (k, v or "")])[F.col("g")]
+    band = F.when(F.col("g").isin("outside", "outprefix"), "high").otherwise(F.when(band != "", band))
+    bands = spark.createDataFrame([("high", 1, 2), ("high", 4, 7), ("low", 0, 3)], "band string, low int, high int")
+    judged = stats.selection_class(df.union(more).withColumn("b", band), "g", "i", 8, "b", bands)
+    got = {r.g: r.selection for r in judged.collect()}
+    assert got == {"whole": "whole", "prefix": "prefix", "one": "undeclared band", "picked": "band", "outside": "band", "outprefix": "prefix"}
+    assert {r.g for r in stats.selection_problems(judged, "g").collect()} == {"one", "prefix", "outprefix"}
 
 
 def test_empty_vocabulary_is_unchecked_and_null_is_not_a_word(spark):
@@ -181,10 +188,11 @@ def test_trees(spark):
     assert {r.id for r in bad.collect()} == {5, 7}
     with pytest.raises(Exception, match="before its child"):
         spatial.subtree_ranges(df, "id", "up").collect()
-    spans = {r.id: (r.first, r.last) for r in spatial.subtree_ranges(df.where("id < 6"), "id", "up").collect()}
+    sound = df.where("id < 5").union(spark.createDataFrame([(6, 5, "h")], df.schema))  # the parent of 6 is no node
+    spans = {r.id: (r.first, r.last) for r in spatial.subtree_ranges(sound, "id", "up").collect()}
     inside = {(a, b) for a, (x, y) in spans.items() for b, (z, _) in spans.items() if a != b and x <= z <= y}
     assert sorted(x for x, _ in spans.values()) == [0, 1, 2, 3, 4, 5]
-    assert inside == {(0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3), (2, 3)}  # 5 is a root, its parent is no node
+    assert inside == {(0, 1), (0, 2), (0, 3), (0, 4), (1, 2), (1, 3), (2, 3)}
 
 
 def test_subtree_of_a_long_chain_and_of_a_wide_node(spark):
@@ -283,15 +291,51 @@ def test_listing_and_lists(spark, tmp_path):
 
 def test_captions_and_payload_shards(spark, tmp_path):
     df = spark.createDataFrame([("a", 2.5, 5.0, "two"), ("a", 0.0, 2.5, "one"), ("a", 5.0, 6.0, "")], "clip string, s double, e double, t string")
-    sinks.write_captions(sinks.cues(df, "s", "e", "t"), "clip", "s", f"{tmp_path}/vtt")
-    text = "".join(p.read_text() for p in sorted((tmp_path / "vtt" / "clip=a").glob("part*")))
-    assert text == "00:00:00.000 --> 00:00:02.500\none\n\n00:00:02.500 --> 00:00:05.000\ntwo\n\n"
+    more = spark.createDataFrame([("b", 0.5 * i, 0.5 * i + 1, f"line {i}") for i in range(3000)] + [("c", 0.0, 1.0, None)], df.schema)
+    sinks.write_captions(df.union(more).repartition(5), "clip", "s", "e", "t", f"{tmp_path}/vtt")
+    files = {r.clip: r.text for r in sinks.read_captions(spark, f"{tmp_path}/vtt").collect()}
+    assert files["a"] == "WEBVTT\n\n00:00:00.000 --> 00:00:02.500\none\n\n00:00:02.500 --> 00:00:05.000\ntwo\n\n"
+    assert files["c"] == "WEBVTT\n\n" and files["b"].startswith("WEBVTT\n\n00:00:00.000 --> ")
+    assert [x for x in files["b"].split("\n") if x.startswith("line")] == [f"line {i}" for i in range(3000)]
+    assert all(len(list((tmp_path / "vtt" / f"clip={k}").glob("part*"))) == 1 for k in "abc")  # one file each
     data = spark.createDataFrame([(i, bytearray(b"x" * 100)) for i in range(50)], "id long, image binary")
     sinks.write_payload_shards(data, ["id"], "image", f"{tmp_path}/shards", 1000)
     back = spark.read.parquet(f"{tmp_path}/shards")
     assert back.count() == 50 and back.select("shard").distinct().count() == 5
 
 
+CUBE = [(0, 2, 1), (0, 3, 2), (4, 5, 6), (4, 6, 7), (0, 1, 5), (0, 5, 4), (2, 3, 7), (2, 7, 6), (1, 2, 6), (1, 6, 5), (3, 0, 4), (3, 4, 7)]
+PLACES = [(-1, -1, -1), (1, -1, -1), (1, 1, -1), (-1, 1, -1), (-1, -1, 1), (1, -1, 1), (1, 1, 1), (-1, 1, 1)]
+
+
+def body(spark, faces=CUBE, places=PLACES, right=("hand.R", 0.8), left=("hand.L", -0.8), basis=(1, 0, 0, 0, 1, 0, 0, 0, 1)):
+    f = spark.createDataFrame([("m", *x) for x in faces], "m string, a int, b int, c int")
+    v = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(places)], "id int, x double, y double, z double")
+    j = spark.createDataFrame([("m", n, x, 0.0, 0.0, 1.0, 0.0, 0.0) for n, x in (right, left, ("spine", 0.0))], "m string, n string, x double, y double, z double, rx double, ry double, rz double")
+    b = spark.createDataFrame([("m", *map(float, basis))], "m string, " + ", ".join(f"b{i} double" for i in range(9)))
+    volumes = spatial.signed_volume(f, "m", ["a", "b", "c"], v, "id", ["x", "y", "z"])
+    edges = spatial.edge_pairs(f, "m", ["a", "b", "c"])
+    sides = spatial.side_split(j, "m", "n", ["x", "y", "z"], ["rx", "ry", "rz"])
+    return spatial.handedness(sides, "m", volumes, edges, b, [f"b{i}" for i in range(9)]).collect()
+
+
+def test_handedness(spark):
+    (good,) = body(spark)
+    assert good.handed and good.signed_volume == pytest.approx(8.0) and (good.n_edges, good.open_edges, good.flipped_edges) == (18, 0, 0)
+    (r,) = body(spark, faces=[(a, c, b) if k == 0 else (a, b, c) for k, (a, b, c) in enumerate(CUBE)])
+    assert not r.handed and r.problem == "faces are flipped" and r.flipped_edges == 3
+    (r,) = body(spark, places=[(-x, y, z) for x, y, z in PLACES])
+    assert r.problem == "volume is not positive"
+    (r,) = body(spark, basis=(-1, 0, 0, 0, 1, 0, 0, 0, 1))
+    assert r.problem == "bases are mirrored" and r.negative_bases == 1
+    (r,) = body(spark, right=("hand.R", -0.8), left=("hand.L", 0.8))
+    assert r.problem == "sides are not split"
+    (r,) = body(spark, left=("tail", -0.8))
+    assert r.problem == "sides are not split" and r.left_dot is None
+    (r,) = body(spark, faces=CUBE[1:])
+    assert r.open_edges == 3 and (r.handed or r.signed_volume < 8)
+
+
 def test_append_is_idempotent(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id long, v string")
     for _ in range(2):

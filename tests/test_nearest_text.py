@@ -38,6 +38,26 @@ def test_nearest_of_nothing(spark):
     assert nearest.nearest(t, "id", "v", t, "id", "v", skip_same=True).count() == 0
 
 
+def test_nearest_by_projection_and_its_recall(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 64)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(40, 24)) * 3
+    s = centres[rng.integers(0, 40, 1500)] + rng.normal(size=(1500, 24)) * 0.4
+    s[:400] = s[0]  # a bucket of copies is measured whole
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(s)], "id long, v array<double>").repartition(4)
+    exact = {r.t_id: r.d2 for r in nearest.nearest(df, "id", "v", df, "id", "v", skip_same=True).collect()}
+    near = {r.t_id: r.d2 for r in nearest.nearest_by_projection(df, "id", "v", df, "id", "v", skip_same=True).collect()}
+    assert all(near[i] >= d - 1e-9 for i, d in exact.items() if i in near)
+    assert np.mean([math.isclose(near.get(i, -1.0), d, abs_tol=1e-9) for i, d in exact.items()]) >= 0.9
+
+
+def test_vectors_with_holes_find_nothing(spark):
+    rows = [(1, [0.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [None, 1.0]), (5, [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = [tuple(r) for r in nearest.nearest(df, "id", "v", df, "id", "v", skip_same=True).orderBy("t_id").collect()]
+    assert got == [(1, 5, 25.0), (5, 1, 25.0)]
+
+
 def plain_edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
