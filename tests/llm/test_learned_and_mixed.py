@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -157,6 +158,44 @@ def test_mix(docs, many_chunks, seed):
     assert collections.Counter(str(x.doc_id) for x in taken.collect()) == +want
 
 
+def test_rates_solve_the_dual(docs):
+    """Token constraints hold, and log rates are a term of the source and one of the length class, which is what the class misses."""
+    r = random.Random(9)
+    pairs = [(i, prose(i, r.choice([3, 9, 20, 45, 100, 230]) if i % 4 else 100)) for i in range(500)]
+    rows = mixing.mix(docs(pairs, lambda i: "a" if i % 2 else "b" if i % 4 else "c" if i % 8 else "tiny"), weights=(1.0, 4.0, 1.0)).collect()
+    tokens, rate, goal = collections.Counter(), {}, {}
+    for x in rows:
+        at = x._source, x["size"].bit_length()
+        tokens[at] += x["size"]
+        assert rate.setdefault(at, x.rate) == x.rate and x.rate <= 3
+        goal[x._source] = x.target
+    for s, t in goal.items():
+        assert sum(tokens[k] * rate[k] for k in tokens if k[0] == s) == pytest.approx(t, rel=1e-9)
+    bands, whole = {b for _, b in tokens}, sum(tokens.values())
+    mu = {}
+    for b in bands:
+        wanted = sum(n for k, n in tokens.items() if k[1] == b) / whole * sum(goal.values())
+        mu[b] = -(sum(n * rate[k] for k, n in tokens.items() if k[1] == b) - wanted) / wanted
+    assert max(mu.values()) - min(mu.values()) > 1e-3  # the classes do pull
+    for s in goal:
+        lam = [math.log(rate[s, b]) - mu[b] for b in bands if (s, b) in rate and rate[s, b] < 3]
+        assert max(lam, default=0) - min(lam, default=0) < 1e-6
+
+
+def test_mix_spreads_equal_rows(many_chunks, docs):
+    """A third of the rows are equal, and one id holds another third."""
+    pairs = [(7, "same words in all of these")] * 200 + [(8, prose(i, 6)) for i in range(200)] + [(100 + i, prose(1000 + i, 6)) for i in range(200)]
+    df = docs(pairs, lambda i: "x" if i < 150 else "y")
+    rows = mixing.mix(df).collect()
+    for s, t in targets_by_hand(collections.Counter({k: sum(x["size"] for x in rows if x._source == k) for k in "xy"})).items():
+        assert abs(sum(x.taken for x in rows if x._source == s) - t) <= 6
+    want = collections.Counter()
+    for x in rows:
+        want[x.doc_id, x._tag] += x.copies
+    got = mixing.taken(df).select("doc_id", F.xxhash64("text").alias("t")).groupBy("doc_id", "t").count().collect()
+    assert {(x.doc_id, x.t): x["count"] for x in got} == +want
+
+
 def test_mix_of_nothing(empty):
     assert mixing.mix(empty).count() == 0 and mixing.taken(empty).count() == 0
 
