@@ -28,7 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgauge.llm.common import NO_ID, PLAIN, Words, groups_of, mix, repeated_ids, row_id, small_batches, windows
@@ -252,21 +252,32 @@ def _ordered(pairs: DataFrame, threshold: float) -> DataFrame:
     return each.groupBy("a", "b").agg(F.min("turned").alias("turned"))
 
 
+def _starred(edges: DataFrame, small: bool) -> DataFrame:
+    """One star step over edges (u, v) with u > v: every node hands its least neighbour, or itself, to its larger neighbours (a large
+    star) or to all smaller ones and itself (a small star). One shuffle, by node; a hub's edges pass as a stream."""
+    both = edges if small else edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    own = both.repartition("u").distinct()  # equal edges meet in the partition of their node
+    least = own.withColumn("m", F.least("u", F.min("v").over(Window.partitionBy("u"))))
+    if small:
+        out = least.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
+    else:
+        out = least.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return out.where("u <> v")
+
+
 def _components(links: DataFrame, steps: int | None = None) -> DataFrame:
-    """(node, label): the least node of each connected component, by least labels of neighbours and jumps.
+    """(node, label): the least node of the connected component of each node but that one, by large and small stars in turn.
     After so many ``steps``, if given: some node of it, so that equal labels still mean one component."""
-    edges = cut(links.selectExpr("a as node", "b as other").union(links.selectExpr("b as node", "a as other")), "edges")
-    labels = cut(edges.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("label")), "labels")
+    edges = cut(links.select(F.col("b").alias("u"), F.col("a").alias("v")), "edges")
+    mark = lambda e: e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+    before = None
     while True:
-        of_other = labels.withColumnRenamed("node", "other")
-        near = edges.join(of_other, "other").groupBy("node").agg(F.min("label").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = cut(step.join(jump, "label").select("node", "old", F.least("label", "next").alias("label")), "labels")
-        labels = moved.select("node", "label")
+        edges = cut(_starred(_starred(edges, False), True), "edges")
         steps = None if steps is None else steps - 1
-        if steps == 0 or moved.where("label != old").isEmpty():
-            return labels
+        now = mark(edges) if steps is None else None
+        if steps == 0 or (now is not None and now == before):
+            return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label"))
+        before = now
 
 
 def classes(docs: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 14, rows: int = 3, rare: float = 0.01) -> DataFrame:
@@ -346,10 +357,9 @@ def _classes(
         other = F.when(F.col("turned"), F.col("a")).otherwise(F.col("b"))
         p = pairs.select(hub.alias("hub"), other.alias("node"))
         sizes = p.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / TOGETHER).alias("groups"))
-        p = cut(p.join(sizes, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("groups")).alias("slot")), "hubs")
-        full = cut(text_of(p.select("node").union(p.select("hub")).distinct()), "pair-texts")
-        heads = p.select("hub", "slot").distinct().join(full, F.col("hub") == F.col("node")).select("hub", "slot", F.lit(None).cast("binary").alias("node"), "text")
-        rows = heads.union(p.join(full, "node").select("hub", "slot", "node", "text"))
+        after = p.join(sizes, "hub").select("hub", F.pmod(F.xxhash64("node"), F.col("groups")).alias("slot"), "node", F.col("node").alias("at"))
+        heads = sizes.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("slot"), F.lit(None).cast("binary").alias("node"), F.col("hub").alias("at"))
+        rows = heads.union(after).join(held_texts.withColumnRenamed("node", "at"), "at").select("hub", "slot", "node", "text")
         rows = rows.repartition("hub", "slot").sortWithinPartitions("hub", "slot", F.asc_nulls_first("node"))
         return rows.select("hub", "node", "text").mapInArrow(_similarities(width, frequent), "a binary, b binary, similarity double")
 
@@ -392,6 +402,8 @@ def _classes(
 
     again = repeated_ids(docs)
     member = buckets(texts.select("node", "weight", F.col("weight").alias("rest"), F.explode("keys").alias("key")))
+    # the texts of all candidates, once: every later pair is of these
+    held_texts = cut(text_of(member.select("node").distinct()), "texts")
     pairs = cut(candidates(member), "pairs")
     links, labels = cut(verified(pairs), "links"), None
     large = member.where(F.col("size") > SMALL)
@@ -400,7 +412,7 @@ def _classes(
         # large buckets of texts that are not alike: similar texts share one of their rarest shingles
         unlike = large.join(open_.select("key").distinct(), "key", "left_semi").groupBy("node").agg(F.first("weight").alias("weight"))
         unlike = unlike.join(open_.select("node", F.lit(True).alias("open")).distinct(), "node", "left")
-        held = cut(text_of(unlike.select("node")).join(unlike, "node").select("node", "weight", F.coalesce("open", F.lit(False)).alias("open"), "text"), "unlike")
+        held = cut(held_texts.join(unlike, "node").select("node", "weight", F.coalesce("open", F.lit(False)).alias("open"), "text"), "unlike")
         common = _common(held, width, frequent)
         member = buckets(held.mapInArrow(_prefixes(width, threshold, frequent, common), "key long, node binary, weight double, rest double, open boolean"))
         new = cut(candidates(member).join(pairs, ["a", "b"], "left_anti"), "pairs")
@@ -419,7 +431,7 @@ def _classes(
             led_by = chosen.select("key", F.col("p.node").alias("leader"))
             led_once = led_once.union(led_by)
             # a link inside a component changes no class, so only members of other components are compared
-            some = _components(links, 2).select("node", "label")
+            some = cut(_components(links, 1), "labels")
             own = lambda df, node, name: df.join(some.select(F.col("node").alias("_n"), F.col("label").alias("_l")), F.col(node) == F.col("_n"), "left").withColumn(name, F.coalesce("_l", node)).drop("_n", "_l")
             leading, led = own(chosen.select("key", "p"), "p.node", "lp"), own(large.select("key", "node", F.struct("node", "weight", "rest").alias("q")), "node", "lq")
             met = led.join(leading, "key").where("lp != lq")
@@ -427,7 +439,7 @@ def _classes(
             pairs, links = pairs.union(new), links.union(cut(verified(new), "links"))
         links = cut(links, "links")
         # leaders have met all members of their buckets; two others of different components have not met
-        labels = _components(links)
+        labels = cut(_components(links), "labels")
         rest = large.where(partner).join(led_once.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
         new = cut(between(rest, links, labels).join(pairs, ["a", "b"], "left_anti"), "pairs")
         new = cut(verified(new), "links")
