@@ -99,9 +99,24 @@ def stream_gate(t):
     return incremental.finished(q, result)
 
 
-@query("select event_type, count(*) n from events group by 1")
+@query("select event_type, case when event_id % 7 = 0 then 'late' else 'logged' end outcome, count(*) n from events group by all")
 def stream_log(t):
-    root = scratch(t.spark, "log")
-    stream = incremental.shards(t.spark, t.folder, t.events.schema, "events.parquet")
-    q = incremental.log_stream(stream.select("event_id", "ts", "event_type", "value"), ["event_id"], "ts", "1 hour", root)
-    return incremental.finished(q, lambda: t.spark.read.parquet(f"{root}/log").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")))
+    """Events arrive in files by time. Every key comes again in a later file, some with a later time and some without
+    one; each seventh key comes only once all others have, and is late. Times are moved apart so that this does not hang on the data."""
+    spark, inbox, root = t.spark, scratch(t.spark, "inbox"), scratch(t.spark, "log")
+    e = t.events.select("event_id", "ts", "event_type", "value")
+    main, slow = e.where("event_id % 7 <> 0"), e.where("event_id % 7 = 0")
+    third = F.pmod(F.col("event_id"), F.lit(3))
+    for step in range(3):
+        main.where(third == step).coalesce(1).write.mode("append").parquet(inbox)
+    again = main.withColumn("ts", F.when(F.col("event_id") % 5 == 0, F.lit(None).cast("timestamp")).otherwise(F.col("ts") + F.expr("interval 4000 days")))
+    again.coalesce(1).write.mode("append").parquet(inbox)
+    slow.coalesce(1).write.mode("append").parquet(inbox)
+    stream = incremental.shards(spark, inbox, e.schema)
+    q = incremental.log_stream(stream, ["event_id"], "ts", "3000 days", root)
+
+    def result():
+        done = lambda name: spark.read.schema(e.schema).parquet(f"{root}/{name}").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("outcome", F.lit("logged" if name == "log" else "late"))
+        return done("log").unionByName(done("late")).select("event_type", "outcome", "n")
+
+    return incremental.finished(q, result)

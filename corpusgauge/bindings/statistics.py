@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from corpusgauge.bindings.audits import BAD_LINES, bad_lines
 from corpusgauge.bindings.registry import query
 from corpusgauge.functions import angles
-from corpusgauge.operators import compare, ordering, stats
+from corpusgauge.operators import compare, ordering, shred, stats
 from corpusgauge.operators.prepare import intern, literal_rows
 
 # Everyday sizes in millimetres.
@@ -128,12 +128,12 @@ def paired_ratio_stats(t):
         (F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / 100.0).alias("a"))
     lines = lines.join(t.orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
     cells, counts = compare.ratio_stats(lines, t.orders, ["o_orderkey"], "a", "o_totalprice", ["o_orderpriority"], 100000)
-    r = ordering.exact_percentiles(cells, "ratio", [0.05, 0.5, 0.95], ["o_orderpriority"])
-    r = r.groupBy("o_orderpriority").agg(*[F.round(F.max(F.when(F.col("p") == p, F.col("q"))), 6).alias(n)
-                                           for p, n in ((0.05, "p05"), (0.5, "p50"), (0.95, "p95"))])
-    d = ordering.exact_percentiles(cells, "diff", [0.99], ["o_orderpriority"]).select("o_orderpriority", F.round("q", 4).alias("p99"))
+    long = shred.melt(cells, ["o_orderpriority"], ["ratio", "diff"])
+    q = ordering.exact_percentiles(long, "metric_value", [0.05, 0.5, 0.95, 0.99], ["o_orderpriority", "metric_name"])
+    pick = lambda name, p, digits: F.round(F.max(F.when((F.col("metric_name") == name) & (F.col("p") == p), F.col("q"))), digits)
+    r = q.groupBy("o_orderpriority").agg(*[pick("ratio", p, 6).alias(n) for p, n in ((0.05, "p05"), (0.5, "p50"), (0.95, "p95"))], pick("diff", 0.99, 4).alias("p99"))
     rounded = counts.withColumn("max_diff", F.round("max_diff", 4)).withColumn("mean_diff", F.round("mean_diff", 4))
-    return rounded.join(r, "o_orderpriority").join(d, "o_orderpriority")
+    return rounded.join(r, "o_orderpriority")
 
 
 @query("""select l_orderkey, l_partkey, l_linenumber, l_extendedprice, low, high, round((l_extendedprice - low) / case when high > low then high - low else 1 end, 6) norm

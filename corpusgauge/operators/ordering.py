@@ -176,36 +176,45 @@ def first_at_or_after(
     )
 
 
+ACCURACY = 2_000
+"""Of a group's values, about 1 in so many is looked at closely for each percentile."""
+
+
 def exact_percentiles(
     df: DataFrame, value: str, probs: Sequence[float], group: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact percentiles with linear interpolation: columns ``group``, ``p``, ``n``, ``q``.
+    """Exact percentiles with linear interpolation: columns ``group``, ``p``, ``n``, ``q``. NULL and NaN are not values.
 
-    Equal values are counted before the shuffle; the sorted counts are then accumulated over
-    chunks, so a group of any size is never held by one task. NULL and NaN are not values.
+    Rank selection in two passes. A sketch, merged from all tasks, gives two values between which each wanted rank must
+    lie, by the sketch's own error bound. The second pass only counts what is below, and counts the
+    distinct values between them; nothing else is shuffled or sorted. The ranks are then found among those few.
     """
     group = list(group)
     one = [] if group else [F.lit(0).alias("_one")]
     keys = group or ["_one"]
     v = F.col(value).cast("double")
-    base = df.select(*group, *one, F.nanvl(v, F.lit(None).cast("double")).alias("_v"))
-    counted = base.where("_v is not null").groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = in_order(counted, ["_v"], keys)
-    summed = running_total(counted, ["_v"], F.col("_n"), "_upto", keys, tagged)
-    totals = tagged.groupBy(*keys).agg(F.sum("_n").alias("n"))
-    ladder = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = totals.withColumn("_rank", F.transform(ladder, lambda p: p * (F.col("n") - 1)))
-    wanted = wanted.withColumn("_p", ladder)
-    near = summed.join(wanted, keys)
+    base = cut(df.select(*group, *one, F.nanvl(v, F.lit(None).cast("double")).alias("_v")).where("_v is not null"), "values")
+    near = 4.0 / ACCURACY  # twice the sketch's error on either side
+    points = [min(1.0, max(0.0, p + side)) for p in probs for side in (-near, near)]
+    sketch = base.groupBy(*keys).agg(F.percentile_approx("_v", points, ACCURACY).alias("_at"), F.count(F.lit(1)).alias("n"))
+    at = lambda i: F.get("_at", F.lit(i))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), at(2 * i).alias("lo"), at(2 * i + 1).alias("hi")) for i, p in enumerate(probs)])
+    sketch = sketch.select(*keys, "n", wanted.alias("_t"))
+    each = base.join(sketch, keys).select(*keys, "n", "_v", F.explode("_t").alias("t"))
+    side = F.when(F.col("_v") < F.col("t.lo"), -1).when(F.col("_v") > F.col("t.hi"), 1).otherwise(0)
+    placed = each.select(*keys, F.col("t.p").alias("p"), "n", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_key"), "_v")
+    # one row for all values below, one for all above, one for each distinct value between
+    counted = placed.groupBy(*keys, "p", "n", "_side", "_key").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    upto = Window.partitionBy(*keys, "p").orderBy("_side", "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counted.withColumn("_upto", F.sum("_n").over(upto)).withColumn("_rank", F.col("p") * (F.col("n") - 1))
     holds = lambda k: (k >= F.col("_upto") - F.col("_n")) & (k < F.col("_upto"))
-    touches = lambda t: holds(F.floor(t["_rank"])) | holds(F.ceil(t["_rank"]))
-    asked = F.filter(F.arrays_zip("_p", "_rank"), touches)
-    hits = near.select(*keys, "n", "_v", "_upto", "_n", F.explode(asked).alias("t"))
-    low, high = F.floor("t._rank"), F.ceil("t._rank")
-    q_low = F.max(F.when(holds(low), F.col("_v")))
-    q_high = F.max(F.when(holds(high), F.col("_v")))
-    share = F.max(F.col("t._rank") - F.floor("t._rank"))
-    out = hits.groupBy(*keys, F.col("t._p").alias("p")).agg(
-        F.max("n").alias("n"), (q_low + (q_high - q_low) * share).alias("q")
-    )
+    # a rank just outside the two values is the last one below or the first one above
+    beyond = F.raise_error(F.lit("the sketch missed a rank")).cast("double")
+    found = lambda k: F.max(F.when(holds(k), F.when(F.col("_side") == 0, F.col("_key"))
+                                   .when((F.col("_side") < 0) & (k == F.col("_upto") - 1), F.col("_most"))
+                                   .when((F.col("_side") > 0) & (k == F.col("_upto") - F.col("_n")), F.col("_least")).otherwise(beyond)))
+    share = F.max(F.col("_rank") - F.floor("_rank"))
+    out = summed.groupBy(*keys, "p").agg(
+        F.max("n").alias("n"), found(F.floor("_rank")).alias("_low"), found(F.ceil("_rank")).alias("_high"), share.alias("_share")
+    ).select(*keys, "p", "n", (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias("q"))
     return out if group else out.drop("_one")

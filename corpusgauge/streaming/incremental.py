@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusgauge.operators.prepare import first_match
 from corpusgauge.sources.catalog import path_exists
+from corpusgauge.streaming.keys import KeyIndex
 
 
 def append_new(df: DataFrame, key: Sequence[str], path: str) -> None:
@@ -54,22 +55,22 @@ def gate_stream(
     """Audit each micro-batch; rows that pass land in ``root/accepted``, the others in
     ``root/quarantine`` with their problem.
 
-    Each batch owns one directory and overwrites it, so a replayed batch leaves the same files; keys
-    accepted by earlier batches are read from those directories, not kept as stream state.
+    Each batch owns one directory and overwrites it, so a replayed batch leaves the same files. Keys
+    accepted by earlier batches are looked up in an index of them (``keys.KeyIndex``) that opens only the
+    parts that may hold a key of the batch; they are not kept as stream state.
     """
     accepted, quarantine = f"{root}/accepted", f"{root}/quarantine"
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        held = None
-        if path_exists(spark, accepted):
-            held = spark.read.option("basePath", accepted).parquet(accepted)
-            held = held.where(F.col("batch") < batch_id)
-        judged = judge(df, rules, key, held).persist()
+        index = KeyIndex(df.sparkSession, f"{root}/index", key)
+        df = df.persist()
+        judged = judge(df, rules, key, index.held(df, batch_id)).persist()
         good = judged.where("problem is null").drop("problem")
         good.write.mode("overwrite").parquet(f"{accepted}/batch={batch_id}")
         judged.where("problem is not null").write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        index.add(good, batch_id)
         judged.unpersist()
+        df.unpersist()
 
     return (
         stream.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/checkpoint")
@@ -80,29 +81,35 @@ def gate_stream(
 def log_stream(measurements: DataFrame, key: Sequence[str], event_time: str, delay: str, root: str) -> StreamingQuery:
     """Append-only measurement log: each finished batch is durable in ``root/log`` before the next begins.
 
-    A key is logged once. A batch is compared with the logged rows whose time is not more than ``delay``
-    before its earliest row that is in time, so older files are left out by their statistics. Rows that come
-    later than ``delay`` after the newest logged time are not dropped: they go to ``root/late``, as they are.
+    A key is logged once for ever, whatever the times of its rows; logged keys are looked up in an index. Rows that come
+    later than ``delay`` after the newest time of the batches before are not dropped: they go to ``root/late``, as they are. A row without a time
+    is never late. Of rows of one batch that share a key, the least is logged.
     """
-    log, late = f"{root}/log", f"{root}/late"
+    log, late, newest = f"{root}/log", f"{root}/late", f"{root}/newest"
     others = [c for c in measurements.columns if c not in key]
 
     def batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        held = None
-        if path_exists(spark, log):
-            held = spark.read.option("basePath", log).parquet(log).where(F.col("batch") < batch_id)
-            newest = held.agg(F.max(event_time)).first()[0]
-            if newest is not None:
-                oldest = F.lit(newest) - F.expr(f"interval {delay}")
-                df.where(F.col(event_time) < oldest).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-                df = df.where(F.col(event_time).isNull() | (F.col(event_time) >= oldest))
-        first = df.agg(F.min(event_time)).first()[0]
-        fresh = df.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*").select(df.columns)
-        if held is not None and first is not None:
-            since = F.lit(first) - F.expr(f"interval {delay}")
-            fresh = fresh.join(held.where(F.col(event_time) >= since).select(*key).distinct(), list(key), "left_anti")
+        df = df.persist()
+        index = KeyIndex(spark, f"{root}/index", key)
+        seen = spark.read.parquet(f"{newest}/batch={batch_id - 1}").first()[0] if batch_id else None
+        in_time = df
+        if seen is not None:
+            oldest = F.lit(seen) - F.expr(f"interval {delay}")
+            df.where(F.col(event_time) < oldest).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
+            in_time = df.where(F.col(event_time).isNull() | (F.col(event_time) >= oldest))
+        fresh = in_time.groupBy(*key).agg(F.min(F.struct(*others)).alias("_row")).select(*key, "_row.*").select(df.columns)
+        held = index.held(in_time, batch_id)
+        if held is not None:
+            again = held.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(key)])
+            same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
+            fresh = fresh.join(again, same, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        index.add(spark.read.schema(df.schema).parquet(f"{log}/batch={batch_id}"), batch_id)
+        top = df.agg(F.max(event_time).alias("newest"))
+        top = top.select(F.greatest("newest", F.lit(seen).cast(df.schema[event_time].dataType)).alias("newest"))
+        top.write.mode("overwrite").parquet(f"{newest}/batch={batch_id}")
+        df.unpersist()
 
     return (
         measurements.writeStream.foreachBatch(batch).option("checkpointLocation", f"{root}/checkpoint")
