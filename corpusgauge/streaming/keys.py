@@ -50,6 +50,10 @@ class KeyIndex:
     def _path(self, kind: str, level: int, first: int) -> str:
         return f"{self.root}/{kind}/level={level}/first={first}"
 
+    def _read(self, schema, paths: list[str]) -> DataFrame:
+        """Files below the paths, whose names are not columns."""
+        return self.spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(*paths)
+
     def _hashed(self, keys: DataFrame) -> DataFrame:
         h = F.xxhash64(*self.key)
         return keys.select(*self.key, h.alias("_h")).withColumn("part", F.pmod(F.col("_h"), F.lit(self.parts)).cast("int"))
@@ -61,7 +65,7 @@ class KeyIndex:
         if not runs:
             return None
         asked = self._hashed(keys.select(*self.key).distinct())
-        filters = self.spark.read.schema("run string, part int, slots long, slot long, bits binary").parquet(*[self._path("filters", *r) for r in runs])
+        filters = self._read("run string, part int, slots long, slot long, bits binary", [self._path("filters", *r) for r in runs])
         known = sorted(map(tuple, filters.select("run", "slots").distinct().collect()))  # one row for each run
         if not known:
             return self.spark.createDataFrame([], keys.select(*self.key).schema)
@@ -78,7 +82,7 @@ class KeyIndex:
         schema = keys.select(*self.key).schema
         if not found:
             return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(schema).parquet(*self.opened)
+        stored = self._read(schema, self.opened)
         same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in self.key]
         return asked.select(*self.key).alias("a").join(stored.alias("b"), same, "left_semi")
 
@@ -86,7 +90,7 @@ class KeyIndex:
         run = f"level={level}/first={first}"
         rows = self._hashed(keys).repartition("part")
         rows.drop("_h").sortWithinPartitions("part", *self.key).write.mode("overwrite").partitionBy("part").parquet(self._path("keys", level, first))
-        stored = self._hashed(self.spark.read.schema(keys.schema).parquet(self._path("keys", level, first)))
+        stored = self._hashed(self._read(keys.schema, [self._path("keys", level, first)]))
         n = stored.count()
         slots = max(1, -(-n * PER_KEY // (BITS * self.parts)))
         bits = stored.withColumn("slot", F.pmod(F.shiftright("_h", 20), F.lit(slots)))
@@ -105,7 +109,7 @@ class KeyIndex:
             span, first = self.fanout ** (level - 1), batch + 1 - self.fanout**level
             paths = [self._path("keys", level - 1, first + i * span) for i in range(self.fanout)]
             schema = keys.select(*self.key).schema
-            whole = self.spark.read.schema(schema).parquet(*paths)
+            whole = self._read(schema, paths)
             self._write(whole, level, first)
             level += 1
 
