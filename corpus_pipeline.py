@@ -14,27 +14,43 @@ from corpusgauge.session import cut
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not call toxic."""
+    """Documents that the classifier does not call toxic.
+
+    NULL and empty texts score the lowest and stay; repeated rows are scored alike and all stay or go; without labels nothing goes.
+    An empty table stays empty. All columns are kept as they are; further ones do not clash."""
     return toxicity.clean(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates."""
+    """One document of each class of near-duplicates: the first by id, then by the hash of its text.
+
+    NULL ids come after all others. Texts without words (NULL and empty ones) are no duplicates of one another and stay, but rows
+    equal in id and text stay once. An empty table stays empty. All columns are kept; further ones do not clash."""
     return neardup.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item.
+
+    NULL and empty texts have no window and stay; repeated rows all stay or go. Items that are NULL or empty match nothing. An empty
+    table on either side is allowed. All columns are kept; further ones do not clash."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources ask for."""
+    """Documents as often as the target weights of their sources ask for, at most three times.
+
+    A NULL source is one of its own, after all others. NULL and empty texts have size 0; they are taken as their source's other
+    documents without a multiplier are, once. Rows equal in id, text and source share their copies. An empty table stays empty. All
+    columns are kept; further ones do not clash."""
     return mixing.taken(docs)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of token ids of one length."""
+    """Rows of token ids of one length.
+
+    NULL and empty texts give no tokens; repeated rows are packed as often as they come, and texts of any length are split without loss.
+    An empty table gives no rows. Other columns than id and text are not read."""
     return packing.pack(docs)
 
 

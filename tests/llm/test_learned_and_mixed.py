@@ -280,6 +280,44 @@ def test_audit_reads_only_branches_that_differ(spark):
 # --- pipeline ---------------------------------------------------------------------------------------------
 
 
+def pipeline_folder(spark, tmp_path, rows, labels, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _id string, size string")
+    for name, df in (
+        ("documents", docs), ("labels", spark.createDataFrame(labels, "doc_id long, quality int, toxic int")),
+        ("benchmark", spark.createDataFrame(items, "item_id long, text string")),
+    ):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """NULLs in any column, empty and long texts, repeated rows and clashing columns: clean documents come through every stage."""
+    plain = [(i, prose(7000 + i, 80), "en", "a" if i % 3 else None, 1, "x", "x") for i in range(40)]
+    bad = [(100 + i, "vile hateful scum " * 5 + prose(8000 + i, 30), None, "b", None, "x", "x") for i in range(30)]
+    copies = [(200, plain[3][1], "en", "a", 1, "x", "x"), plain[4], plain[4]]
+    odd = [(i, t, None, None, None, None, None) for i, t in ODD]
+    leak = prose(9000, 30)
+    rows = plain + bad + copies + odd + [(300, prose(9001, 20) + " " + leak, "en", "a", 1, "x", "x")]
+    labels = [(i, 1, 0) for i in range(40)] + [(100 + i, 0, 1) for i in range(30)] + [(None, 1, 0), (5, None, None)]
+    folder = pipeline_folder(spark, tmp_path, rows, labels, [(1, leak), (2, None), (3, "")])
+    docs, left = spark.read.parquet(f"{folder}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder).cache()
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "_id", "size"]
+        left[name] = collections.Counter(r.doc_id for r in docs.select("doc_id").collect())
+    first, near, clean, mixed = left.values()
+    assert all(first[i] for i in range(40)) and sum(first[100 + i] for i in range(30)) <= 3
+    assert near[3] == 1 and near[200] == 0 and near[4] == 1
+    assert clean[300] == 0 and all(clean[i] for i in range(40)) and clean[901] and clean[902]
+    assert all(n <= 3 for i, n in mixed.items() if i in range(40))
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    folder = pipeline_folder(spark, tmp_path, [], [], [])
+    assert corpus_pipeline.run(spark, folder).count() == 0
+
+
 def test_stages(spark):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
     docs = spark.read.parquet(f"{SF}/documents.parquet")
