@@ -339,15 +339,16 @@ def claim_check(t):
     return out.withColumn("tol", F.round("tol", 6))
 
 
-@query(f"""with {STAGED}, r as (select path p from staged union all select 'renders/e' || page_id || '.png' from staged union all select 'out/' || page_id || '.png' from staged where page_id % 5 <> 0
+@query(f"""with {STAGED}, r as (select path p from staged union all select case when page_id % 7 = 3 then 'shared/home/e' else 'renders/e' end || page_id || '.png' from staged union all select 'out/' || page_id || '.png' from staged where page_id % 5 <> 0
   union all select 'renders/f' || page_id || '.safetensors' from staged where page_id % 5 = 0),
  s as (select distinct path p from staged)
- select p path, count(*) n, case when regexp_matches(p, '^/|^\\\\|:|/users/|/home/', 'i') then 'absolute' when p in (select p from s) then 'served' else 'missing' end state from r group by 1""")
+ select p path, count(*) n, case when p like '/%' or p like '%:%' then 'absolute' when p in (select p from s) then 'served' else 'missing' end state from r group by 1""")
 def resolve_refs(t):
     s, pid = staged(t), F.col("page_id").cast("string")
     five = F.pmod("page_id", F.lit(5)) == 0
     out = F.when(five, F.concat(F.lit("renders/f"), pid, F.lit(".safetensors"))).otherwise(F.concat(F.lit("out/"), pid, F.lit(".png")))
-    records = s.select(F.array("path", F.concat(F.lit("renders/e"), pid, F.lit(".png"))).alias("inputs"), out.alias("output"))
+    folder = F.when(F.pmod("page_id", F.lit(7)) == 3, "shared/home/e").otherwise("renders/e")  # a home folder's name inside a relative path
+    records = s.select(F.array("path", F.concat(folder, pid, F.lit(".png"))).alias("inputs"), out.alias("output"))
     return resolve.resolve_references(resolve.references(records, "inputs", "output"), s, "path")
 
 

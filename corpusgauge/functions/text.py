@@ -108,23 +108,33 @@ def judge_answer(reply: Column) -> Column:
     return F.when(chosen.rlike(r"^[+-]?\d+$"), chosen).try_cast("int")
 
 
-def _coded(words_: Column, known: Column) -> Column:
-    """The words as one supplementary character each, by their places in ``known`` (about a million fit)."""
-    digits = F.transform(words_, lambda w: F.lpad(F.hex(F.array_position(known, w) + 0xFFFF), 8, "0"))
-    return F.decode(F.unhex(F.array_join(digits, "")), "UTF-32")
+def _characters(codes: Column) -> Column:
+    """Numbers from 0x10000 on as one supplementary character each."""
+    return F.decode(F.unhex(F.array_join(F.transform(codes, lambda c: F.lpad(F.hex(c), 8, "0")), "")), "UTF-32")
+
+
+def _placed(words_: Column, known: Column) -> Column:
+    """The words by their places in ``known``; beyond a million different words in a pair the places leave Unicode and decoding fails."""
+    return F.transform(words_, lambda w: F.array_position(known, w) + 0xFFFF)
 
 
 def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Word edits over reference words, on whole texts; an empty reference scores 0 or 1.
 
-    The distinct words of a pair are numbered and each number written as one character, so the
-    built-in edit distance of the two strings counts words."""
+    Each word is written as one character, so the built-in edit distance of the two strings counts words. The character
+    is a hash of the word if no two different words of the pair share one, which their numbers tell, else its place among
+    the pair's words: looking up places takes a scan for each word, hashing does not."""
     both = F.array(F.struct(words(reference).alias("r"), words(hypothesis).alias("h")))
+    hashed = lambda w: F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(1 << 20)) + 0x10000)
+
+    def edits(p: Column, c: Column) -> Column:
+        apart = F.size(F.array_distinct(F.concat(c["a"], c["b"]))) == F.size(c["d"])
+        by_place = F.levenshtein(_characters(_placed(p["r"], c["d"])), _characters(_placed(p["h"], c["d"])))
+        return F.when(apart, F.levenshtein(_characters(c["a"]), _characters(c["b"]))).otherwise(by_place)
 
     def rate(p: Column) -> Column:
-        known = F.array(F.array_distinct(F.concat(p["r"], p["h"])))
-        edits = F.get(F.transform(known, lambda d: F.levenshtein(_coded(p["r"], d), _coded(p["h"], d))), F.lit(0))
+        coded = F.array(F.struct(hashed(p["r"]).alias("a"), hashed(p["h"]).alias("b"), F.array_distinct(F.concat(p["r"], p["h"])).alias("d")))
         empty = F.when(F.size(p["h"]) == 0, F.lit(0.0)).otherwise(F.lit(1.0))
-        return F.when(F.size(p["r"]) == 0, empty).otherwise(edits / F.size(p["r"]))
+        return F.when(F.size(p["r"]) == 0, empty).otherwise(F.get(F.transform(coded, lambda c: edits(p, c)), F.lit(0)) / F.size(p["r"]))
 
     return F.when(reference.isNotNull() & hypothesis.isNotNull(), F.get(F.transform(both, rate), F.lit(0)))

@@ -48,9 +48,13 @@ def duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return per_key.agg(rows.alias("n_rows"), kept.alias("n_keys"), (rows - kept).alias("duplicates"))
 
 
-def few_values(long: DataFrame, attribute: str, value: str, minimum: int = 10) -> DataFrame:
-    """Distinct values per attribute, with the attributes that collapsed below ``minimum``."""
+def few_values(long: DataFrame, attribute: str, value: str, minimum: int = 10, error: float | None = None) -> DataFrame:
+    """Distinct values per attribute, with the attributes that collapsed below ``minimum``. With an ``error`` (a relative
+    standard deviation) the number is an estimate from a sketch: values are not shuffled, and a number near ``minimum`` may be off."""
     v = nan_as_null(long, value)
+    if error is not None:
+        about = long.groupBy(attribute).agg(F.approx_count_distinct(v, error).alias("n_values"))
+        return about.withColumn("collapsed", F.col("n_values") < minimum)
     seen = long.select(attribute, v.alias("_v")).distinct()
     n = F.count("_v")
     return seen.groupBy(attribute).agg(n.alias("n_values"), (n < minimum).alias("collapsed"))
@@ -108,21 +112,22 @@ def foreign_keys(
 ) -> DataFrame:
     """(edge, missing): distinct child values absent from the parent, for every edge.
 
-    All edges share one shuffle: the keys of both sides are stacked under their edge, reduced to
-    distinct (edge, key) before they travel, and counted where only the child has them.
+    All edges share one shuffle, and each table is read once: its keys are unfolded under the edges they
+    belong to, reduced to distinct (edge, key) before they travel, and counted where only the child has them.
     """
     edges = list(edges)
     integral = lambda t, k: isinstance(tables[t].schema[k].dataType, T.IntegralType)
-    sides = []
+    cells: dict[str, list[Column]] = {}
     for i, (child, ckey, parent, pkey) in enumerate(edges):
         whole = integral(child, ckey) and integral(parent, pkey)  # each edge in the type of its own keys
         for table, key, mine in ((child, ckey, True), (parent, pkey, False)):
             number = F.col(key) if whole else F.lit(None)
             text = F.lit(None) if whole else F.col(key)
-            sides.append(tables[table].select(
+            cells.setdefault(table, []).append(F.struct(
                 F.lit(i).alias("i"), number.cast("bigint").alias("k"), text.cast("string").alias("s"),
                 F.lit(mine).alias("c"), F.lit(not mine).alias("p"),
             ))
+    sides = [tables[table].select(F.inline(F.array(*of_table))) for table, of_table in cells.items()]
     keys = union_all(sides).groupBy("i", "k", "s").agg(F.bool_or("c").alias("c"), F.bool_or("p").alias("p"))
     per = keys.groupBy("i").agg(F.count_if(F.col("c") & ~F.col("p")).alias("missing"))
     names = F.array(*[F.lit(f"{c}.{ck} -> {p}.{pk}") for c, ck, p, pk in edges])

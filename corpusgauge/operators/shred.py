@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from corpusgauge.functions.ids import sha_id
 from corpusgauge.operators.ordering import row_numbers
-from corpusgauge.operators.prepare import intern
 from corpusgauge.session import cut
 
 # The shape of a generator's run record. Outputs are a map by name.
@@ -33,20 +32,25 @@ def run_relations(runs: DataFrame, run_key: str, record: str, made: DataFrame) -
     revision = F.col("revision").isNotNull() & ~F.lower("revision").isin("", "main", "unresolved")
     resolved = F.coalesce(revision, F.lit(False))
     good = flat.where(resolved).withColumn("negative_prompt", F.coalesce("negative_prompt", F.lit("")))
-    models = row_numbers(good.select("repo_id", "revision").distinct(), ["repo_id", "revision"], "edit_model_id")
-    models = cut(models.withColumn("edit_model_id", F.col("edit_model_id").cast("smallint")), "models")
     each = good.select("*", F.explode("outputs").alias("name", "o")).select("*", "o.*").drop("outputs", "o")
-    prompts = cut(intern(each, {"prompt": "prompt", "negative_prompt": "negative_prompt"}).select(
-        F.col("id").cast("int").alias("prompt_id"), "text"), "prompts")
+    # models, prompts and runs are numbered together, each kind from 0: one order over their distinct keys
+    none = F.lit(None).cast(flat.schema["run_key"].dataType)
+    key = lambda df, kind, k0, k1, k2: df.select(F.lit(kind).alias("kind"), k0.alias("k0"), k1.alias("k1"), k2.alias("k2"))
+    blank = F.lit("")
+    keys = key(good, "model", none, F.col("repo_id"), F.col("revision")).union(key(each, "prompt", none, F.col("prompt"), blank)).union(
+        key(each, "prompt", none, F.col("negative_prompt"), blank)).union(key(each, "run", F.col("run_key"), F.col("prompt"), blank))
+    ids = cut(row_numbers(keys.where("k1 is not null or kind = 'model'").distinct(), ["k0", "k1", "k2"], "id", ["kind"]), "ids")
+    of = lambda kind, id_type, *names: ids.where(F.col("kind") == kind).select(F.col("id").cast(id_type).alias("id"), *[F.col(k).alias(n) for k, n in names])
+    models = of("model", "smallint", ("k1", "repo_id"), ("k2", "revision")).withColumnRenamed("id", "edit_model_id")
+    prompts = of("prompt", "int", ("k1", "text")).withColumnRenamed("id", "prompt_id")
     asked = prompts.select("prompt_id", F.col("text").alias("prompt"))
     avoided = prompts.select(F.col("prompt_id").alias("negative_prompt_id"), F.col("text").alias("negative_prompt"))
+    numbered = of("run", "int", ("k0", "run_key"), ("k1", "prompt")).withColumnRenamed("id", "edit_run_id")
     settings = ["precision", "steps", "text_guidance_scale", "image_guidance_scale", "started_utc"]
     one = each.select("run_key", "repo_id", "revision", "prompt", "negative_prompt", *settings).distinct()
-    numbered = row_numbers(one, ["run_key", "prompt"], "edit_run_id")
-    numbered = cut(numbered.withColumn("edit_run_id", F.col("edit_run_id").cast("int")), "run-ids")
-    edit_runs = numbered.join(models, ["repo_id", "revision"]).join(asked, "prompt").join(avoided, "negative_prompt").select(
+    edit_runs = one.join(numbered, ["run_key", "prompt"]).join(models, ["repo_id", "revision"]).join(asked, "prompt").join(avoided, "negative_prompt").select(
         "edit_run_id", "edit_model_id", "prompt_id", "negative_prompt_id", *settings)
-    outputs = each.join(numbered.select("run_key", "prompt", "edit_run_id"), ["run_key", "prompt"]).join(made, "file", "left")
+    outputs = each.join(numbered, ["run_key", "prompt"]).join(made, "file", "left")
     outputs = outputs.withColumn("edit_id", sha_id(F.lit("edit"), F.col("run_key"), F.col("name")))
     problem = lambda df, text: df.select("run_key", F.lit(text).alias("problem"))
     return {

@@ -61,8 +61,9 @@ def gate_stream(
     """
     accepted, quarantine = f"{root}/accepted", f"{root}/quarantine"
 
+    index = KeyIndex(stream.sparkSession, f"{root}/index", key)
+
     def batch(df: DataFrame, batch_id: int) -> None:
-        index = KeyIndex(df.sparkSession, f"{root}/index", key)
         df = df.persist()
         judged = judge(df, rules, key, index.held(df, batch_id)).persist()
         good = judged.where("problem is null").drop("problem")
@@ -88,10 +89,11 @@ def log_stream(measurements: DataFrame, key: Sequence[str], event_time: str, del
     log, late, newest = f"{root}/log", f"{root}/late", f"{root}/newest"
     others = [c for c in measurements.columns if c not in key]
 
+    index = KeyIndex(measurements.sparkSession, f"{root}/index", key)
+
     def batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         df = df.persist()
-        index = KeyIndex(spark, f"{root}/index", key)
         seen = spark.read.parquet(f"{newest}/batch={batch_id - 1}").first()[0] if batch_id else None
         in_time = df
         if seen is not None:

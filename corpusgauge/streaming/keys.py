@@ -35,6 +35,7 @@ class KeyIndex:
         self.spark, self.root, self.key, self.fanout, self.parts = spark, root.rstrip("/"), list(key), fanout, parts
         self.opened: list[str] = []
         """Parts that the last ``held`` read."""
+        self._slots: dict[str, int] = {}  # bitmaps for each part of the runs written or met so far
 
     def runs(self, before: int) -> Iterator[tuple[int, int]]:
         """(level, first batch) of the runs that cover the batches before this one, the largest first."""
@@ -66,9 +67,10 @@ class KeyIndex:
             return None
         asked = self._hashed(keys.select(*self.key).distinct())
         filters = self._read("run string, part int, slots long, slot long, bits binary", [self._path("filters", *r) for r in runs])
-        known = sorted(map(tuple, filters.select("run", "slots").distinct().collect()))  # one row for each run
-        if not known:
-            return self.spark.createDataFrame([], keys.select(*self.key).schema)
+        names = [f"level={level}/first={first}" for level, first in runs]
+        if any(run not in self._slots for run in names):  # after a restart; one row for each run
+            self._slots |= dict.fromkeys(names, 1) | dict(map(tuple, filters.select("run", "slots").distinct().collect()))
+        known = [(run, self._slots[run]) for run in names]
         each_run = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.lit(n).cast("long").alias("slots")) for r, n in known]))
         each = asked.select("_h", "part").distinct().select("_h", "part", each_run.alias("r")).select("_h", "part", "r.*")
         each = each.withColumn("slot", F.pmod(F.shiftright("_h", 20), F.col("slots")))
@@ -92,7 +94,7 @@ class KeyIndex:
         rows.drop("_h").sortWithinPartitions("part", *self.key).write.mode("overwrite").partitionBy("part").parquet(self._path("keys", level, first))
         stored = self._hashed(self._read(keys.schema, [self._path("keys", level, first)]))
         n = stored.count()
-        slots = max(1, -(-n * PER_KEY // (BITS * self.parts)))
+        slots = self._slots[run] = max(1, -(-n * PER_KEY // (BITS * self.parts)))
         bits = stored.withColumn("slot", F.pmod(F.shiftright("_h", 20), F.lit(slots)))
         bits = bits.select("part", "slot", F.explode(F.array(*_places(F.col("_h")))).alias("place"))
         made = bits.groupBy("part", "slot").agg(F.bitmap_construct_agg("place").alias("bits"))

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from corpusgauge.operators import compare, prepare, resolve, shred, spatial, stats
+from corpusgauge.operators import audit, compare, prepare, resolve, shred, spatial, stats
 from corpusgauge.operators.audit import eligibility, roll_up, vocabulary
 from corpusgauge.sources import clips, listing, sinks
 from corpusgauge.streaming import incremental
@@ -336,6 +336,15 @@ def test_handedness(spark):
     assert r.open_edges == 3 and (r.handed or r.signed_volume < 8)
 
 
+def test_few_values_by_a_sketch(spark):
+    rows = [("wide", float(i % 5000)) for i in range(20_000)] + [("flat", float(i % 3)) for i in range(900)] + [("flat", float("nan")), ("flat", None)]
+    long = spark.createDataFrame(rows, "a string, v double").repartition(4)
+    exact = {r.a: (r.n_values, r.collapsed) for r in audit.few_values(long, "a", "v").collect()}
+    about = {r.a: (r.n_values, r.collapsed) for r in audit.few_values(long, "a", "v", error=0.02).collect()}
+    assert exact == {"wide": (5000, False), "flat": (3, True)}
+    assert about["flat"] == (3, True) and abs(about["wide"][0] - 5000) < 500 and not about["wide"][1]
+
+
 def test_append_is_idempotent(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "id long, v string")
     for _ in range(2):
