@@ -285,27 +285,34 @@ def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y:
     # one spot: a number that stands for it, so the rounds carry no group columns twice
     asked = cut(asked.select(*keys, px.alias("_px"), py.alias("_py"), F.monotonically_increasing_id().alias("_spot")), "spots")
     top = F.array(F.struct(F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy")))
-    left = asked.select("_spot", F.col(group).alias("_group"), "_px", "_py", top.alias("_open"))
-    bits = F.filter(F.sequence(F.lit(0), F.lit(FAN * FAN - 1)), lambda b: F.getbit(F.col("below"), b) == 1)
+    far = F.lit(float("inf"))
+    left = asked.select("_spot", F.col(group).alias("_group"), "_px", "_py", far.alias("_bound"), top.alias("_open"))
+    a, b = F.col("_px"), F.col("_py")
+    bits = F.filter(F.sequence(F.lit(0), F.lit(FAN * FAN - 1)), lambda i: F.getbit(F.col("below"), i) == 1)
     for level in range(levels, 0, -1):
         side = FAN ** (level - 1)  # of the parts; a part of side 1 is a cell
         here = squares.where(F.col("level") == level).select(F.col(group).alias("_group"), "sx", "sy", "below")
-        near = left.select("_spot", "_group", "_px", "_py", F.explode("_open").alias("s")).select("_spot", "_group", "_px", "_py", "s.*")
-        parts = near.join(here, ["_group", "sx", "sy"]).select(
-            "_spot", "_group", "_px", "_py", F.transform(bits, lambda b: F.struct(
-                (F.col("sx") * FAN + F.floor(b / FAN)).alias("sx"), (F.col("sy") * FAN + b % FAN).alias("sy"))).alias("parts"))
-        a, b = F.col("_px"), F.col("_py")
+        near = left.select("_spot", "_group", "_px", "_py", "_bound", F.inline("_open"))
+        met = near.join(here, ["_group", "sx", "sy"])
+        column = lambda i: F.col("sx") * FAN + F.floor(i / FAN)
+        row = lambda i: F.col("sy") * FAN + i % FAN
         gap = lambda p, c: F.greatest(c * side - p, p - (c * side + (side - 1)), F.lit(0.0))  # noqa: E731, B023
         reach = lambda p, c: F.greatest(F.abs(p - c * side), F.abs(p - (c * side + (side - 1))))  # noqa: E731, B023
-        judged = parts.select("_spot", "_group", "_px", "_py", F.transform("parts", lambda s: F.struct(
-            (gap(a, s["sx"]) ** 2 + gap(b, s["sy"]) ** 2).alias("lo"), (reach(a, s["sx"]) ** 2 + reach(b, s["sy"]) ** 2).alias("hi"),
-            s["sx"].alias("sx"), s["sy"].alias("sy"))).alias("_open"))
-        # squares of one spot are pruned by their own least bound first, then by that of all
-        least = F.array_min(F.transform("_open", lambda s: s["hi"]))
-        judged = judged.withColumn("_bound", least).withColumn("_open", F.filter("_open", lambda s: s["lo"] <= F.col("_bound")))
-        met = judged.groupBy("_spot").agg(F.first("_group").alias("_group"), F.first("_px").alias("_px"), F.first("_py").alias("_py"),
-                                          F.min("_bound").alias("_bound"), F.flatten(F.collect_list("_open")).alias("_open"))
-        left = cut(met.withColumn("_open", F.filter("_open", lambda s: s["lo"] <= F.col("_bound"))), "spots")
+        low = lambda i: gap(a, column(i)) ** 2 + gap(b, row(i)) ** 2  # noqa: E731, B023
+        high = lambda i: reach(a, column(i)) ** 2 + reach(b, row(i)) ** 2  # noqa: E731, B023
+        if level == 1:
+            left = met.select("_spot", F.array_min(F.transform(bits, low)).alias("_bound")).groupBy("_spot").agg(F.min("_bound").alias("_bound"))
+            break
+        # parts of one square are pruned by the bound so far and by their own, those of all squares of the spot by the least
+        judged = met.select("_spot", "_group", "_px", "_py", F.least("_bound", F.array_min(F.transform(bits, high))).alias("_bound"), F.transform(
+            bits, lambda i: F.struct(low(i).alias("lo"), column(i).alias("sx"), row(i).alias("sy"))).alias("_parts"))  # noqa: B023
+        kept = judged.withColumn("_parts", F.filter("_parts", lambda s: s["lo"] <= F.col("_bound")))
+        whole = kept.groupBy("_spot").agg(F.first("_group").alias("_group"), F.first("_px").alias("_px"), F.first("_py").alias("_py"),
+                                          F.min("_bound").alias("_bound"), F.flatten(F.collect_list("_parts")).alias("_parts"))
+        opened = F.transform(F.filter("_parts", lambda s: s["lo"] <= F.col("_bound")), lambda s: F.struct(s["sx"].alias("sx"), s["sy"].alias("sy")))
+        left = whole.select("_spot", "_group", "_px", "_py", "_bound", opened.alias("_open"))
+        if level % 4 == 0:
+            left = cut(left, "spots")  # many levels do not make one plan
     found = left.select("_spot", F.sqrt("_bound").alias("distance"))
     known = asked.join(found, "_spot").select(*[F.col(k).alias(f"_{k}") for k in keys], "distance")
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
