@@ -95,13 +95,13 @@ def list_sums(links: DataFrame, values: Sequence[str], home: Sequence[Column | s
     while n > at_once:
         toss += 1
         coin = lambda c: F.xxhash64(F.col(c), F.lit(toss)) % 2 == 0  # noqa: E731, B023
-        met = left.where(~coin("id")).select(F.col("id").alias("gone"), F.col("next").alias("_n"), *[F.col(v).alias(f"_{v}") for v in values])
+        met = left.where(~coin("id")).select(F.col("id").alias("gone"), F.col("next").alias("_next"), *[F.col(v).alias(f"_{v}") for v in values])
         taken = left.join(met, (F.col("next") == F.col("gone")) & coin("id"), "left")
         taken = cut(taken, "mates")
         swallowed = taken.where("gone is not null").select(F.col("gone").alias("id"), F.col("id").alias("head"), *values)
         behind.append(swallowed)
         sums = [(F.col(v) + F.coalesce(f"_{v}", F.lit(0))).cast(kinds[v]).alias(v) for v in values]
-        grown = taken.select("id", F.when(F.col("gone").isNotNull(), F.col("_n")).otherwise(F.col("next")).alias("next"), *sums)
+        grown = taken.select("id", F.when(F.col("gone").isNotNull(), F.col("_next")).otherwise(F.col("next")).alias("next"), *sums)
         left = cut(grown.join(swallowed.select("id"), "id", "left_anti"), "mates")
         n = left.count()
     few = "id long, " + ", ".join(f"{v} {kinds[v]}" for v in values)

@@ -42,3 +42,8 @@ def test_empty_and_single(spark):
     links = spark.createDataFrame([(5, None, 3)], "id long, next long, a long")
     assert [tuple(r) for r in list_sums(links, ["a"]).collect()] == [(5, 0)]
     assert list_sums(links.limit(0), ["a"]).collect() == []
+
+
+def test_values_may_be_called_n(spark):
+    links = spark.createDataFrame([(i, i + 1 if i < 99 else None, 1) for i in range(100)], "id long, next long, n long").repartition(5)
+    assert {r.id: r.n for r in list_sums(links, ["n"], at_once=10).collect()} == {i: i for i in range(100)}
