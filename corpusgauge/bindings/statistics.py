@@ -313,7 +313,7 @@ def run_compare(t):
 
 
 @query(f"""with {VIEWS}, {unwrap_sql('fitted')}, w as (select l_suppkey, run, count(*) filter (where err <= 30) as within from fitted group by 1, 2)
- select l_suppkey, run, n, round(slope, 6) slope, within, case when n < 3 then 'undecided' when slope > 0.5 and within >= n * 0.6 then 'follows' else 'does not follow' end verdict from sl join w using (l_suppkey, run)""")
+ select l_suppkey, run, n, round(slope, 6) slope, within, case when n < 3 then 'undecided' when round(slope, 9) > 0.5 and within >= n * 0.6 then 'follows' else 'does not follow' end verdict from sl join w using (l_suppkey, run)""")
 def verdict(t):
     out = compare.verdict(fitted(t), ["l_suppkey", "run"], ["asked"], "asked", "recovered", "err")
     return out.withColumn("slope", F.round("slope", 6))

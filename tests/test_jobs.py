@@ -373,3 +373,10 @@ def test_gate_stream_resumes_and_replays(spark, tmp_path):
     good, bad = gate()
     assert good == {(1, None), (2, None), (4, None)} and (1, "already committed") in bad
     assert gate() == (good, bad)  # nothing new has arrived
+
+
+def test_a_slope_of_one_half_does_not_follow_whatever_the_rounding(spark):
+    rows = [(f"{a},{b}", x, y, 0.0) for a in range(0, 20) for b in range(0, 30) for x, y in ((0.0, float(a)), (45.0, b * 1.1), (90.0, a + 45.0))]
+    df = spark.createDataFrame(rows, "g string, asked double, recovered double, err double").repartition(5)
+    out = compare.verdict(df, ["g"], ["asked"], "asked", "recovered", "err")
+    assert {r.verdict: r.n for r in out.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")).collect()} == {"does not follow": 600}
