@@ -258,9 +258,9 @@ def run_to_relations(t):
     images = t.orders.select(F.col("o_custkey").alias("render_id"), F.inline(F.transform(numbers, lambda i: F.struct(
         file_of(i).alias("file"), F.encode(file_of(i), "UTF-8").alias("image")))))
     made = run_relations(t.orders.select(F.col("o_orderkey").alias("run_key"), record.alias("record")), "run_key", "record", images)
-    runs = made["edit_runs"].join(made["edit_models"], "edit_model_id")
+    runs = made["edit_runs"].join(made["edit_models"].hint("merge"), "edit_model_id")
     return (
-        made["run_outputs"].join(made["edited_renders"], ["edit_id", "edit_run_id"]).join(runs, "edit_run_id")
+        made["run_outputs"].join(made["edited_renders"].hint("merge"), ["edit_id", "edit_run_id"]).join(runs.hint("merge"), "edit_run_id")
         .select(F.col("run_key").alias("o_orderkey"), "name", "edit_run_id", "prompt_id", "negative_prompt_id", "revision",
                 F.col("steps").cast("int").alias("steps"), "seed", "render_id")
     )

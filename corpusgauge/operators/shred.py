@@ -26,6 +26,9 @@ def run_relations(runs: DataFrame, run_key: str, record: str, made: DataFrame) -
     ``made`` has the images: (file, render_id, image). Outputs of a record that share a prompt share a row of
     ``edit_runs``. A record without a resolved revision is a problem row and yields nothing else; so is an
     output whose file is not in ``made``. ``run_outputs`` keeps (run_key, name, edit_id, edit_run_id).
+
+    Sides with a row for each run or output are merged, never broadcast: their columns compress some fifty times, so a
+    shuffle that looks small to Spark would fill the driver.
     """
     read = runs.select(F.col(run_key).alias("run_key"), F.from_json(record, RUN_RECORD).alias("r"))
     flat = cut(read.select("run_key", "r.edit_models.*", "r.edit_runs.*", "r.outputs"), "runs")  # parsed once
@@ -48,9 +51,10 @@ def run_relations(runs: DataFrame, run_key: str, record: str, made: DataFrame) -
     numbered = of("run", "int", ("k0", "run_key"), ("k1", "prompt")).withColumnRenamed("id", "edit_run_id")
     settings = ["precision", "steps", "text_guidance_scale", "image_guidance_scale", "started_utc"]
     one = each.select("run_key", "repo_id", "revision", "prompt", "negative_prompt", *settings).distinct()
-    edit_runs = one.join(numbered, ["run_key", "prompt"]).join(models, ["repo_id", "revision"]).join(asked, "prompt").join(avoided, "negative_prompt").select(
+    merged = lambda df: df.hint("merge")
+    edit_runs = one.join(merged(numbered), ["run_key", "prompt"]).join(merged(models), ["repo_id", "revision"]).join(merged(asked), "prompt").join(merged(avoided), "negative_prompt").select(
         "edit_run_id", "edit_model_id", "prompt_id", "negative_prompt_id", *settings)
-    outputs = each.join(numbered, ["run_key", "prompt"]).join(made, "file", "left")
+    outputs = each.join(merged(numbered), ["run_key", "prompt"]).join(merged(made), "file", "left")
     outputs = outputs.withColumn("edit_id", sha_id(F.lit("edit"), F.col("run_key"), F.col("name")))
     problem = lambda df, text: df.select("run_key", F.lit(text).alias("problem"))
     return {

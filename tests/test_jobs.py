@@ -380,3 +380,12 @@ def test_a_slope_of_one_half_does_not_follow_whatever_the_rounding(spark):
     df = spark.createDataFrame(rows, "g string, asked double, recovered double, err double").repartition(5)
     out = compare.verdict(df, ["g"], ["asked"], "asked", "recovered", "err")
     assert {r.verdict: r.n for r in out.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")).collect()} == {"does not follow": 600}
+
+
+def test_sides_with_a_row_for_each_run_are_not_broadcast(spark):
+    record = '{"edit_models": {"repo_id": "m", "revision": "r1"}, "edit_runs": {"steps": 3}, "outputs": {"a": {"file": "f", "prompt": "p", "seed": 1}}}'
+    runs = spark.createDataFrame([(1, record), (2, record)], "k long, r string")
+    made = shred.run_relations(runs, "k", "r", spark.createDataFrame([("f", 7, b"x")], "file string, render_id long, image binary"))
+    for name in ("edit_runs", "edited_renders", "run_outputs"):
+        rows = made[name].collect()
+        assert len(rows) == 2 and "BroadcastHashJoin" not in made[name]._jdf.queryExecution().executedPlan().toString()
