@@ -1,7 +1,9 @@
 """Nearest neighbours in any dimension: exact by a partition of the space, or approximate by projections.
 
-Sources form about sqrt(N) cells around as many of them as pivots; a cell is cut into blocks of bounded size by a hash of
-the source id, so neither a dense cell nor a pile of copies is held by one task. A target first looks into one
+Sources form about sqrt(N) cells around as many of them as pivots. Neighbouring cells are packed into bundles of a block's size, and a
+larger cell is cut into blocks of that size by a hash of the source id, so neither a dense cell nor a pile of copies is held by one task.
+A target's vector travels once to each bundle, however many of its cells it must look into: where nothing can be ruled
+out, as among random vectors of many dimensions, that is once for each BLOCK of sources, not once for each cell. A target first looks into one
 block of its own cell, which bounds its distance well, and then only into the cells that the triangle inequality
 cannot rule out by that bound. Blocks meet targets as a stream: a task holds one block and the targets pass by, each leaving its best
 source there. Blocks that very many targets visit are read by several tasks. Pairs are never emitted.
@@ -21,7 +23,8 @@ from corpusgauge.session import cut
 
 MOST_CELLS = 4096
 """Bound on the pivots that the tasks get, whatever the number of sources; cells grow beyond it and are cut into more blocks."""
-BLOCK = 4096
+BLOCK = 16384
+"""Sources that one task holds at a time."""
 VISITS = 1 << 18
 """Targets of one block that one task takes."""
 _SLICE = 1 << 22  # numbers held at once while distances are formed
@@ -63,8 +66,25 @@ def _assigned(pivots: np.ndarray):
     return task
 
 
-def _surviving(pivots: np.ndarray, reach: np.ndarray, blocks: np.ndarray):
-    """Task: each target with every block of the cells that may hold a source nearer than ``bound``."""
+def _bundles(pivots: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bundle of each cell, and the number of blocks of each bundle. Cells around the same of a few pivots come one after another."""
+    few = _to_pivots(pivots, pivots[:: max(1, math.isqrt(len(pivots)))]).argmin(axis=1)
+    bundle, blocks, held = np.zeros(len(pivots), np.int64), [0], 0
+    for cell in np.argsort(few, kind="stable").tolist():
+        n = int(sizes[cell])
+        if blocks[-1] and held + n > BLOCK:
+            blocks.append(0)
+            held = 0
+        held += n
+        bundle[cell] = len(blocks) - 1
+        blocks[-1] = -(-held // BLOCK)
+    return bundle, np.array(blocks)
+
+
+def _surviving(pivots: np.ndarray, reach: np.ndarray, bundle: np.ndarray, blocks: np.ndarray):
+    """Task: each target with every block of the bundles that may hold a source nearer than ``bound``."""
+    starts = np.flatnonzero(np.diff(np.sort(bundle), prepend=-1))
+    by_bundle = np.argsort(bundle, kind="stable")
 
     def task(batches):
         for batch in batches:
@@ -75,15 +95,16 @@ def _surviving(pivots: np.ndarray, reach: np.ndarray, blocks: np.ndarray):
             if len(pivots) > 1:  # pivots are sources, and one of two is another row than the target
                 bound = np.minimum(bound, np.partition(gap, 1, axis=1)[:, 1] + scale)
             least = gap - reach - scale[:, None]
-            at, cell = np.nonzero((least <= bound[:, None]) & (blocks > 0))
-            each = blocks[cell]
-            at, cell = np.repeat(at, each), np.repeat(cell, each)
+            may = least <= bound[:, None]  # false for a cell without sources, whose reach is -inf
+            at, key = np.nonzero(np.logical_or.reduceat(may[:, by_bundle], starts, axis=1))
+            each = blocks[key]
+            at, key = np.repeat(at, each), np.repeat(key, each)
             block = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
             for i in range(0, len(at), 8192):  # a target's vector comes once for each block it visits
                 part = pa.array(at[i : i + 8192])
                 yield pa.record_batch({
                     "id": batch.column("id").take(part), "vec": batch.column("vec").take(part),
-                    "key": cell[i : i + 8192].astype(np.int64), "block": block[i : i + 8192].astype(np.int64),
+                    "key": key[i : i + 8192].astype(np.int64), "block": block[i : i + 8192].astype(np.int64),
                 })
 
     return task
@@ -175,16 +196,18 @@ def nearest(
     pivots = np.unique(np.array([r.vec for r in chosen]), axis=0)
     schema = "id long, vec array<double>, cell long, far double"
     placed = cut(s.mapInArrow(_assigned(pivots), schema), "sources")
-    reach, blocks = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
-    for r in placed.groupBy("cell").agg(F.max("far").alias("far"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).collect():
-        reach[r.cell], blocks[r.cell] = r.far, r.blocks
-    cells = F.broadcast(s.sparkSession.createDataFrame([(i, int(b)) for i, b in enumerate(blocks) if b], "cell long, blocks long"))  # MOST_CELLS rows
-    in_block = lambda df, seed: df.join(cells, "cell").select(F.col("cell").alias("key"), F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).alias("block"), "id", "vec")
+    reach, sizes = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
+    for r in placed.groupBy("cell").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("n")).collect():
+        reach[r.cell], sizes[r.cell] = r.far, r.n
+    bundle, blocks = _bundles(pivots, sizes)
+    rows = [(i, int(bundle[i]), int(blocks[bundle[i]])) for i in np.flatnonzero(sizes).tolist()]
+    cells = F.broadcast(s.sparkSession.createDataFrame(rows, "cell long, key long, blocks long"))  # MOST_CELLS rows
+    in_block = lambda df, seed: df.join(cells, "cell").select("key", F.pmod(F.xxhash64("id", F.lit(seed)), F.col("blocks")).alias("block"), "id", "vec")
     keyed, home = in_block(placed, 0), in_block(t.mapInArrow(_assigned(pivots), schema), 1)
     first = cut(_nearest_of(_met(keyed, home, skip_same)), "bounds")
     bound = F.coalesce(F.sqrt("d2") * (1 + 1e-9), F.lit(float("inf")))  # a lone row of its block has no bound yet
     asked = t.join(first.select(F.col("t_id").alias("id"), "d2"), "id", "left").select("id", "vec", bound.alias("bound"))
-    visits = asked.mapInArrow(_surviving(pivots, reach, blocks), "id long, vec array<double>, key long, block long")
+    visits = asked.mapInArrow(_surviving(pivots, reach, bundle, blocks), "id long, vec array<double>, key long, block long")
     return _nearest_of(_met(keyed, visits.select("key", "block", "id", "vec"), skip_same))
 
 

@@ -175,3 +175,15 @@ def test_lattice_distance_of_points_that_are_nowhere(spark):
     assert all(d is None for (g, x, y), (n, d) in got.items() if g == "a" and x != "4.0")
     none = nearest.lattice_distance(points, cells.limit(0), "g", "x", "y")
     assert [r.distance for r in none.collect()] == [None] * 7
+
+
+def test_a_target_travels_once_to_each_bundle_of_cells(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK", 256)
+    visits, met = [], nearest._met
+    monkeypatch.setattr(nearest, "_met", lambda s, t, skip: visits.append(t.count()) or met(s, t, skip))
+    vectors = np.random.Generator(np.random.PCG64(5)).normal(size=(1000, 32))  # so far apart that no cell is ruled out
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, v array<double>")
+    got = {r.t_id: r.s_id for r in nearest.nearest(df, "id", "v", df, "id", "v", skip_same=True).collect()}
+    gap = ((vectors[:, None] - vectors[None]) ** 2).sum(axis=2) + np.diag(np.full(1000, np.inf))
+    assert got == dict(enumerate(gap.argmin(axis=1).tolist()))
+    assert visits[0] == 1000 and visits[1] <= 8 * 1000
