@@ -98,15 +98,27 @@ def _corner(name: str) -> tuple[Column, ...]:
     return tuple(F.col(f"{name}{i}") for i in range(3))
 
 
+FACES = 1 << 18
+"""Faces that one task gathers, and rows that meet one copy of a vertex."""
+
+
 def signed_volume(
     faces: DataFrame, mesh: str, face: Sequence[str], vertices: DataFrame, vertex: str, xyz: Sequence[str]
 ) -> DataFrame:
     """Sum of corner triple products over six: negative means the surface is mirrored.
 
-    Equal faces are counted first; then the corners of a face meet their vertices in one join, as rows, and not in three."""
-    unique = faces.groupBy(mesh, *face).agg(F.count(F.lit(1)).alias("_w"))
-    each = unique.select(mesh, *face, "_w", F.posexplode(F.array(*face)).alias("_slot", "_at"))
-    placed = each.join(vertices.select(F.col(vertex).alias("_at"), *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(xyz)]), "_at")
+    Equal faces are counted first; then the corners of a face meet their vertices in one join, as rows, and not in three. Tasks are as
+    many as the faces ask for, so the memory of one does not grow with them, and a vertex of very many faces is copied."""
+    parts = max(1, -(-faces.count() // FACES))
+    unique = faces.repartition(parts, mesh, *face).groupBy(mesh, *face).agg(F.count(F.lit(1)).alias("_w"))
+    used = faces.select(F.explode(F.array(*face)).alias("_at")).groupBy("_at").agg(F.ceil(F.count(F.lit(1)) / FACES).alias("_salts"))
+    busy = F.broadcast(used.where("_salts > 1"))  # at most three rows for each FACES faces
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    each = unique.select(mesh, *face, "_w", F.posexplode(F.array(*face)).alias("_slot", "_at")).join(busy, "_at", "left")
+    each = each.withColumn("_salt", F.pmod(F.xxhash64(mesh, *face), salts)).drop("_salts")
+    known = vertices.select(F.col(vertex).alias("_at"), *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(xyz)]).join(busy, "_at", "left")
+    known = known.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_salts")
+    placed = each.join(known, ["_at", "_salt"]).repartition(parts, mesh, *face)
     at = lambda slot, i: F.max(F.when(F.col("_slot") == slot, F.col(f"_p{i}"))).alias(f"{'abc'[slot]}{i}")
     whole = placed.groupBy(mesh, *face, "_w").agg(F.count(F.lit(1)).alias("_n"), *[at(s, i) for s in range(3) for i in range(3)]).where("_n = 3")
     six = inner(_corner("a"), cross(_corner("b"), _corner("c"))) * F.col("_w")

@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -389,3 +390,17 @@ def test_sides_with_a_row_for_each_run_are_not_broadcast(spark):
     for name in ("edit_runs", "edited_renders", "run_outputs"):
         rows = made[name].collect()
         assert len(rows) == 2 and "BroadcastHashJoin" not in made[name]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_of_signed_volumes_grow_with_the_faces(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "FACES", 100)
+    faces = spark.createDataFrame([(m % 5, m, m + 1, 7000) for m in range(1000)], "mesh long, a long, b long, c long")
+    v = spark.createDataFrame([(i, float(i % 7), float(i % 5), float(i % 3)) for i in [*range(1001), 7000]], "k long, x double, y double, z double")
+    out = spatial.signed_volume(faces, "mesh", ["a", "b", "c"], v, "k", ["x", "y", "z"])
+    at = lambda i: np.array([i % 7, i % 5, i % 3], float)
+    want = {g: sum(float(np.dot(at(m), np.cross(at(m + 1), at(7000)))) for m in range(g, 1000, 5)) / 6 for g in range(5)}
+    got = {r.mesh: (r.n_faces, round(r.signed_volume, 6)) for r in out.collect()}
+    assert got == {g: (200, round(x, 6)) for g, x in want.items()}
+    # 1000 faces in tasks of 100, and the busy vertex in ten copies
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "10), REPARTITION_BY_NUM" in plan
