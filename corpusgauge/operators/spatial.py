@@ -131,8 +131,10 @@ def edge_pairs(faces: DataFrame, mesh: str, face: Sequence[str]) -> DataFrame:
     direction is flipped, and one of three or more faces is crowded."""
     ends = [(face[0], face[1]), (face[1], face[2]), (face[2], face[0])]
     each = faces.select(mesh, F.explode(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in ends])).alias("e")).select(mesh, "e.*")
-    met = each.where("u <> v").groupBy(mesh, F.least("u", "v").alias("_lo"), F.greatest("u", "v").alias("_hi")).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("u") < F.col("v")).alias("_up")
+    edges = each.where("u <> v").select(mesh, (F.col("u") < F.col("v")).alias("_rises"), F.least("u", "v").alias("_lo"), F.greatest("u", "v").alias("_hi"))
+    parts = max(1, -(-3 * faces.count() // FACES))  # as many tasks as the edges ask for
+    met = edges.repartition(parts, mesh, "_lo", "_hi").groupBy(mesh, "_lo", "_hi").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("_rises").alias("_up")
     )
     return met.groupBy(mesh).agg(
         F.count(F.lit(1)).alias("n_edges"), F.count_if(F.col("_n") == 1).alias("open_edges"),

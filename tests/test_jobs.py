@@ -404,3 +404,11 @@ def test_tasks_of_signed_volumes_grow_with_the_faces(spark, monkeypatch):
     # 1000 faces in tasks of 100, and the busy vertex in ten copies
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "10), REPARTITION_BY_NUM" in plan
+
+
+def test_tasks_of_edges_grow_with_the_faces(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "FACES", 100)
+    faces = spark.createDataFrame([(0, m, m + 1, 5000) for m in range(1000)], "mesh long, a long, b long, c long")
+    out = spatial.edge_pairs(faces, "mesh", ["a", "b", "c"])
+    assert tuple(out.first()) == (0, 2001, 1002, 0, 0)
+    assert "30), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
