@@ -267,11 +267,15 @@ def proximity(matches: DataFrame, targets: DataFrame, target_id: str, group: str
 
 FAN = 4
 """Squares of the next finer level along each side of a square."""
+LEAF = 3
+"""Levels that a leaf of the pyramid spans: FAN ** LEAF cells along each side, whose cells are one row."""
+STRIP = 32
+"""Cells of a column that share one number, as bits."""
 
 
 def _pyramid(mask: DataFrame, group: str, levels: int) -> DataFrame:
-    """(level, group, sx, sy, below): every occupied square of side FAN ** level, and which of its parts are occupied, as bits."""
-    each = mask.select(group, "_cx", "_cy", F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level"))
+    """(level, group, sx, sy, below): every occupied square of side FAN ** level above the leaves, and which of its parts are occupied, as bits."""
+    each = mask.select(group, "_cx", "_cy", F.explode(F.sequence(F.lit(LEAF + 1), F.lit(levels))).alias("level"))
     side = F.pow(F.lit(FAN), F.col("level") - 1).cast("long")
     part_x, part_y = F.floor(F.col("_cx") / side), F.floor(F.col("_cy") / side)
     within = lambda p: p - F.floor(p / FAN) * FAN
@@ -280,31 +284,58 @@ def _pyramid(mask: DataFrame, group: str, levels: int) -> DataFrame:
     return placed.groupBy("level", group, "sx", "sy").agg(F.bit_or("bit").alias("below"))
 
 
+def _leaves(mask: DataFrame, group: str) -> DataFrame:
+    """(group, sx, sy, strips): the occupied strips (column, rows) of every leaf; repeated cells count once."""
+    side = FAN**LEAF
+    strip = F.floor(F.col("_cy") / STRIP)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_cy") - strip * STRIP).cast("int"))
+    strips = mask.groupBy(group, F.col("_cx").alias("cx"), (strip * STRIP).alias("cy")).agg(F.bit_or(bit).alias("bits"))
+    rows = F.filter(F.sequence(F.lit(0), F.lit(STRIP - 1)), lambda i: F.getbit("bits", i) == 1)
+    filled = F.struct(F.col("cx").cast("double").alias("cx"), F.transform(rows, lambda i: (F.col("cy") + i).cast("double")).alias("rows"))
+    placed = strips.select(group, F.floor(F.col("cx") / side).alias("sx"), F.floor(F.col("cy") / side).alias("sy"), filled.alias("strip"))
+    return placed.groupBy(group, "sx", "sy").agg(F.collect_list("strip").alias("strips"))
+
+
+def _nearest_square(a: Column, b: Column) -> Column:
+    """Squared distance from (a, b) to the nearest cell of ``strips``. Columns farther than the best so far are passed over."""
+    def nearer(best, s):
+        aside = (a - s["cx"]) * (a - s["cx"])
+        return F.when(aside >= best, best).otherwise(F.least(best, aside + F.array_min(F.transform(s["rows"], lambda r: (b - r) * (b - r)))))
+
+    return F.aggregate("strips", F.lit(float("inf")), nearer)
+
+
 def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y: str) -> DataFrame:
     """(group, x, y, n, distance): exact distance from each distinct point to the nearest mask cell of its
     group. NULL for a group without mask cells, and for a point with a NULL, NaN or infinite coordinate.
 
-    The occupied squares of each group form a pyramid whose sides shrink by FAN from level to level. A point goes down
-    it with the squares that may hold its nearest cell: every occupied square holds a cell no farther than its far corner, and
-    those that begin beyond the least of these bounds are left out. Rounds grow with the logarithm of the extent, and a
-    point meets a few squares in each, not the cells of its group.
+    The occupied squares of each group form a pyramid whose sides shrink by FAN from level to level, down to leaves of
+    FAN ** LEAF cells a side. A point goes down it with the squares that may hold its nearest cell: every occupied square holds a cell
+    no farther than its far corner, and those that begin beyond the least of these bounds are left out. Rounds grow with the logarithm
+    of the extent, and a point meets a few squares in each, not the cells of its group. Masks of one leaf take no round: a point meets
+    its group's leaf and is done.
     """
     keys = [group, x, y]
     spots = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     whole = lambda c: F.floor(F.col(c).cast("double")).cast("long")
-    mask = cells.select(group, whole(x).alias("_cx"), whole(y).alias("_cy")).where("_cx is not null and _cy is not null").distinct()
+    mask = cells.select(group, whole(x).alias("_cx"), whole(y).alias("_cy")).where("_cx is not null and _cy is not null")
     low = mask.agg(F.min("_cx"), F.max("_cx"), F.min("_cy"), F.max("_cy")).first()
     if low[0] is None:
         return spots.withColumn("distance", F.lit(None).cast("double"))
     x0, y0 = low[0], low[2]
-    levels = 1
+    levels = LEAF
     while FAN**levels <= max(low[1] - x0, low[3] - y0):
         levels += 1
     mask = mask.withColumns({"_cx": F.col("_cx") - x0, "_cy": F.col("_cy") - y0})
-    squares = cut(_pyramid(mask, group, levels), "squares")
     px, py = F.col(x).cast("double") - x0, F.col(y).cast("double") - y0
     finite = lambda c: F.abs(c) < float("inf")  # noqa: E731  (false for NaN, NULL for NULL)
-    asked = spots.where(finite(F.col(x).cast("double")) & finite(F.col(y).cast("double")))
+    placeable = finite(F.col(x).cast("double")) & finite(F.col(y).cast("double"))
+    leaves = _leaves(mask, group)
+    if levels == LEAF:
+        met = spots.join(leaves.select(F.col(group).alias("_group"), "strips"), F.col(group) == F.col("_group"), "left")
+        return met.select(*keys, "n", F.when(placeable, F.sqrt(_nearest_square(px, py))).alias("distance"))
+    squares = cut(_pyramid(mask.distinct(), group, levels), "squares")
+    asked = spots.where(placeable)
     # one spot: a number that stands for it, so the rounds carry no group columns twice
     asked = cut(asked.select(*keys, px.alias("_px"), py.alias("_py"), F.monotonically_increasing_id().alias("_spot")), "spots")
     top = F.array(F.struct(F.lit(0).cast("long").alias("sx"), F.lit(0).cast("long").alias("sy")))
@@ -312,8 +343,8 @@ def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y:
     left = asked.select("_spot", F.col(group).alias("_group"), "_px", "_py", far.alias("_bound"), top.alias("_open"))
     a, b = F.col("_px"), F.col("_py")
     bits = F.filter(F.sequence(F.lit(0), F.lit(FAN * FAN - 1)), lambda i: F.getbit(F.col("below"), i) == 1)
-    for level in range(levels, 0, -1):
-        side = FAN ** (level - 1)  # of the parts; a part of side 1 is a cell
+    for level in range(levels, LEAF, -1):
+        side = FAN ** (level - 1)  # of the parts
         here = squares.where(F.col("level") == level).select(F.col(group).alias("_group"), "sx", "sy", "below")
         near = left.select("_spot", "_group", "_px", "_py", "_bound", F.inline("_open"))
         met = near.join(here, ["_group", "sx", "sy"])
@@ -323,9 +354,6 @@ def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y:
         reach = lambda p, c: F.greatest(F.abs(p - c * side), F.abs(p - (c * side + (side - 1))))  # noqa: E731, B023
         low = lambda i: gap(a, column(i)) ** 2 + gap(b, row(i)) ** 2  # noqa: E731, B023
         high = lambda i: reach(a, column(i)) ** 2 + reach(b, row(i)) ** 2  # noqa: E731, B023
-        if level == 1:
-            left = met.select("_spot", F.array_min(F.transform(bits, low)).alias("_bound")).groupBy("_spot").agg(F.min("_bound").alias("_bound"))
-            break
         # parts of one square are pruned by the bound so far and by their own, those of all squares of the spot by the least
         judged = met.select("_spot", "_group", "_px", "_py", F.least("_bound", F.array_min(F.transform(bits, high))).alias("_bound"), F.transform(
             bits, lambda i: F.struct(low(i).alias("lo"), column(i).alias("sx"), row(i).alias("sy"))).alias("_parts"))  # noqa: B023
@@ -336,7 +364,8 @@ def lattice_distance(points: DataFrame, cells: DataFrame, group: str, x: str, y:
         left = whole.select("_spot", "_group", "_px", "_py", "_bound", opened.alias("_open"))
         if level % 4 == 0:
             left = cut(left, "spots")  # many levels do not make one plan
-    found = left.select("_spot", F.sqrt("_bound").alias("distance"))
+    last = left.select("_spot", "_group", "_px", "_py", F.inline("_open")).join(leaves.withColumnRenamed(group, "_group"), ["_group", "sx", "sy"])
+    found = last.select("_spot", _nearest_square(a, b).alias("_d2")).groupBy("_spot").agg(F.sqrt(F.min("_d2")).alias("distance"))
     known = asked.join(found, "_spot").select(*[F.col(k).alias(f"_{k}") for k in keys], "distance")
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return spots.join(known, same, "left").drop(*[f"_{k}" for k in keys])

@@ -177,6 +177,22 @@ def test_lattice_distance_of_points_that_are_nowhere(spark):
     assert [r.distance for r in none.collect()] == [None] * 7
 
 
+def test_points_of_small_masks_meet_one_row_and_nothing_is_written(spark, monkeypatch):
+    def written(df, label):
+        raise AssertionError(label)
+
+    monkeypatch.setattr(nearest, "cut", written)
+    r = random.Random(3)
+    mask = {(g, r.randrange(-9, 54), r.randrange(40, 100)) for g in ("a", "b") for _ in range(200)} | {("c", -9, 103), ("c", 54, 40)}
+    asked = [(g, r.uniform(-90, 90), r.uniform(-50, 150)) for g in ("a", "b", "c", "none") for _ in range(30)] + [("c", -9.0, 103.0), ("c", 1e300, 0.0)]
+    points, cells = spark.createDataFrame(asked, "g string, x double, y double"), spark.createDataFrame(sorted(mask) * 2, "g string, x long, y long")
+    got = distances(nearest.lattice_distance(points, cells, "g", "x", "y"))
+    for g, x, y in asked:
+        near = [math.hypot(x - cx, y - cy) for h, cx, cy in mask if h == g]
+        d = got[g, repr(x), repr(y)][1]
+        assert d == (pytest.approx(min(near)) if near and x < 1e9 else float("inf") if near else None)
+
+
 def test_a_target_travels_once_to_each_bundle_of_cells(spark, monkeypatch):
     monkeypatch.setattr(nearest, "BLOCK", 256)
     visits, met = [], nearest._met
