@@ -11,7 +11,7 @@ from corpusgauge.functions import geometry
 from corpusgauge.functions.vectors import cross, inner, minus
 from corpusgauge.operators.linked import AT_ONCE, list_sums
 from corpusgauge.operators.ordering import in_order, neighbour, running_totals
-from corpusgauge.session import cut
+from corpusgauge.session import cut, dealt
 
 
 def visibility(
@@ -39,10 +39,9 @@ def visibility(
 
 def iou(left: DataFrame, right: DataFrame, group: str, cell: Sequence[str], groups: DataFrame) -> DataFrame:
     """(group, shared, either, iou) of two masks' cells. An empty union scores 0."""
-    a = left.select(group, *cell).distinct().withColumn("_s", F.lit(1))
-    b = right.select(group, *cell).distinct().withColumn("_s", F.lit(1))
-    cells = a.unionByName(b).groupBy(group, *cell).agg(F.sum("_s").alias("_k"))
-    per = cells.groupBy(group).agg(F.count_if(F.col("_k") == 2).alias("shared"), F.count(F.lit(1)).alias("either"))
+    sides = left.select(group, *cell, F.lit(1).alias("_s")).unionByName(right.select(group, *cell, F.lit(2).alias("_s")))
+    cells = dealt(sides, sides.count(), group, *cell).groupBy(group, *cell).agg(F.bit_or("_s").alias("_k"))
+    per = cells.groupBy(group).agg(F.count_if(F.col("_k") == 3).alias("shared"), F.count(F.lit(1)).alias("either"))
     every = groups.select(group).distinct().join(per, group, "left").fillna({"shared": 0, "either": 0})
     ratio = F.when(F.col("either") > 0, F.col("shared") / F.nullif("either", F.lit(0))).otherwise(0.0)
     return every.withColumn("iou", ratio)

@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusgauge import session
+from corpusgauge.bindings import QUERIES
 from corpusgauge.operators import audit, compare, prepare, resolve, shred, spatial, stats
 from corpusgauge.operators.audit import eligibility, roll_up, vocabulary
 from corpusgauge.sources import clips, listing, sinks
@@ -412,3 +414,11 @@ def test_tasks_of_edges_grow_with_the_faces(spark, monkeypatch):
     out = spatial.edge_pairs(faces, "mesh", ["a", "b", "c"])
     assert tuple(out.first()) == (0, 2001, 1002, 0, 0)
     assert "30), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tasks_of_mask_overlaps_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "PER_TASK", 100)
+    cells = lambda lo, hi: spark.createDataFrame([(i % 2, i, 0) for i in range(lo, hi)] * 2, "g long, x long, y long")
+    out = spatial.iou(cells(0, 600), cells(400, 800), "g", ["x", "y"], spark.range(3).withColumnRenamed("id", "g"))
+    assert sorted(tuple(r) for r in out.collect()) == [(0, 100, 400, 0.25), (1, 100, 400, 0.25), (2, 0, 0, 0.0)]
+    assert "20), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()  # 2000 rows
