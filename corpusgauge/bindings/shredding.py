@@ -55,12 +55,13 @@ LICENSES = [("CC Attribution", False), ("CC0 Public Domain", False), ("CC Attrib
 def shred_map(t):
     """Parts, with their lines as files, are written as JSON maps, read back by byte ranges and catalogued."""
     from corpusgauge.plans import model_catalogue
-    from corpusgauge.session import scratch
+    from corpusgauge.session import dealt, scratch
     from corpusgauge.sources.jsonmap import write_json_map
 
     side = F.when(F.col("l_linenumber") % 3 == 0, "_2048").when(F.col("l_linenumber") % 3 == 1, "_1024").otherwise("")
     path = F.concat(F.lit("m/"), "l_partkey", F.lit("/"), "l_orderkey", side, F.lit(".glb"))
-    files = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", path.alias("path")))).alias("f"))
+    lines = dealt(t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber"), t.lineitem.count(), "l_partkey")
+    files = lines.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.array_sort(F.collect_list(F.struct("l_orderkey", "l_linenumber", path.alias("path")))).alias("f"))
     licence = F.element_at(F.array(F.lit("Editorial"), F.lit(LICENSES[0][0]), F.lit(LICENSES[1][0]), F.lit(LICENSES[2][0])), (F.col("p_partkey") % 4 + 1).cast("int"))
     record = F.to_json(F.struct(
         F.concat("p_name", F.lit(' "{'), "p_brand", F.lit('}," \\')).alias("name"), F.col("p_brand").alias("user"), licence.alias("license"),

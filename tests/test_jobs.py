@@ -422,3 +422,12 @@ def test_tasks_of_mask_overlaps_grow_with_the_rows(spark, monkeypatch):
     out = spatial.iou(cells(0, 600), cells(400, 800), "g", ["x", "y"], spark.range(3).withColumnRenamed("id", "g"))
     assert sorted(tuple(r) for r in out.collect()) == [(0, 100, 400, 0.25), (1, 100, 400, 0.25), (2, 0, 0, 0.0)]
     assert "20), REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()  # 2000 rows
+
+
+def test_lines_of_the_model_map_are_dealt_by_their_number(spark, monkeypatch):
+    asked = []
+    deal = session.dealt
+    monkeypatch.setattr(session, "dealt", lambda df, rows, *keys: asked.append((rows, keys)) or deal(df, rows, *keys))
+    QUERIES["shred_map"](spark, "/root/testdata/sf0.001").count()
+    assert asked == [(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count(), ("l_partkey",))]
+    assert deal(spark.range(10), 10 * session.PER_TASK + 1, "id").rdd.getNumPartitions() == 11
