@@ -17,6 +17,7 @@ LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 def shred_json(t):
     """Each customer's orders and lines are written out as one annotation file and shredded."""
     from corpusgauge.schemas import ANNOTATION_DDL, struct
+    from corpusgauge.session import cut, dealt
 
     q = F.col("l_quantity").cast("int")
     lines = t.lineitem.select("l_orderkey", F.struct(
@@ -26,20 +27,26 @@ def shred_json(t):
         F.array(q, q, F.lit(2), q, q, F.lit(1), q).alias("keypoints"),
         F.when(F.col("l_returnflag") == "N", '{"counts": [3]}').otherwise("[[1.5, 2, 3, 4], [], [7, 8]]").alias("segmentation"),
     ).alias("a"))
-    of_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list("a").alias("notes"))
+    n = t.lineitem.count()
+    of_order = dealt(lines, n, "l_orderkey").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list("a").alias("notes"))
     orders = t.orders.select("o_custkey", "o_orderkey", F.struct(F.col("o_orderkey").alias("id"), F.lit("f").alias("file_name")).alias("image"))
-    docs = orders.join(of_order, "o_orderkey", "left").groupBy("o_custkey").agg(
+    docs = dealt(orders.join(of_order, "o_orderkey", "left"), n, "o_custkey").groupBy("o_custkey").agg(
         F.collect_list("image").alias("images"), F.flatten(F.collect_list("notes")).alias("annotations"))
     text = F.to_json(F.struct("images", "annotations"))
     read = docs.select(F.col("o_custkey").cast("string").alias("split"), F.from_json(text, struct(ANNOTATION_DDL)).alias("d"))
-    flat = shred.annotation_document(read.select("split", "d.*"))
+    flat = shred.annotation_document(cut(read.select("split", "d.*"), "documents"))  # parsed once
     owner = flat["annotations"].select("ann_id", "split").distinct()
-    count = lambda name, *more: flat[name].join(owner, "ann_id").groupBy("split").agg(F.count(F.lit(1)).alias(name), *more)
     images = flat["images"].groupBy("split").agg(F.count(F.lit(1)).alias("n_images"))
     notes = flat["annotations"].groupBy("split").agg(F.count(F.lit(1)).alias("n_annotations"), F.sum("area").alias("area"), F.sum("iscrowd").alias("crowds"))
-    boxes = count("boxes", F.sum("x").alias("box_x"))
-    polygons = count("polygons", F.sum(F.size("points")).alias("points"))
-    wide = images.join(notes, "split", "left").join(boxes, "split", "left").join(polygons, "split", "left").join(count("keypoints"), "split", "left")
+    # what hangs on an annotation is counted for it before its split is looked up, so all kinds share one join
+    none = F.lit(0)
+    mark = lambda name, x, points: flat[name].select("ann_id", F.lit(name).alias("kind"), x.alias("x"), points.alias("points"))
+    marks = mark("boxes", F.col("x"), none).union(mark("polygons", none, F.size("points"))).union(mark("keypoints", none, none))
+    found = lambda name: F.count_if(F.col("kind") == name).alias(name)
+    each = marks.groupBy("ann_id").agg(found("boxes"), F.sum("x").alias("box_x"), found("polygons"), F.sum("points").alias("points"), found("keypoints"))
+    sums = ["boxes", "box_x", "polygons", "points", "keypoints"]
+    hung = each.join(owner, "ann_id").groupBy("split").agg(*[F.sum(c).alias(c) for c in sums])
+    wide = images.join(notes, "split", "left").join(hung, "split", "left")
     return wide.fillna(0)
 
 

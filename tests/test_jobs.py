@@ -431,3 +431,9 @@ def test_lines_of_the_model_map_are_dealt_by_their_number(spark, monkeypatch):
     QUERIES["shred_map"](spark, "/root/testdata/sf0.001").count()
     assert asked == [(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count(), ("l_partkey",))]
     assert deal(spark.range(10), 10 * session.PER_TASK + 1, "id").rdd.getNumPartitions() == 11
+
+
+def test_annotation_files_are_parsed_once(spark):
+    out = QUERIES["shred_json"](spark, "/root/testdata/sf0.001")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json(StructField(images" not in plan and plan.count("from_json") <= 1 and "polygons" in out.columns
