@@ -2,8 +2,10 @@
 
 The keys of a batch are one run. ``fanout`` runs of neighbouring batches merge into one of the next level, so batch n is covered
 by at most (fanout - 1) * log(n) runs, whose names follow from n alone: nothing is listed. A run is cut into
-parts by the hash of the key, one file each, and has a Bloom filter of some ten bits a key, in bitmaps that Spark aggregates. A
-new batch first meets the filters; only the parts that may hold one of its keys are opened, and keys are then compared as they are.
+parts by the hash of the key, one file each, and has a Bloom filter of some sixteen bits a key: each key sets four bits of one
+64-bit word, so building it is one sum of words and asking it one lookup. A batch of few keys first meets the filters; only the parts that may
+hold one of its keys are opened. A batch of many keys would open every part for the filters' errors alone, and opens them at once. Keys are
+then compared as they are.
 """
 
 from __future__ import annotations
@@ -15,14 +17,21 @@ from pyspark.sql import functions as F
 
 from corpusgauge.sources.catalog import remove
 
-BITS = 1 << 15
-"""Bits of one bitmap, as ``bitmap_construct_agg`` makes them."""
-PER_KEY = 10
+WORD = 64
+"""Bits of one word of a filter."""
+PER_KEY = 16
 PROBES = 4
+FEW = 1 << 12
+"""A batch of more keys than this does not ask the filters: one key in some hundred is taken for known, so all parts would be opened."""
 
 
-def _places(h) -> list:
-    return [F.pmod(F.xxhash64(h, F.lit(i)), F.lit(BITS)) for i in range(PROBES)]
+def _mask(h):
+    """The bits that a key sets in its word."""
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(h, F.lit(i)), F.lit(WORD)).cast("int"))
+    mask = bit(0)
+    for i in range(1, PROBES):
+        mask = mask.bitwiseOR(bit(i))
+    return mask
 
 
 class KeyIndex:
@@ -35,7 +44,7 @@ class KeyIndex:
         self.spark, self.root, self.key, self.fanout, self.parts = spark, root.rstrip("/"), list(key), fanout, parts
         self.opened: list[str] = []
         """Parts that the last ``held`` read."""
-        self._slots: dict[str, int] = {}  # bitmaps for each part of the runs written or met so far
+        self._words: dict[str, int] = {}  # words for each part of the runs written or met so far
 
     def runs(self, before: int) -> Iterator[tuple[int, int]]:
         """(level, first batch) of the runs that cover the batches before this one, the largest first."""
@@ -66,27 +75,27 @@ class KeyIndex:
         if not runs:
             return None
         asked = self._hashed(keys.select(*self.key).distinct())
-        filters = self._read("run string, part int, slots long, slot long, bits binary", [self._path("filters", *r) for r in runs])
+        schema = keys.select(*self.key).schema
+        same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in self.key]
+        among = lambda paths: asked.select(*self.key).alias("a").join(self._read(schema, paths).alias("b"), same, "left_semi")
+        if asked.count() > FEW:
+            self.opened = [self._path("keys", *r) for r in runs]
+            return among(self.opened)
+        filters = self._read("run string, part int, words long, word long, bits long", [self._path("filters", *r) for r in runs])
         names = [f"level={level}/first={first}" for level, first in runs]
-        if any(run not in self._slots for run in names):  # after a restart; one row for each run
-            self._slots |= dict.fromkeys(names, 1) | dict(map(tuple, filters.select("run", "slots").distinct().collect()))
-        known = [(run, self._slots[run]) for run in names]
-        each_run = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.lit(n).cast("long").alias("slots")) for r, n in known]))
+        if any(run not in self._words for run in names):  # after a restart; one row for each run
+            self._words |= dict.fromkeys(names, 1) | dict(map(tuple, filters.select("run", "words").distinct().collect()))
+        known = [(run, self._words[run]) for run in names]
+        each_run = F.explode(F.array(*[F.struct(F.lit(r).alias("run"), F.lit(n).cast("long").alias("words")) for r, n in known]))
         each = asked.select("_h", "part").distinct().select("_h", "part", each_run.alias("r")).select("_h", "part", "r.*")
-        each = each.withColumn("slot", F.pmod(F.shiftright("_h", 20), F.col("slots")))
-        byte = lambda p: F.conv(F.hex(F.substring("bits", (F.floor(p / 8) + 1).cast("int"), 1)), 16, 10).cast("int")
-        hit = F.lit(True)
-        for p in _places(F.col("_h")):
-            hit = hit & (F.getbit(byte(p), (p % 8).cast("int")) == 1)
-        maybe = each.join(filters.drop("slots"), ["run", "part", "slot"]).where(hit).select("run", "part").distinct()
+        each = each.select("run", "part", F.pmod(F.shiftright("_h", 20), F.col("words")).alias("word"), _mask(F.col("_h")).alias("mask"))
+        hit = F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")
+        maybe = each.join(filters.drop("words"), ["run", "part", "word"]).where(hit).select("run", "part").distinct()
         found = sorted((r.run, r.part) for r in maybe.collect())  # at most one row for each part of each run
         self.opened = [f"{self.root}/keys/{run}/part={part}" for run, part in found]
-        schema = keys.select(*self.key).schema
         if not found:
             return self.spark.createDataFrame([], schema)
-        stored = self._read(schema, self.opened)
-        same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in self.key]
-        return asked.select(*self.key).alias("a").join(stored.alias("b"), same, "left_semi")
+        return among(self.opened)
 
     def _write(self, keys: DataFrame, level: int, first: int) -> None:
         run = f"level={level}/first={first}"
@@ -94,12 +103,10 @@ class KeyIndex:
         rows.drop("_h").sortWithinPartitions("part", *self.key).write.mode("overwrite").partitionBy("part").parquet(self._path("keys", level, first))
         stored = self._hashed(self._read(keys.schema, [self._path("keys", level, first)]))
         n = stored.count()
-        slots = self._slots[run] = max(1, -(-n * PER_KEY // (BITS * self.parts)))
-        bits = stored.withColumn("slot", F.pmod(F.shiftright("_h", 20), F.lit(slots)))
-        bits = bits.select("part", "slot", F.explode(F.array(*_places(F.col("_h")))).alias("place"))
-        made = bits.groupBy("part", "slot").agg(F.bitmap_construct_agg("place").alias("bits"))
-        made = made.select(F.lit(run).alias("run"), "part", F.lit(slots).cast("long").alias("slots"), F.col("slot").cast("long").alias("slot"), "bits")
-        made.coalesce(1).write.mode("overwrite").parquet(self._path("filters", level, first))
+        words = self._words[run] = max(1, -(-n * PER_KEY // (WORD * self.parts)))
+        made = stored.groupBy("part", F.pmod(F.shiftright("_h", 20), F.lit(words)).cast("long").alias("word")).agg(F.bit_or(_mask(F.col("_h"))).alias("bits"))
+        made = made.select(F.lit(run).alias("run"), "part", F.lit(words).cast("long").alias("words"), "word", "bits")
+        made.write.mode("overwrite").parquet(self._path("filters", level, first))
 
     def add(self, keys: DataFrame, batch: int) -> None:
         """Commit the ``keys`` of ``batch``, and merge the runs it completes."""

@@ -3,6 +3,8 @@
 import random
 from datetime import datetime, timedelta
 
+from corpusgauge.sources.catalog import remove
+from corpusgauge.streaming import keys
 from corpusgauge.streaming.incremental import finished, log_stream, shards
 from corpusgauge.streaming.keys import KeyIndex
 
@@ -44,6 +46,17 @@ def test_batches_open_only_parts_that_may_hold_their_keys(spark, tmp_path):
     assert [tuple(x) for x in index.held(frame(spark, [None, 7]), 11).orderBy("id").collect()] == [(None, "x"), (7, "x")]
 
 
+def test_a_batch_of_many_keys_does_not_ask_the_filters(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keys, "FEW", 20)
+    index = KeyIndex(spark, str(tmp_path), ["id", "kind"], fanout=3, parts=4)
+    for batch in range(4):
+        index.add(frame(spark, range(100 * batch, 100 * batch + 30)), batch)
+    remove(spark, f"{tmp_path}/filters")
+    found = index.held(frame(spark, [*range(20, 120), 329, 330, None]), 4)
+    assert sorted(r.id for r in found.collect()) == [*range(20, 30), *range(100, 120), 329]
+    assert [x.split("keys/")[1] for x in index.opened] == ["level=1/first=0", "level=0/first=3"]
+
+
 def test_a_replayed_batch_leaves_the_same(spark, tmp_path):
     index = KeyIndex(spark, str(tmp_path), ["id"], fanout=2, parts=2)
     for batch in range(4):
