@@ -12,6 +12,9 @@ from corpusgauge.functions.text import clock
 from corpusgauge.operators.prepare import shard_by_bytes
 from corpusgauge.sources.catalog import move, path_exists, remove
 
+FILES = 256
+"""Caption files that one task writes, about."""
+
 
 def write_relation(df: DataFrame, path: str, mode: str = "errorifexists", level: int = 3) -> None:
     df.write.mode(mode).option("compression", "zstd").option(
@@ -54,13 +57,22 @@ def write_captions(df: DataFrame, key: str, start: str, end: str, text: str, pat
         none.cast("string").alias("_text"), F.lit("WEBVTT\n").alias("cue"),
     )
     order = [key, F.asc_nulls_first("_start"), F.asc_nulls_first("_end"), F.asc_nulls_first("_text")]
-    placed = heads.union(blocks).repartition(key).sortWithinPartitions(*order)
+    # a file costs far more than its bytes, so tasks are dealt by files, and adaptive execution does not merge them by size
+    tasks = max(1, -(-heads.count() // FILES))
+    placed = heads.union(blocks).repartition(tasks, key).sortWithinPartitions(*order)
     placed.select(key, "cue").write.partitionBy(key).text(path)
 
 
 def read_captions(spark: SparkSession, path: str) -> DataFrame:
-    """(key, text) of caption files, whole."""
-    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")
+    """(key, text) of caption files, whole. The folders are listed by four tasks a core at most: Spark's own choice is a task for each
+    folder up to 10,000, which takes longer to start than to run. The session's setting comes back at the end."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(int(before), 4 * spark.sparkContext.defaultParallelism))
+    try:
+        return spark.read.text(path, wholetext=True).withColumnRenamed("value", "text")  # lists at once
+    finally:
+        spark.conf.set(name, before)
 
 
 class PublishRefused(ValueError):

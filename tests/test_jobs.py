@@ -307,6 +307,24 @@ def test_captions_and_payload_shards(spark, tmp_path):
     assert back.count() == 50 and back.select("shard").distinct().count() == 5
 
 
+def test_captions_are_dealt_and_listed_by_files(spark, tmp_path):
+    name, tracker = "spark.sql.sources.parallelPartitionDiscovery.parallelism", spark.sparkContext.statusTracker()
+    n, before = 4 * sinks.FILES, spark.conf.get(name)
+    df = spark.range(n).select(F.col("id").alias("clip"), F.lit(0.0).alias("s"), F.lit(1.0).alias("e"), F.lit("x").alias("t"))
+    spark.sparkContext.setJobGroup("captions", "")
+    try:
+        sinks.write_captions(df, "clip", "s", "e", "t", f"{tmp_path}/vtt")
+        writers = {p.name.split("-")[1] for p in (tmp_path / "vtt").glob("clip=*/part*")}
+        wrote = set(tracker.getJobIdsForGroup("captions"))
+        files = sinks.read_captions(spark, f"{tmp_path}/vtt")
+        listed = [tracker.getStageInfo(s).numTasks for j in set(tracker.getJobIdsForGroup("captions")) - wrote for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(writers) == 4  # not one writer, as small data would get
+    assert listed and max(listed) <= 4 * spark.sparkContext.defaultParallelism < n and spark.conf.get(name) == before
+    assert {r.clip for r in files.collect()} == set(range(n)) and files.select("text").distinct().count() == 1
+
+
 CUBE = [(0, 2, 1), (0, 3, 2), (4, 5, 6), (4, 6, 7), (0, 1, 5), (0, 5, 4), (2, 3, 7), (2, 7, 6), (1, 2, 6), (1, 6, 5), (3, 0, 4), (3, 4, 7)]
 PLACES = [(-1, -1, -1), (1, -1, -1), (1, 1, -1), (-1, 1, -1), (-1, -1, 1), (1, -1, 1), (1, 1, 1), (-1, 1, 1)]
 
