@@ -49,9 +49,19 @@ def _plain(texts: list[bytes]) -> list[bytes]:
 # --- document frequencies ------------------------------------------------------------------------
 
 
-def _frequencies(batches):
-    """Task: in how many documents of a stretch each word occurs."""
-    for _, texts in groups_of(batches, "text", 8 << 20):
+def _frequencies(batches, together: int = 8 << 20):
+    """Task: in how many documents of a stretch each word occurs. Texts are looked at about 1 MB at a time; what they give is added up over
+    ``together`` bytes."""
+    held, size = [], 0
+
+    def added() -> pa.RecordBatch:
+        h, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        by = np.argsort(h, kind="stable")
+        h = h[by]
+        at = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        return pa.record_batch({"w": h[at].view(np.int64), "n": np.add.reduceat(n[by], at)})
+
+    for _, texts in groups_of(batches, "text"):
         words = Words(_plain(texts))
         by = np.argsort(words.hashes[0], kind="stable")  # equal words in the order of their texts
         h, text = words.hashes[0][by], words.text_of()[by]
@@ -62,7 +72,13 @@ def _frequencies(batches):
         other = new.copy()
         other[1:] |= text[1:] != text[:-1]
         at = np.flatnonzero(new)
-        yield pa.record_batch({"w": h[at].view(np.int64), "n": np.add.reduceat(other.astype(np.int64), at)})
+        held.append((h[at], np.add.reduceat(other.astype(np.int64), at)))
+        size += len(words.data)
+        if size >= together:
+            yield added()
+            held, size = [], 0
+    if held:
+        yield added()
 
 
 def frequent_words(texts: DataFrame, rare: float) -> tuple[np.ndarray, np.ndarray, float]:

@@ -3,8 +3,10 @@
 import collections
 import math
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from conftest_llm import ODD, prose
 
 from corpusgauge.llm import neardup
@@ -134,3 +136,19 @@ def test_samples_agree_as_often_as_texts_are_similar():
     p, q = (dict(zip(x.s[x.first[i] : x.first[i + 1]].tolist(), x.w[x.first[i] : x.first[i + 1]].tolist(), strict=True)) for i in (0, 1))
     both = sum(min(v, q.get(k, 0)) for k, v in p.items())
     assert abs(same - both / (sum(p.values()) + sum(q.values()) - both)) < 0.05
+
+
+def test_frequencies_hold_little_at_once():
+    """Counts are those of whole documents, and memory is that of a piece, not of all texts that are added up."""
+    texts = [" ".join(f"w{(i * 7919 + k * k) % 50021}" for k in range(20_000)) for i in range(56)]  # some 7 MB, one sum
+    batch = pa.record_batch({"text": pa.array([t.encode() for t in texts])})
+    tracemalloc.start()
+    got = collections.Counter()
+    found = list(neardup._frequencies(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for r in found:
+        got.update(dict(zip(r.column("w").to_pylist(), r.column("n").to_pylist(), strict=True)))
+    want = collections.Counter(w for t in texts for w in set(t.split()))
+    assert sorted(got.values()) == sorted(want.values())
+    assert peak < 80 << 20
